@@ -191,6 +191,24 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", t
     return new_dim, rejected
 
 
+def merge_batches(dim: DataFrame, batches, checkpoint: bool = True, **merge_kw):
+    """Apply batches in order; returns ``(dim, [rejected per batch])``.
+
+    Each step's result is checkpointed to the shared checkpoint folder
+    (the table a pipeline cycle would write), so step n's plan is a scan of
+    step n-1's output, not its whole lineage: a merge refers to the current
+    dimension several times, and unmaterialised steps would grow the plan
+    geometrically.
+    """
+    rejected = []
+    for b in batches:
+        dim, rej = scd2_merge(dim, b, **merge_kw)
+        if checkpoint:
+            dim = dim.checkpoint(eager=True)
+        rejected.append(rej)
+    return dim, rejected
+
+
 def latest_per_key(feed: DataFrame, natural_key="customer_id", ts_col: str = "updated_at",
                    before=None) -> DataFrame:
     """Latest feed row per key (optionally strictly before ``before``).

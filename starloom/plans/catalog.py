@@ -4,24 +4,41 @@ Every entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
 raw tables (or data Spark derives from them). ``report`` normalises output
 types for engine-neutral comparison: money decimals become DOUBLE (exact
 decimal sums are cast once, at the end) and DATEs become timestamps.
+Entries that exercise the write path write to a fresh folder under the
+shared checkpoint directory and read the table back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators import marts
-from starloom.params import BENCH_YEAR
+from starloom.functions.dates import fiscal_quarter, fiscal_year, whole_seconds
+from starloom.functions.keys import surrogate_key
+from starloom.operators import calendar, layout, marts, ops, quality, scd2, upsert
+from starloom.operators.pit import pit_join
+from starloom.operators.schemas import FACT_SCHEMA, conform
+from starloom.params import BENCH_YEAR, CUSTOMER_TRACKED, DEFAULT_AS_OF
 from starloom.plans.warehouse import Warehouse
+from starloom.session import scratch_path
+from starloom.sources import staging
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 Y0, Y1 = f"{BENCH_YEAR}-01-01", f"{BENCH_YEAR}-12-31"
+AS_OF = DEFAULT_AS_OF
+# snapshot cut-offs merged in order by the SCD2 merge entries
+SNAPSHOT_CUTS = ["1997-01-01", "1999-01-01", "2001-08-02"]
+# initial load boundary and arrival cut for the incremental entries
+INITIAL_LOAD_TO = "2001-07-01"
+SECOND_LOAD_TO = "2001-07-16"
+# point in time of the as-of lookup
+LOOKUP_AT = "1999-01-01 00:00:00"
 
 
 def query(name: str):
@@ -49,20 +66,589 @@ def report(df: DataFrame, text_ts=("valid_to",)) -> DataFrame:
 
 
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(spark, sf_dir)
+    return Warehouse(spark, sf_dir, as_of=AS_OF)
 
 
-@query("bench_top_products")
-def q_bench_top_products(spark, sf_dir):
+# --- staging and dimensions ---------------------------------------------------
+
+@query("stg_orders")
+def q_stg_orders(spark, sf_dir):
+    return report(wh(spark, sf_dir).stg_orders)
+
+
+@query("stg_customers")
+def q_stg_customers(spark, sf_dir):
+    return report(wh(spark, sf_dir).stg_customers)
+
+
+@query("stg_products")
+def q_stg_products(spark, sf_dir):
+    return report(wh(spark, sf_dir).stg_products)
+
+
+@query("stg_geography")
+def q_stg_geography(spark, sf_dir):
+    return report(wh(spark, sf_dir).src_geography)
+
+
+@query("dim_product")
+def q_dim_product(spark, sf_dir):
+    return report(wh(spark, sf_dir).dim_product)
+
+
+@query("dim_geography")
+def q_dim_geography(spark, sf_dir):
+    return report(wh(spark, sf_dir).dim_geography)
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    return report(wh(spark, sf_dir).dim_date)
+
+
+@query("date_spine")
+def q_date_spine(spark, sf_dir):
+    return report(calendar.date_spine(wh(spark, sf_dir).calendar_days))
+
+
+@query("dim_date_holidays")
+def q_dim_date_holidays(spark, sf_dir):
     w = wh(spark, sf_dir)
-    return report(marts.top_products(w.fact, w.dim_product, w.dim_geography, Y0, Y1))
+    return report(calendar.dim_date(w.calendar_days, holidays=calendar.read_holiday_seed(spark)))
 
 
-@query("fact_orders")
-def q_fact_orders(spark, sf_dir):
-    return report(wh(spark, sf_dir).fact)
+@query("fiscal_calendar")
+def q_fiscal_calendar(spark, sf_dir):
+    d = F.col("d")
+    cols = [d.alias("full_date")]
+    for m in (10, 4, 1):
+        cols += [fiscal_year(d, m).cast("int").alias(f"fiscal_year_m{m}"),
+                 fiscal_quarter(d, m).alias(f"fiscal_quarter_m{m}")]
+    return report(wh(spark, sf_dir).calendar_days.select(*cols))
+
+
+@query("append_rows")
+def q_append_rows(spark, sf_dir):
+    """The calendar written in two appends (years before and from the bench
+    year), read back: equals the calendar."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, "dim_date_append")
+    cal = w.dim_date
+    cal.filter(F.col("year") < BENCH_YEAR).write.mode("append").parquet(path)
+    cal.filter(F.col("year") >= BENCH_YEAR).write.mode("append").parquet(path)
+    return report(spark.read.parquet(path))
+
+
+@query("scd2_history")
+def q_scd2_history(spark, sf_dir):
+    return report(wh(spark, sf_dir).snapshot)
 
 
 @query("dim_customer")
 def q_dim_customer(spark, sf_dir):
     return report(wh(spark, sf_dir).dim_customer)
+
+
+@query("dim_customer_current")
+def q_dim_customer_current(spark, sf_dir):
+    return report(scd2.current_rows(wh(spark, sf_dir).dim_customer))
+
+
+@query("customer_as_of")
+def q_customer_as_of(spark, sf_dir):
+    d = wh(spark, sf_dir).dim_customer
+    return report(scd2.as_of_lookup(d, LOOKUP_AT).select(
+        "customer_key", "customer_id", "customer_segment", "valid_from", "valid_to"))
+
+
+@query("customer_history_audit")
+def q_customer_history_audit(spark, sf_dir):
+    d = wh(spark, sf_dir).dim_customer
+    end = F.when(F.col("is_current"), F.lit(AS_OF).cast("timestamp_ntz")).otherwise(F.col("valid_to"))
+    return report(d.select(
+        "customer_id", "customer_segment", "city", "valid_from", "valid_to", "is_current",
+        F.datediff(F.to_date(end), F.to_date("valid_from")).alias("days_in_segment"),
+    ).orderBy("customer_id", "valid_from"))
+
+
+# --- SCD2 merge ------------------------------------------------------------------
+
+def _snapshots(w: Warehouse) -> list[DataFrame]:
+    return [scd2.latest_per_key(w.stg_customers, before=c) for c in SNAPSHOT_CUTS]
+
+
+def _merged(w: Warehouse, upto: int) -> DataFrame:
+    snaps = _snapshots(w)
+    dim, _ = scd2.merge_batches(scd2.empty_like_dim(w.stg_customers), snaps[:upto], as_of=AS_OF)
+    return dim
+
+
+@query("scd2_merge_step")
+def q_scd2_merge_step(spark, sf_dir):
+    return report(_merged(wh(spark, sf_dir), 3))
+
+
+@query("scd2_changed")
+def q_scd2_changed(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(scd2.detect_changes(_snapshots(w)[2], _merged(w, 2)))
+
+
+@query("scd2_new_keys")
+def q_scd2_new_keys(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(scd2.detect_changes(_snapshots(w)[2], _merged(w, 2))
+                  .filter(F.col("change_type") == "new").select("customer_id", "updated_at"))
+
+
+@query("scd2_changed_keys")
+def q_scd2_changed_keys(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(scd2.detect_changes(_snapshots(w)[2], _merged(w, 2))
+                  .filter(F.col("change_type") == "changed").select("customer_id", "customer_segment", "updated_at"))
+
+
+@query("scd2_merge_generic")
+def q_scd2_merge_generic(spark, sf_dir):
+    """The generic merge (key and tracked columns as parameters) applying
+    the whole change feed as one batch: several versions per key at once."""
+    w = wh(spark, sf_dir)
+    feed = w.stg_customers
+    dim, _ = scd2.scd2_merge(scd2.empty_like_dim(feed), feed, natural_key=["customer_id"],
+                             tracked=["customer_segment"], as_of=AS_OF)
+    return report(dim)
+
+
+# --- fact ----------------------------------------------------------------------
+
+@query("fact_orders")
+def q_fact_orders(spark, sf_dir):
+    return report(wh(spark, sf_dir).fact)
+
+
+@query("first_orders")
+def q_first_orders(spark, sf_dir):
+    return report(wh(spark, sf_dir).first_orders)
+
+
+@query("pit_join_customer")
+def q_pit_join_customer(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    o = w.stg_orders.select("order_line_id", "customer_id", "order_date")
+    return report(pit_join(o, w.dim_customer, take=("customer_key", "customer_segment")))
+
+
+@query("fact_measures")
+def q_fact_measures(spark, sf_dir):
+    return report(wh(spark, sf_dir).fact.select(
+        "order_line_id", "discount_amount", "cost_of_goods", "gross_profit", "tax_amount"))
+
+
+@query("surrogate_keys")
+def q_surrogate_keys(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    parts = [
+        w.stg_products.select(F.lit("product").alias("kind"), F.col("product_id").alias("natural_key"),
+                              surrogate_key("product_id").alias("surrogate")),
+        w.src_geography.select(F.lit("geography").alias("kind"),
+                               F.concat_ws("|", "city", "state", "country").alias("natural_key"),
+                               surrogate_key("city", "state", "country").alias("surrogate")),
+        w.stg_customers.select(F.lit("customer_version").alias("kind"),
+                               F.concat_ws("|", F.col("customer_id"), F.col("updated_at").cast("string")).alias("natural_key"),
+                               surrogate_key("customer_id", "updated_at").alias("surrogate")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("scalar_suite")
+def q_scalar_suite(spark, sf_dir):
+    d = wh(spark, sf_dir).dim_customer
+    return report(d.select(
+        "customer_key",
+        F.concat_ws("-", F.coalesce("customer_segment", F.lit("")), F.col("is_active").cast("string")).alias("seg_active"),
+        F.coalesce(F.col("email"), F.col("full_name")).alias("contact"),
+        F.col("version_number").cast("string").alias("version_text"),
+        F.col("valid_from").cast("date").alias("valid_from_date"),
+        F.col("lifetime_value").cast("int").alias("ltv_int"),
+        F.when(F.col("is_current"), "current").otherwise("closed").alias("state_label"),
+    ))
+
+
+@query("lookback_window")
+def q_lookback_window(spark, sf_dir):
+    """Lines a run re-reads when the target holds everything up to the
+    initial load date: order_date >= max(loaded) - 3 days."""
+    w = wh(spark, sf_dir)
+    target = w.stg_orders.filter(F.col("order_date") <= F.lit(INITIAL_LOAD_TO).cast("date")).select("order_date")
+    sel = upsert.select_incremental(w.stg_orders, target)
+    return report(sel.select("order_line_id", "order_date"))
+
+
+def _changed_batch(w: Warehouse) -> DataFrame:
+    """Lines of the last lookback window whose order is still open come back
+    returned, with one unit less net revenue."""
+    last = w.stg_orders
+    sel = upsert.select_incremental(last, last)
+    return sel.filter(F.col("order_status") == "O").withColumn("order_status", F.lit("returned")) \
+        .withColumn("net_revenue", (F.col("net_revenue") - F.expr("1.00BD")).cast("decimal(12,2)"))
+
+
+@query("fact_orders_incremental")
+def q_fact_orders_incremental(spark, sf_dir):
+    """Initial load, two lookback runs as data arrives, then a run with
+    changed lines; every run upserts only the touched month partitions."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, "fact_incremental")
+    first = w.stg_orders.filter(F.col("order_date") <= F.lit(INITIAL_LOAD_TO).cast("date"))
+    layout.write_layout(w.fact_for(first), path, "date_channel")
+
+    def merge(t, s):
+        return upsert.upsert(t, s, as_of=AS_OF)
+
+    for cut in (SECOND_LOAD_TO, None):
+        arrived = w.stg_orders if cut is None else w.stg_orders.filter(F.col("order_date") <= F.lit(cut).cast("date"))
+        target = spark.read.parquet(path)
+        batch = upsert.select_incremental(arrived, target)
+        layout.merge_into(spark, path, w.fact_for(batch), merge)
+    layout.merge_into(spark, path, w.fact_for(_changed_batch(w)), merge)
+    return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
+
+
+@query("upsert_all_columns")
+def q_upsert_all_columns(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(upsert.upsert(w.fact, w.fact_for(_changed_batch(w)), update_cols="all", as_of=AS_OF))
+
+
+@query("fulfillment_update")
+def q_fulfillment_update(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(upsert.apply_delivery(w.fact, staging.fulfilment_feed(spark, sf_dir), as_of=AS_OF))
+
+
+@query("conform_schema")
+def q_conform_schema(spark, sf_dir):
+    return report(conform(wh(spark, sf_dir).fact, FACT_SCHEMA))
+
+
+@query("conform_defaults")
+def q_conform_defaults(spark, sf_dir):
+    from starloom.operators.schemas import FACT_DEFAULTS
+    return report(conform(wh(spark, sf_dir).fact, FACT_SCHEMA, defaults=FACT_DEFAULTS, as_of=AS_OF))
+
+
+@query("schema_evolution_union")
+def q_schema_evolution_union(spark, sf_dir):
+    """Lines before the bench year in the old schema, later lines with the
+    planned currency columns; unionByName fills the gap with NULLs."""
+    f = wh(spark, sf_dir).fact.select("order_key", "order_date", "net_revenue")
+    old = f.filter(F.year("order_date") < BENCH_YEAR)
+    new = f.filter(F.year("order_date") >= BENCH_YEAR).withColumn("currency_key", F.lit("USD")) \
+        .withColumn("exchange_rate", F.expr("1.000000BD").cast("decimal(12,6)"))
+    return report(old.unionByName(new, allowMissingColumns=True))
+
+
+# --- layout ---------------------------------------------------------------------
+
+@query("layout_roundtrip")
+def q_layout_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "fact_layout")
+    layout.write_layout(wh(spark, sf_dir).fact, path, "date_channel")
+    return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
+
+
+@query("recluster_roundtrip")
+def q_recluster_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "fact_recluster")
+    layout.write_layout(wh(spark, sf_dir).fact, path, "date")
+    layout.recluster(spark, path, layout="date_channel")
+    return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
+
+
+@query("customer_layout_roundtrip")
+def q_customer_layout_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "dim_customer_layout")
+    d = wh(spark, sf_dir).dim_customer
+    d.repartitionByRange("customer_id").sortWithinPartitions("customer_id", "valid_from").write.parquet(path)
+    return report(spark.read.parquet(path))
+
+
+@query("retention_filter")
+def q_retention_filter(spark, sf_dir):
+    f = layout.with_partition_col(wh(spark, sf_dir).fact)
+    months = f.groupBy(layout.PARTITION_COL).agg(F.count(F.lit(1)).alias("order_lines"))
+    return report(layout.expired_months(months, AS_OF))
+
+
+@query("guarded_scan")
+def q_guarded_scan(spark, sf_dir):
+    path = scratch_path(spark, "fact_guarded")
+    layout.write_layout(wh(spark, sf_dir).fact, path, "date_channel")
+    f = layout.read_fact(spark, path, Y0, Y1)
+    return report(marts.full_range_sum(f, Y0, Y1))
+
+
+def _stats_by_layout(spark, sf_dir) -> DataFrame:
+    fact = wh(spark, sf_dir).fact
+    parts = []
+    for name in ("none", "date_channel", "customer"):
+        path = scratch_path(spark, f"fact_{name}")
+        layout.write_layout(fact, path, name, files=8)
+        col = "customer_id" if name == "customer" else "order_date"
+        st = ops.file_stats(spark, path, col).withColumn("layout", F.lit(name))
+        parts.append(st.select("layout", "file", F.col("lo").cast("string").alias("lo"),
+                               F.col("hi").cast("string").alias("hi"), "rows", "bytes"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("clustering_depth")
+def q_clustering_depth(spark, sf_dir):
+    stats = _stats_by_layout(spark, sf_dir).cache()
+    out = []
+    for name in ("none", "date_channel", "customer"):
+        out.append(ops.clustering_depth(stats.filter(F.col("layout") == name))
+                   .withColumn("layout", F.lit(name)))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("pruning_report")
+def q_pruning_report(spark, sf_dir):
+    stats = _stats_by_layout(spark, sf_dir).filter(F.col("layout") != "customer").cache()
+    out = []
+    for name in ("none", "date_channel"):
+        r = ops.pruning_report(stats.filter(F.col("layout") == name), Y0, Y1)
+        out.append(r.withColumn("layout", F.lit(name)))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("scan_cost")
+def q_scan_cost(spark, sf_dir):
+    r = q_pruning_report(spark, sf_dir)
+    return r.withColumn("cost_usd", ops.scan_cost("bytes_scanned"))
+
+
+# --- data quality ----------------------------------------------------------------
+
+@query("dq_orphaned_orders")
+def q_dq_orphaned_orders(spark, sf_dir):
+    return quality.orphaned_orders(wh(spark, sf_dir).fact)
+
+
+@query("dq_revenue_errors")
+def q_dq_revenue_errors(spark, sf_dir):
+    return quality.revenue_errors(wh(spark, sf_dir).fact)
+
+
+@query("dq_duplicate_orders")
+def q_dq_duplicate_orders(spark, sf_dir):
+    """The literal check on order_id: lines of one order share it, so every
+    multi-line order is reported."""
+    return quality.duplicate_keys(wh(spark, sf_dir).fact, "order_id")
+
+
+@query("dq_duplicate_order_keys")
+def q_dq_duplicate_order_keys(spark, sf_dir):
+    return quality.duplicate_keys(wh(spark, sf_dir).fact, "order_key")
+
+
+@query("dq_completeness_recent")
+def q_dq_completeness_recent(spark, sf_dir):
+    return report(quality.completeness_recent(wh(spark, sf_dir).fact, AS_OF, 3))
+
+
+@query("dq_scd2_current_count")
+def q_dq_scd2_current_count(spark, sf_dir):
+    return quality.scd2_current_count(wh(spark, sf_dir).dim_customer)
+
+
+@query("dq_scd2_current_count_strict")
+def q_dq_scd2_current_count_strict(spark, sf_dir):
+    return quality.scd2_current_count(_merged(wh(spark, sf_dir), 3), strict=True)
+
+
+@query("scd2_version_gaps")
+def q_scd2_version_gaps(spark, sf_dir):
+    """Every merged version with its successor's start and the gap in
+    seconds (1 s by the merge's convention, NULL for the current row)."""
+    d = _merged(wh(spark, sf_dir), 3)
+    return report(quality._with_next(d, "customer_id"))
+
+
+@query("dq_scd2_gaps")
+def q_dq_scd2_gaps(spark, sf_dir):
+    return report(quality.scd2_gaps(_merged(wh(spark, sf_dir), 3)))
+
+
+@query("dq_scd2_gaps_strict")
+def q_dq_scd2_gaps_strict(spark, sf_dir):
+    return report(quality.scd2_gaps(wh(spark, sf_dir).dim_customer, strict=True, tolerance_s=0))
+
+
+@query("dq_scd2_overlaps")
+def q_dq_scd2_overlaps(spark, sf_dir):
+    return report(quality.scd2_overlaps(wh(spark, sf_dir).dim_customer))
+
+
+@query("dq_scd2_bad_ranges")
+def q_dq_scd2_bad_ranges(spark, sf_dir):
+    return report(quality.scd2_bad_ranges(wh(spark, sf_dir).dim_customer))
+
+
+@query("assert_scd2")
+def q_assert_scd2(spark, sf_dir):
+    return quality.assert_scd2(_merged(wh(spark, sf_dir), 3))
+
+
+@query("assert_scd2_strict")
+def q_assert_scd2_strict(spark, sf_dir):
+    return quality.assert_scd2(wh(spark, sf_dir).dim_customer, strict=True)
+
+
+@query("dq_orphans_all_fks")
+def q_dq_orphans_all_fks(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return quality.orphans_all_fks(w.fact, {
+        "customer_key": (w.dim_customer, "customer_key"),
+        "product_key": (w.dim_product, "product_key"),
+        "geo_key": (w.dim_geography, "geo_key"),
+        "date_key": (w.dim_date, "date_key"),
+    })
+
+
+@query("dq_constraints")
+def q_dq_constraints(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    f = quality.constraint_violations(
+        w.fact, "fact_orders",
+        ["order_key", "customer_key", "product_key", "date_key", "order_id", "order_timestamp", "order_date"],
+        "order_key")
+    d = quality.constraint_violations(w.dim_customer, "dim_customer",
+                                      ["customer_id", "valid_from", "valid_to", "is_current"], "customer_key")
+    c = quality.constraint_violations(w.dim_date, "dim_date", ["full_date"], "date_key")
+    return f.unionByName(d).unionByName(c)
+
+
+@query("predicate_suite")
+def q_predicate_suite(spark, sf_dir):
+    f = wh(spark, sf_dir).fact
+
+    def n(cond, alias):
+        return F.sum(cond.cast("int")).cast("long").alias(alias)
+    return f.agg(
+        n(F.col("geo_key").isNull(), "n_geo_null"),
+        n(F.col("channel").isin("web", "app"), "n_channel_in"),
+        n(~F.col("channel").isin("web", "app"), "n_channel_not_in"),
+        n((F.col("channel") == "web") | F.col("return_flag"), "n_web_or_returned"),
+        n((F.col("channel") == "web") & F.col("return_flag"), "n_web_and_returned"),
+        n(F.col("channel") != "retail", "n_not_retail"),
+        n(~F.col("return_flag").eqNullSafe(F.lit(True)), "n_not_returned_null_safe"),
+    )
+
+
+# --- marts and benchmark queries ----------------------------------------------------
+
+@query("bench_top_products")
+def q_bench_top_products(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(marts.top_products(w.fact, w.dim_product, w.dim_geography, Y0, Y1))
+
+
+@query("agg_product_performance")
+def q_agg_product_performance(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(marts.agg_product_performance(w.fact, w.dim_product, w.dim_geography))
+
+
+@query("bench_top_products_preagg")
+def q_bench_top_products_preagg(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    agg = marts.agg_product_performance(w.fact, w.dim_product, w.dim_geography)
+    return report(marts.top_products_from_agg(agg, BENCH_YEAR))
+
+
+@query("bench_monthly_revenue")
+def q_bench_monthly_revenue(spark, sf_dir):
+    return report(marts.monthly_revenue(wh(spark, sf_dir).fact, Y0, Y1))
+
+
+@query("bench_monthly_revenue_web")
+def q_bench_monthly_revenue_web(spark, sf_dir):
+    return report(marts.monthly_revenue(wh(spark, sf_dir).fact, Y0, Y1, channel="web"))
+
+
+def _busiest_customer(fact: DataFrame) -> DataFrame:
+    """The customer with the most lines (ties: smallest id), as a one-row
+    DataFrame; a data-derived parameter for the single-customer report."""
+    c = fact.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    return c.orderBy(F.desc("n"), "customer_id").limit(1).select("customer_id")
+
+
+@query("bench_customer_history")
+def q_bench_customer_history(spark, sf_dir):
+    f = wh(spark, sf_dir).fact
+    cid = _busiest_customer(f).first()["customer_id"]
+    return report(marts.customer_history(f, cid))
+
+
+@query("bench_full_year_scan")
+def q_bench_full_year_scan(spark, sf_dir):
+    return report(marts.full_range_sum(wh(spark, sf_dir).fact, Y0, Y1))
+
+
+@query("agg_daily_revenue")
+def q_agg_daily_revenue(spark, sf_dir):
+    return report(marts.agg_daily_revenue(wh(spark, sf_dir).fact))
+
+
+@query("agg_cohort")
+def q_agg_cohort(spark, sf_dir):
+    return report(marts.agg_cohort(wh(spark, sf_dir).fact))
+
+
+@query("agg_channel_perf")
+def q_agg_channel_perf(spark, sf_dir):
+    return report(marts.agg_channel_perf(wh(spark, sf_dir).fact))
+
+
+@query("segment_quarter_growth")
+def q_segment_quarter_growth(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(marts.segment_quarter_growth(w.fact, w.dim_customer))
+
+
+@query("return_rate_by_acq_channel")
+def q_return_rate_by_acq_channel(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(marts.return_rate_by_acquisition(w.fact, w.dim_customer))
+
+
+@query("region_vs_forecast")
+def q_region_vs_forecast(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return report(marts.region_vs_forecast(w.fact, w.dim_geography))
+
+
+@query("new_vs_returning")
+def q_new_vs_returning(spark, sf_dir):
+    return report(marts.new_vs_returning(wh(spark, sf_dir).fact))
+
+
+@query("segment_revenue_at_order_time")
+def q_segment_revenue_at_order_time(spark, sf_dir):
+    """Lines and measures by the customer's segment when ordering."""
+    w = wh(spark, sf_dir)
+    pre = w.fact.groupBy("customer_key").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("net_revenue").alias("net"),
+        F.sum("discount_amount").alias("disc"), F.sum("tax_amount").alias("tax"),
+        F.sum("gross_profit").alias("profit"))
+    d = w.dim_customer.select("customer_key", "customer_segment")
+    out = pre.join(d, "customer_key", "left").groupBy("customer_segment").agg(
+        F.sum("lines").cast("long").alias("order_lines"),
+        F.sum("net").cast("decimal(18,2)").alias("net_revenue"),
+        F.sum("disc").cast("decimal(18,2)").alias("discount_amount"),
+        F.sum("tax").cast("decimal(18,2)").alias("tax_amount"),
+        F.sum("profit").cast("decimal(18,2)").alias("gross_profit"))
+    return report(out)
+
+
+__all__ = ["QUERIES", "report", "CUSTOMER_TRACKED", "whole_seconds"]

@@ -28,6 +28,7 @@ SESSION_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
