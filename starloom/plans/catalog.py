@@ -652,3 +652,51 @@ def q_segment_revenue_at_order_time(spark, sf_dir):
 
 
 __all__ = ["QUERIES", "report", "CUSTOMER_TRACKED", "whole_seconds"]
+
+
+# --- streaming ---------------------------------------------------------------------------
+
+# arrival slices of the landing folder (order day / change day upper bounds)
+STREAM_SLICES = ["1997-12-31", "1999-12-31", None]
+
+
+def _land(df: DataFrame, col: str, landing: str) -> None:
+    """Write ``df`` into ``landing`` as one file per arrival slice, in order."""
+    lo = None
+    for i, hi in enumerate(STREAM_SLICES):
+        part = df
+        if lo is not None:
+            part = part.filter(F.col(col) > F.lit(lo).cast(df.schema[col].dataType))
+        if hi is not None:
+            part = part.filter(F.col(col) <= F.lit(hi).cast(df.schema[col].dataType))
+        part.coalesce(1).write.mode("append").parquet(landing)
+        lo = hi
+
+
+@query("stream_fact_upsert")
+def q_stream_fact_upsert(spark, sf_dir):
+    """Staged lines arrive in three slices; a stream upserts each micro-batch
+    into the fact. Equals the batch fact."""
+    from starloom.streaming.stream import stream_fact_upsert
+    w = wh(spark, sf_dir)
+    landing = scratch_path(spark, "landing_orders")
+    _land(w.stg_orders, "order_date", landing)
+    fact_path = scratch_path(spark, "stream_fact")
+    schema = spark.read.parquet(landing).schema
+    stream_fact_upsert(spark, landing, schema, fact_path, scratch_path(spark, "stream_fact_ckpt"),
+                       w.fact_for, as_of=AS_OF)
+    return report(spark.read.parquet(fact_path).drop(layout.PARTITION_COL))
+
+
+@query("stream_scd2_merge")
+def q_stream_scd2_merge(spark, sf_dir):
+    """The customer change feed arrives in three slices; a stream merges each
+    micro-batch into the versioned dimension."""
+    from starloom.streaming.stream import stream_scd2
+    w = wh(spark, sf_dir)
+    landing = scratch_path(spark, "landing_customers")
+    _land(w.stg_customers, "updated_at", landing)
+    base = scratch_path(spark, "stream_dim")
+    schema = spark.read.parquet(landing).schema
+    stream_scd2(spark, landing, schema, base, scratch_path(spark, "stream_dim_ckpt"), as_of=AS_OF)
+    return report(layout.read_versioned(spark, base))

@@ -626,3 +626,8 @@ SELECT d.customer_segment, count(*) AS order_lines,
        CAST(CAST(sum(f.tax_amount) AS DECIMAL(18,2)) AS DOUBLE) AS tax_amount,
        CAST(CAST(sum(f.gross_profit) AS DECIMAL(18,2)) AS DOUBLE) AS gross_profit
 FROM fact f LEFT JOIN dim_customer d ON f.customer_key = d.customer_key GROUP BY 1"""))
+
+# --- streaming: equal to the batch results -----------------------------------------------
+
+oracle("stream_fact_upsert", ORACLE["fact_orders"])
+oracle("stream_scd2_merge", with_base(R("ms", **MERGE_REPORT), [merged_cte("ms", 0, src="stg_customers")]))
