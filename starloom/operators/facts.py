@@ -3,13 +3,14 @@
 Grain: one row per order line, keyed by a hash of the line id (several lines
 share an order id, so a key on the order id alone would collide).
 
-Join plan: the two customer-keyed joins (point-in-time version, first
-order date) sit next to each other so the fact is shuffled on
-``customer_id`` once and both sort-merge joins reuse that partitioning.
-Product and geography are looked up by their own keys; Spark broadcasts
-them when their size statistics are under the broadcast threshold and
-falls back to a shuffle join otherwise. The date key is computed, not
-looked up, so it costs no join.
+Join plan: each lookup side is a narrow projection of a dimension,
+broadcast when its row count passes ``joins.checked_broadcast`` (then the
+whole assembly is one pipelined stage over the staged lines, no shuffle of
+the fact at all). Above the bound the side is shuffle-joined. The customer
+version and the first-order date come from one time-line cover per
+customer (``pit.customer_timeline``), so the fact meets a single join on
+``customer_id``, which AQE's skew handling can split for a hot customer.
+The date key is computed, not looked up, so it costs no join.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import date_key
 from starloom.functions.keys import surrogate_key
 from starloom.functions.money import MONEY, SMALL_MONEY, dec, round_money
-from starloom.operators.pit import pit_join
+from starloom.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
+from starloom.operators.pit import customer_timeline, pit_join
 from starloom.operators.scd2 import CONTIGUOUS
 from starloom.params import TAX_RATE
 
@@ -82,15 +84,18 @@ def assemble(o: DataFrame, as_of=None, tax_rate: str = TAX_RATE) -> DataFrame:
 def build_fact(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                dim_geography: DataFrame, first_order_dates: DataFrame, as_of=None,
                at: str = "order_date", convention: str = CONTIGUOUS,
-               tax_rate: str = TAX_RATE) -> DataFrame:
+               tax_rate: str = TAX_RATE, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Fact rows for ``orders`` (all of staging, or an incremental slice).
 
     ``first_order_dates`` must be computed over all orders, not the slice.
+    Pass materialised dimensions: each is counted once for the broadcast
+    decision.
     """
-    x = pit_join(orders, dim_customer, at=at, convention=convention)
-    x = x.join(first_order_dates, "customer_id", "left")
-    p = dim_product.select("product_id", "product_key", "cost_price")
-    x = x.join(p, "product_id", "left")
-    g = dim_geography.select("city", "state", "country", "geo_key")
-    x = x.join(g, ["city", "state", "country"], "left")
+    def side(df):
+        return checked_broadcast(df, broadcast_max_rows)
+
+    timeline = side(customer_timeline(dim_customer, first_order_dates, convention=convention))
+    x = pit_join(orders, timeline, at=at, take=("customer_key", "first_order_date"))
+    x = x.join(side(dim_product.select("product_id", "product_key", "cost_price")), "product_id", "left")
+    x = x.join(side(dim_geography.select("city", "state", "country", "geo_key")), ["city", "state", "country"], "left")
     return assemble(x, as_of=as_of, tax_rate=tax_rate)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from starloom.params import RETENTION_DAYS
 
 PARTITION_COL = "order_month"
+TIEBREAK = "order_key"
 
 LAYOUTS = {
     # name: (partitioned by month?, cluster columns)
@@ -49,7 +50,11 @@ def arrange(df: DataFrame, layout: str = "date_channel", files: int | None = Non
     if cluster is None:
         # unclustered: spread rows by a hash of the key, i.e. no order at all
         return out.repartition(files, "order_key") if files else out.repartition("order_key")
-    out = out.repartitionByRange(files, *cluster) if files else out.repartitionByRange(*cluster)
+    # a unique tie-breaker after the cluster columns lets the range
+    # partitioner split one hot cluster value (a day or a customer holding a
+    # large share of rows) over several tasks and files
+    rng = cluster + [TIEBREAK] if TIEBREAK in out.columns else cluster
+    out = out.repartitionByRange(files, *rng) if files else out.repartitionByRange(*rng)
     return out.sortWithinPartitions(*cluster)
 
 

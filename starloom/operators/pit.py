@@ -40,3 +40,45 @@ def pit_join(facts: DataFrame, dim: DataFrame, natural_key: str = "customer_id",
         & (t < d["_pit_to"])
     )
     return facts.join(d, cond, how).drop("_pit_key", "_pit_from", "_pit_to")
+
+
+MIN_TS = "0001-01-01 00:00:00"
+END_TS = "9999-12-31 23:59:59"
+
+
+def customer_timeline(dim: DataFrame, first_order_dates: DataFrame | None = None,
+                      natural_key: str = "customer_id", convention: str = CONTIGUOUS,
+                      take=("customer_key",)) -> DataFrame:
+    """Cover each key's whole time line with half-open ``[valid_from, valid_to)``
+    pieces: its versions, plus key-less pieces before the first version, in
+    any gap between versions, and one open piece for keys with no version.
+    First-order dates (if given) ride along on every piece.
+
+    With the cover, one point-in-time join returns the version and the
+    first-order date together, so the fact meets exactly one join on the
+    customer key: a single sort-merge join that AQE's skew handling can split
+    for a hot customer (two adjacent joins would stop AQE from splitting the
+    first without re-shuffling for the second).
+    """
+    from pyspark.sql import Window as W
+
+    lo = F.lit(MIN_TS).cast("timestamp_ntz")
+    hi = F.lit(END_TS).cast("timestamp_ntz")
+    none = [F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in take]
+    v = dim.select(F.col(natural_key), F.col("valid_from"),
+                   pit_upper(F.col("valid_to"), convention).alias("valid_to"), *take)
+    w = W.partitionBy(natural_key).orderBy("valid_from")
+    nxt = v.select(natural_key, F.col("valid_to").alias("gap_from"),
+                   F.lead("valid_from").over(w).alias("gap_to"),
+                   F.row_number().over(w).alias("n"), F.col("valid_from").alias("first_from"))
+    gaps = nxt.filter(F.col("gap_to") > F.col("gap_from")).select(
+        natural_key, F.col("gap_from").alias("valid_from"), F.col("gap_to").alias("valid_to"), *none)
+    before = nxt.filter(F.col("n") == 1).select(
+        natural_key, lo.alias("valid_from"), F.col("first_from").alias("valid_to"), *none)
+    cover = v.unionByName(gaps).unionByName(before)
+    if first_order_dates is None:
+        return cover
+    keys = v.select(natural_key).distinct()
+    unknown = first_order_dates.select(natural_key).join(keys, natural_key, "left_anti").select(
+        natural_key, lo.alias("valid_from"), hi.alias("valid_to"), *none)
+    return cover.unionByName(unknown).join(first_order_dates, natural_key, "left")

@@ -19,10 +19,19 @@ from starloom.sources.tables import read_raw
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF):
+    """``materialize``: dimensions are tables in the warehouse, so each is
+    built once and checkpointed (reliable checkpoint in the shared folder)
+    before the fact reads it; the fact's broadcast checks then count stored
+    rows, and a lost executor recomputes from the checkpoint, not from raw."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self.materialize = materialize
+
+    def _table(self, df: DataFrame) -> DataFrame:
+        return df.checkpoint(eager=True) if self.materialize else df
 
     # --- staging ---------------------------------------------------------
     @cached_property
@@ -48,15 +57,15 @@ class Warehouse:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return scd2.dim_from_snapshot(self.snapshot, as_of=self.as_of)
+        return self._table(scd2.dim_from_snapshot(self.snapshot, as_of=self.as_of))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dims.dim_product(self.stg_products, as_of=self.as_of)
+        return self._table(dims.dim_product(self.stg_products, as_of=self.as_of))
 
     @cached_property
     def dim_geography(self) -> DataFrame:
-        return dims.dim_geography(self.src_geography)
+        return self._table(dims.dim_geography(self.src_geography))
 
     @cached_property
     def calendar_days(self) -> DataFrame:
@@ -76,10 +85,12 @@ class Warehouse:
         second pass over lines reads one column.
         """
         o = read_raw(self.spark, self.sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-        li = read_raw(self.spark, self.sf_dir, "lineitem", ["l_orderkey"])
+        # distinct line keys (map-side partial distinct): an order with a huge
+        # number of lines is one row on the semi join's build side
+        li = read_raw(self.spark, self.sf_dir, "lineitem", ["l_orderkey"]).distinct()
         with_lines = o.join(li, o.o_orderkey == li.l_orderkey, "left_semi")
-        return with_lines.groupBy(F.col("o_custkey").cast("string").alias("customer_id")).agg(
-            F.min(F.to_date("o_orderdate")).alias("first_order_date"))
+        return self._table(with_lines.groupBy(F.col("o_custkey").cast("string").alias("customer_id")).agg(
+            F.min(F.to_date("o_orderdate")).alias("first_order_date")))
 
     def fact_for(self, orders: DataFrame, **kw) -> DataFrame:
         return facts.build_fact(orders, self.dim_customer, self.dim_product, self.dim_geography,

@@ -68,7 +68,12 @@ def stg_orders(spark: SparkSession, sf_dir: str, with_ship_date: bool = False) -
     p = read_raw(spark, sf_dir, "part", ["p_partkey", "p_retailprice"])
 
     oc = o.join(cg, o.o_custkey == cg.c_custkey, "left")
-    x = li.join(oc, li.l_orderkey == oc.o_orderkey, "inner").join(p, li.l_partkey == p.p_partkey, "left")
+    # lines x orders is a fact-to-fact join: always a shuffle (sort-merge)
+    # join on the order key, never a broadcast of either side, whatever the
+    # size estimate says; the shuffle also spreads the per-line work below
+    # over all tasks when an input file is a single row group.
+    x = li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey, "inner") \
+        .join(p, li.l_partkey == p.p_partkey, "left")
 
     gross = F.col("l_extendedprice").cast(MONEY)
     disc = F.col("l_discount").cast("decimal(3,2)")

@@ -109,3 +109,36 @@ def test_pit_join_plan_is_equi_join(spark):
     dc, _, _ = _dims(spark)
     plan = pit_join(o, dc)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_timeline_cover_and_shuffle_path(spark):
+    from starloom.operators.pit import customer_timeline
+    T = dt.datetime
+    dim = spark.createDataFrame(
+        [("k1", "c1", T(2023, 1, 1), T(2023, 2, 1)), ("k2", "c1", T(2023, 3, 1), T(9999, 12, 31, 23, 59, 59))],
+        "customer_key string, customer_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    fo = spark.createDataFrame([("c1", D(2022, 12, 1)), ("c2", D(2023, 1, 5))], "customer_id string, first_order_date date")
+    cover = customer_timeline(dim, fo)
+    orders = spark.createDataFrame([("a", "c1", D(2022, 12, 1)), ("b", "c1", D(2023, 1, 15)), ("c", "c1", D(2023, 2, 15)),
+                                    ("d", "c1", D(2023, 4, 1)), ("e", "c2", D(2023, 1, 5))],
+                                   "id string, customer_id string, order_date date")
+    got = {r.id: (r.customer_key, r.first_order_date) for r in
+           pit_join(orders, cover, take=("customer_key", "first_order_date")).collect()}
+    assert got == {"a": (None, D(2022, 12, 1)), "b": ("k1", D(2022, 12, 1)), "c": (None, D(2022, 12, 1)),
+                   "d": ("k2", D(2022, 12, 1)), "e": (None, D(2023, 1, 5))}
+
+
+def test_fact_shuffle_path_single_customer_join(spark):
+    from starloom.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    small = facts.build_fact(w.stg_orders, w.dim_customer, w.dim_product, w.dim_geography, w.first_orders)
+    big = facts.build_fact(w.stg_orders, w.dim_customer, w.dim_product, w.dim_geography, w.first_orders,
+                           broadcast_max_rows=0)
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    # one shuffle join carries both the version and the first-order date
+    pit = [ln for ln in plan.splitlines() if "Join" in ln and "_pit_key" in ln]
+    assert len(pit) == 1 and "SortMergeJoin" in pit[0]
+    assert "first_order_date" not in plan.split("_pit_key")[0].split("SortMergeJoin")[-1]
+    cols = [c for c in small.columns if c != "dw_loaded_at"]
+    assert small.select(cols).exceptAll(big.select(cols)).count() == 0
+    assert small.count() == big.count()
