@@ -3,7 +3,8 @@
 Star queries aggregate the fact by its foreign keys *before* joining the
 dimensions (eager aggregation): the partial aggregate combines map-side, so
 the joins see one row per (key, group) instead of one per order line, and a
-hot key costs nothing extra. The dimension attributes are then re-grouped.
+hot key costs nothing extra. The dimension attributes are then re-grouped. Dimension sides are broadcast
+behind a row-count check (``joins.checked_broadcast``).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import month_start
 from starloom.functions.money import TOTAL
+from starloom.operators.joins import checked_broadcast
 from starloom.params import FORECAST_UPLIFT, TOP_K
 
 
@@ -56,8 +58,8 @@ def top_products(fact: DataFrame, dim_product: DataFrame, dim_geography: DataFra
     f = _between(fact, date_from, date_to)
     pre = f.groupBy("product_key", "geo_key").agg(
         F.sum("net_revenue").alias("revenue"), F.sum("quantity").alias("units"))
-    p = dim_product.select("product_key", "category", "product_name")
-    g = dim_geography.select("geo_key", "region")
+    p = checked_broadcast(dim_product.select("product_key", "category", "product_name"))
+    g = checked_broadcast(dim_geography.select("geo_key", "region"))
     j = pre.join(p, "product_key", "inner").join(g, "geo_key", "inner")
     out = j.groupBy("region", "category", "product_name").agg(
         F.sum("revenue").cast(TOTAL).alias("revenue"), F.sum("units").cast("long").alias("units"))
@@ -68,8 +70,8 @@ def agg_product_performance(fact: DataFrame, dim_product: DataFrame, dim_geograp
     """Pre-aggregate: (year, region, category, product_name) -> revenue, units."""
     pre = fact.groupBy(F.year("order_date").alias("year"), "product_key", "geo_key").agg(
         F.sum("net_revenue").alias("net_revenue"), F.sum("quantity").alias("units_sold"))
-    p = dim_product.select("product_key", "category", "product_name")
-    g = dim_geography.select("geo_key", "region")
+    p = checked_broadcast(dim_product.select("product_key", "category", "product_name"))
+    g = checked_broadcast(dim_geography.select("geo_key", "region"))
     j = pre.join(p, "product_key", "inner").join(g, "geo_key", "inner")
     return j.groupBy("year", "region", "category", "product_name").agg(
         F.sum("net_revenue").cast(TOTAL).alias("net_revenue"),
@@ -135,7 +137,7 @@ def segment_quarter_growth(fact: DataFrame, dim_customer: DataFrame) -> DataFram
     previous quarter of the same segment."""
     pre = fact.groupBy("customer_key", F.trunc("order_date", "quarter").alias("quarter_start")).agg(
         F.sum("net_revenue").alias("revenue"))
-    d = dim_customer.select("customer_key", "customer_segment")
+    d = checked_broadcast(dim_customer.select("customer_key", "customer_segment"))
     per = pre.join(d, "customer_key", "inner").groupBy("quarter_start", "customer_segment").agg(
         F.sum("revenue").cast(TOTAL).alias("revenue"))
     w = W.partitionBy("customer_segment").orderBy("quarter_start")
@@ -150,7 +152,7 @@ def segment_quarter_growth(fact: DataFrame, dim_customer: DataFrame) -> DataFram
 def return_rate_by_acquisition(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     pre = fact.groupBy("customer_key").agg(
         F.count(F.lit(1)).alias("lines"), F.sum(F.col("return_flag").cast("int")).alias("returns"))
-    d = dim_customer.select("customer_key", "acquisition_channel")
+    d = checked_broadcast(dim_customer.select("customer_key", "acquisition_channel"))
     per = pre.join(d, "customer_key", "inner").groupBy("acquisition_channel").agg(
         F.sum("lines").cast("long").alias("order_lines"), F.sum("returns").cast("long").alias("returns"))
     return per.withColumn("return_rate", F.col("returns").cast("double") / F.col("order_lines"))
@@ -167,7 +169,7 @@ def region_vs_forecast(fact: DataFrame, dim_geography: DataFrame, forecast: Data
     """Actual revenue per region and year against a forecast table
     (region, year, forecast); by default the uplift rule above."""
     pre = fact.groupBy("geo_key", F.year("order_date").alias("year")).agg(F.sum("net_revenue").alias("revenue"))
-    g = dim_geography.select("geo_key", "region")
+    g = checked_broadcast(dim_geography.select("geo_key", "region"))
     actual = pre.join(g, "geo_key", "inner").groupBy("region", "year").agg(
         F.sum("revenue").cast(TOTAL).alias("revenue"))
     fc = forecast if forecast is not None else revenue_forecast(actual)

@@ -159,7 +159,17 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", t
         *keys, F.col("valid_from").alias("_cur_from"), h.alias("_cur_h"))
     inc = inc.join(cur, keys, "left")
     late = F.col("_cur_from").isNotNull() & (F.col("valid_from") <= F.col("_cur_from"))
-    rejected = inc.filter(late & (F.col("_h") != F.col("_cur_h"))).drop("_h", "_cur_h", "_cur_from")
+    # a late row is harmless when it agrees with the version in force at its
+    # time (e.g. a row the original run collapsed); it is rejected when it
+    # contradicts that version or predates the key's history
+    was = dim.select(*[F.col(k).alias(f"_w_{k}") for k in keys], F.col("valid_from").alias("_w_from"),
+                     (F.col("valid_to") + one_s).alias("_w_to"), h.alias("_w_h"))
+    lr = inc.filter(late)
+    cond = [lr[k] == was[f"_w_{k}"] for k in keys] + [
+        lr["valid_from"] >= was["_w_from"], lr["valid_from"] < was["_w_to"]]
+    rejected = (lr.join(was, cond, "left")
+                .filter(F.col("_w_h").isNull() | (F.col("_w_h") != F.col("_h")))
+                .select(*keys, *attributes, "valid_from"))
 
     w = W.partitionBy(*keys).orderBy("valid_from")
     cand = inc.filter(~late | F.col("_cur_from").isNull())
