@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
 from starloom.functions.keys import surrogate_key
-from starloom.functions.money import MONEY, SMALL_MONEY, dec, round_money
+from starloom.functions.money import SMALL_MONEY, dec, round_money
 from starloom.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
 from starloom.operators.pit import customer_timeline, pit_join
 from starloom.operators.scd2 import CONTIGUOUS

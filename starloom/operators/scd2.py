@@ -93,14 +93,17 @@ def build_dim_customer(feed: DataFrame, as_of=None) -> DataFrame:
 def empty_like_dim(incoming: DataFrame, natural_key="customer_id", attributes=None,
                    surrogate: str = "customer_key") -> DataFrame:
     """An empty merge target with the columns ``scd2_merge`` produces."""
+    from pyspark.sql import types as T
+
     keys = _keys(natural_key)
     attributes = list(attributes or CUSTOMER_ATTRIBUTES)
-    return incoming.limit(0).select(
-        F.lit(None).cast("string").alias(surrogate), *keys, *attributes,
-        _ts(None).alias("valid_from"), _ts(None).alias("valid_to"),
-        F.lit(None).cast("boolean").alias("is_current"),
-        _ts(None).alias("dw_created_at"), _ts(None).alias("dw_updated_at"),
-    )
+    ts = T.TimestampNTZType()
+    fields = ([T.StructField(surrogate, T.StringType())]
+              + [incoming.schema[c] for c in keys + attributes]
+              + [T.StructField("valid_from", ts), T.StructField("valid_to", ts),
+                 T.StructField("is_current", T.BooleanType()),
+                 T.StructField("dw_created_at", ts), T.StructField("dw_updated_at", ts)])
+    return incoming.sparkSession.createDataFrame([], T.StructType(fields))
 
 
 def detect_changes(incoming: DataFrame, dim: DataFrame, natural_key="customer_id",
@@ -211,6 +214,9 @@ def merge_batches(dim: DataFrame, batches, checkpoint: bool = True, **merge_kw):
     geometrically.
     """
     rejected = []
+    if checkpoint:
+        from starloom.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(dim.sparkSession)
     for b in batches:
         dim, rej = scd2_merge(dim, b, **merge_kw)
         if checkpoint:

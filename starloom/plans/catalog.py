@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.dates import fiscal_quarter, fiscal_year, whole_seconds
+from starloom.functions.dates import fiscal_quarter, fiscal_year
 from starloom.functions.keys import surrogate_key
 from starloom.operators import calendar, layout, marts, ops, quality, scd2, upsert
 from starloom.operators.pit import pit_join
 from starloom.operators.schemas import FACT_SCHEMA, conform
-from starloom.params import BENCH_YEAR, CUSTOMER_TRACKED, DEFAULT_AS_OF
+from starloom.params import BENCH_YEAR, DEFAULT_AS_OF
 from starloom.plans.warehouse import Warehouse
 from starloom.session import scratch_path
 from starloom.sources import staging
@@ -651,8 +651,6 @@ def q_segment_revenue_at_order_time(spark, sf_dir):
     return report(out)
 
 
-__all__ = ["QUERIES", "report", "CUSTOMER_TRACKED", "whole_seconds"]
-
 
 # --- streaming ---------------------------------------------------------------------------
 

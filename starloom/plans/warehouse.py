@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import calendar, dims, facts, scd2
 from starloom.params import DEFAULT_AS_OF
+from starloom.session import ensure_checkpoint_dir
 from starloom.sources import staging
 from starloom.sources.tables import read_raw
 
@@ -29,6 +30,8 @@ class Warehouse:
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.materialize = materialize
+        if materialize:
+            ensure_checkpoint_dir(spark)
 
     def _table(self, df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True) if self.materialize else df

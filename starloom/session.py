@@ -56,11 +56,13 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     as is. Only when it is unset (unit tests, local runs) do we set one.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = fallback or os.path.join("/tmp", "starloom-checkpoints")
     sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
