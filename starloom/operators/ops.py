@@ -2,10 +2,9 @@
 
 - ``file_stats``: per data file, min/max of a column, rows and bytes, from
   Parquet's hidden ``_metadata`` columns (one aggregate over the table).
-- ``clustering_depth``: how many files each file's value range overlaps.
-  Computed with two running counts over the start/end events of the file
-  ranges, never by pairing files. The input has one row per file, i.e.
-  the size of the file listing the driver already holds for any read.
+- ``clustering_depth``: how many files each file's value range overlaps,
+  from two distributed "count below" passes over the distinct range ends
+  (range-partitioned running sums), never by pairing files.
 - ``pruning_report``: files and bytes a range predicate has to scan.
 - ``job_log_report`` / ``scan_cost``: workload summary over a job log.
 """
@@ -27,34 +26,54 @@ def file_stats(spark: SparkSession, path: str, col: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("bytes"))
 
 
+BUCKETS = 64
+
+
+def count_below(values: DataFrame, queries: DataFrame, strict: bool = True,
+                buckets: int = BUCKETS) -> DataFrame:
+    """For every distinct query value ``v``: how many values are below it.
+
+    ``values`` is (v, c) with one row per distinct value and its multiplicity;
+    ``queries`` is (v) distinct. Returns (v, below) where below counts values
+    ``< v`` (strict) or ``<= v``. Both inputs are pre-aggregated to distinct
+    values, so a value shared by many files is one row. The events are
+    range-partitioned into ``buckets`` value ranges (Spark samples the
+    bounds; any orderable type works), counted with a running sum inside each
+    bucket, and shifted by the totals of the buckets before it, which is a
+    window over ``buckets`` rows only. The bucketed events are checkpointed
+    so both uses see the same bucket of every row.
+    """
+    # at equal values a strict count must see the query before the value
+    q_kind, v_kind = (0, 1) if strict else (1, 0)
+    ev = values.select("v", F.col("c").cast("long").alias("w"), F.lit(v_kind).alias("kind")).unionByName(
+        queries.select("v", F.lit(0).cast("long").alias("w"), F.lit(q_kind).alias("kind")))
+    ev = ev.repartitionByRange(buckets, "v", "kind").withColumn("pid", F.spark_partition_id()).checkpoint()
+    totals = ev.groupBy("pid").agg(F.sum("w").alias("t"))
+    off = totals.select("pid", F.coalesce(
+        F.sum("t").over(W.orderBy("pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    run = F.sum("w").over(W.partitionBy("pid").orderBy("v", "kind").rowsBetween(W.unboundedPreceding, -1))
+    local = ev.withColumn("run", F.coalesce(run, F.lit(0))).filter(F.col("kind") == q_kind)
+    # ``off`` has one row per bucket: bounded by ``buckets``
+    return local.join(F.broadcast(off), "pid").select("v", (F.col("run") + F.col("off")).cast("long").alias("below"))
+
+
 def file_overlaps(stats: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Per file: depth = number of files whose [lo, hi] intersects its own
     (itself included).
 
-    depth_i = n - #{j: hi_j < lo_i} - #{j: lo_j > hi_i}. Both counts are
-    running counts over the sorted range ends, so the work is a sort of
-    2 x files events, not a pairing of files.
+    depth_i = #{j: lo_j <= hi_i} - #{j: hi_j < lo_i}, both from
+    ``count_below`` over distinct range ends; files are never paired and no
+    step puts more than one value range in a task.
     """
     s = stats.select(F.col("file"), F.col(lo).alias("lo"), F.col(hi).alias("hi"))
-    n = s.agg(F.count(F.lit(1)).alias("n"))
-    ev = s.select("file", F.col("lo").alias("v"), F.lit(0).alias("kind")).unionByName(
-        s.select("file", F.col("hi").alias("v"), F.lit(1).alias("kind")))
-    # ascending; at equal values starts (0) before ends (1): ends counted
-    # before a start are exactly the ranges that end strictly below it
-    up = W.orderBy("v", "kind", "file").rowsBetween(W.unboundedPreceding, -1)
-    # descending; at equal values ends (1) before starts (0)
-    down = W.orderBy(F.desc("v"), F.desc("kind"), "file").rowsBetween(W.unboundedPreceding, -1)
-    ev = ev.select(
-        "file", "kind",
-        F.coalesce(F.sum(F.when(F.col("kind") == 1, 1).otherwise(0)).over(up), F.lit(0)).alias("ends_below"),
-        F.coalesce(F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).over(down), F.lit(0)).alias("starts_above"),
-    )
-    before = ev.filter(F.col("kind") == 0).select("file", "ends_below")
-    after = ev.filter(F.col("kind") == 1).select("file", "starts_above")
-    j = s.join(before, "file").join(after, "file")
-    total = n.first()["n"]  # one scalar
-    return j.select("file", "lo", "hi",
-                    (F.lit(total) - F.col("ends_below") - F.col("starts_above")).cast("long").alias("depth"))
+    his = s.groupBy(F.col("hi").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    los = s.groupBy(F.col("lo").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    ends_below = count_below(his, los.select("v"), strict=True).select(
+        F.col("v").alias("lo"), F.col("below").alias("ends_below"))
+    starts_upto = count_below(los, his.select("v"), strict=False).select(
+        F.col("v").alias("hi"), F.col("below").alias("starts_upto"))
+    j = s.join(ends_below, "lo").join(starts_upto, "hi")
+    return j.select("file", "lo", "hi", (F.col("starts_upto") - F.col("ends_below")).cast("long").alias("depth"))
 
 
 def clustering_depth(stats: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
