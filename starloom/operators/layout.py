@@ -71,16 +71,18 @@ def write_layout(df: DataFrame, path: str, layout: str = "date_channel", files:
 
 
 def read_fact(spark: SparkSession, path: str, date_from=None, date_to=None,
-              require_partition_filter: bool = True) -> DataFrame:
+              require_partition_filter: bool = True, merge_schema: bool = False) -> DataFrame:
     """Guarded reader: a date range is required (cost governance).
 
     Both bounds become a filter on the partition column (partition pruning)
     and on ``order_date`` (row-group pruning). Partition columns are read
-    with their DATE type.
+    with their DATE type. ``merge_schema`` reads partitions written before
+    and after a column was added (missing columns read as NULL).
     """
     if require_partition_filter and date_from is None and date_to is None:
         raise PartitionFilterRequired("read_fact needs date_from and/or date_to")
-    df = spark.read.parquet(path)
+    reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
+    df = reader.parquet(path)
     if date_from is not None:
         d0 = F.lit(str(date_from)).cast("date")
         if PARTITION_COL in df.columns:
