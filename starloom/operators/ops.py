@@ -109,9 +109,18 @@ def scan_cost(bytes_col, cost_per_gb: float = COST_PER_GB):
     return c / F.pow(F.lit(10), F.lit(9)) * F.lit(cost_per_gb)
 
 
-def job_log_report(log: DataFrame, as_of, k: int = 50) -> DataFrame:
-    """Newest ``k`` QUERY jobs created in the day before ``as_of``."""
-    now = F.lit(as_of).cast("timestamp_ntz")
+def job_log_report(log: DataFrame, as_of=None, k: int = 50) -> DataFrame:
+    """Newest ``k`` QUERY jobs created in the day before ``as_of`` (ties by
+    job id). Without ``as_of`` the newest job's creation time is used (a
+    lazy scalar subquery)."""
+    from pyspark.sql import Column
+
+    if as_of is None:
+        now = log.agg(F.max("creation_time")).scalar()
+    elif isinstance(as_of, Column):
+        now = as_of
+    else:
+        now = F.lit(as_of).cast("timestamp_ntz")
     recent = log.filter((F.col("creation_time") >= now - F.expr("INTERVAL 1 DAY"))
                         & (F.col("job_type") == "QUERY"))
     return recent.select(
@@ -120,4 +129,4 @@ def job_log_report(log: DataFrame, as_of, k: int = 50) -> DataFrame:
         (F.col("total_slot_ms") / 1000).alias("slot_seconds"),
         whole_seconds("start_time", "end_time").alias("wall_seconds"),
         "query", "creation_time",
-    ).orderBy(F.desc("creation_time")).limit(k)
+    ).orderBy(F.desc("creation_time"), "job_id").limit(k)

@@ -427,6 +427,13 @@ def q_scan_cost(spark, sf_dir):
     return r.withColumn("cost_usd", ops.scan_cost("bytes_scanned"))
 
 
+@query("job_log_report")
+def q_job_log_report(spark, sf_dir):
+    """Workload report over the job log mapped from the events table: the
+    newest 50 QUERY jobs of the last day of the log."""
+    return ops.job_log_report(staging.job_log_from_events(spark, sf_dir))
+
+
 # --- data quality ----------------------------------------------------------------
 
 @query("dq_orphaned_orders")

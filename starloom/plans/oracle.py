@@ -631,3 +631,22 @@ FROM fact f LEFT JOIN dim_customer d ON f.customer_key = d.customer_key GROUP BY
 
 oracle("stream_fact_upsert", ORACLE["fact_orders"])
 oracle("stream_scd2_merge", with_base(R("ms", **MERGE_REPORT), [merged_cte("ms", 0, src="stg_customers")]))
+
+JOB_LOG = """
+job_log AS (
+  SELECT 'job_' || CAST(event_id AS VARCHAR) AS job_id, upper(event_type) AS statement_type,
+         CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'QUERY'
+              WHEN event_type = 'signup' THEN 'LOAD' ELSE 'EXTRACT' END AS job_type,
+         CAST(round(value * 1e7) AS BIGINT) AS total_bytes_processed,
+         CAST(round(value * 1000) AS BIGINT) AS total_slot_ms,
+         ts AS start_time, ts + to_seconds(user_id % 60) AS end_time, ts AS creation_time, props AS query
+  FROM events)"""
+oracle("job_log_report", f"""WITH {JOB_LOG}
+SELECT job_id, statement_type, total_bytes_processed / POW(10, 9) AS gb_processed,
+       total_slot_ms / 1000 AS slot_seconds,
+       CAST(floor(epoch(end_time)) - floor(epoch(start_time)) AS BIGINT) AS wall_seconds,
+       query, creation_time
+FROM job_log
+WHERE creation_time >= (SELECT max(creation_time) FROM job_log) - INTERVAL 1 DAY AND job_type = 'QUERY'
+ORDER BY creation_time DESC, job_id
+LIMIT 50""")

@@ -198,3 +198,24 @@ def fulfilment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order line, the delivered date (date of the ship timestamp)."""
     li = read_raw(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])
     return li.select(order_line_id().alias("order_line_id"), F.to_date("l_shipdate").alias("delivered_date"))
+
+
+def job_log_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job log in the shape the workload report reads, mapped from the
+    events table: one job per event; reads (view, click, purchase) are
+    QUERY jobs, signups LOAD jobs, errors EXTRACT jobs; the event value sets
+    bytes (x 10^7) and slot milliseconds (x 1000); a job runs
+    ``user_id % 60`` seconds from its event time."""
+    e = read_raw(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    return e.select(
+        F.concat(F.lit("job_"), F.col("event_id").cast("string")).alias("job_id"),
+        F.upper("event_type").alias("statement_type"),
+        F.when(F.col("event_type").isin("view", "click", "purchase"), "QUERY")
+        .when(F.col("event_type") == "signup", "LOAD").otherwise("EXTRACT").alias("job_type"),
+        F.round(F.col("value") * 1e7).cast("long").alias("total_bytes_processed"),
+        F.round(F.col("value") * 1000).cast("long").alias("total_slot_ms"),
+        F.col("ts").alias("start_time"),
+        (F.col("ts") + F.make_dt_interval(secs=(F.col("user_id") % 60).cast("int"))).alias("end_time"),
+        F.col("ts").alias("creation_time"),
+        F.col("props").alias("query"),
+    )

@@ -18,7 +18,8 @@ import __spark_entry__ as E  # noqa: E402
 SF = "/root/testdata/sf0.001"
 SUBSET = ["fact_orders", "dim_customer", "scd2_merge_step", "scd2_changed", "bench_top_products",
           "bench_top_products_preagg", "dq_constraints", "agg_cohort", "upsert_all_columns",
-          "lookback_window", "pit_join_customer", "segment_quarter_growth", "dim_date", "fulfillment_update"]
+          "lookback_window", "pit_join_customer", "segment_quarter_growth", "dim_date", "fulfillment_update",
+          "job_log_report"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("STARLOOM_FULL_ORACLE") else SUBSET
 
 
