@@ -60,17 +60,18 @@ def customer_timeline(dim: DataFrame, first_order_dates: DataFrame | None = None
     for a hot customer (two adjacent joins would stop AQE from splitting the
     first without re-shuffling for the second).
     """
-    from pyspark.sql import Window as W
+    from starloom.operators.sequence import with_neighbours
 
     lo = F.lit(MIN_TS).cast("timestamp_ntz")
     hi = F.lit(END_TS).cast("timestamp_ntz")
     none = [F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in take]
     v = dim.select(F.col(natural_key), F.col("valid_from"),
                    pit_upper(F.col("valid_to"), convention).alias("valid_to"), *take)
-    w = W.partitionBy(natural_key).orderBy("valid_from")
-    nxt = v.select(natural_key, F.col("valid_to").alias("gap_from"),
-                   F.lead("valid_from").over(w).alias("gap_to"),
-                   F.row_number().over(w).alias("n"), F.col("valid_from").alias("first_from"))
+    nb = with_neighbours(v.select(natural_key, "valid_from", "valid_to"), natural_key, "valid_from",
+                         next_cols=["valid_from"], position="n")
+    nxt = nb.select(natural_key, F.col("valid_to").alias("gap_from"),
+                    F.col("_next_valid_from").alias("gap_to"),
+                    "n", F.col("valid_from").alias("first_from"))
     gaps = nxt.filter(F.col("gap_to") > F.col("gap_from")).select(
         natural_key, F.col("gap_from").alias("valid_from"), F.col("gap_to").alias("valid_to"), *none)
     before = nxt.filter(F.col("n") == 1).select(

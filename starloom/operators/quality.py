@@ -5,7 +5,9 @@ when its failing set is empty / its count is 0. Literal forms mirror the
 modelled tests; strict forms close their blind spots (keys with no current
 row, gaps before the current row, overlapping versions).
 
-All checks are single-pass aggregates or per-key windows; none collects.
+All checks are single-pass aggregates or neighbour lookups per key
+(``sequence.with_neighbours``, which spreads a key over several tasks);
+none collects.
 """
 
 from __future__ import annotations
@@ -13,10 +15,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import whole_seconds
+from starloom.operators.sequence import with_neighbours
 
 
 def _count(df: DataFrame, alias: str) -> DataFrame:
@@ -66,11 +68,12 @@ def scd2_current_count(dim: DataFrame, key: str = "customer_id", strict: bool =
 
 
 def _with_next(dim: DataFrame, key: str) -> DataFrame:
-    w = W.partitionBy(key).orderBy("valid_from")
-    nxt = F.lead("valid_from").over(w)
-    return dim.select(key, "valid_from", "valid_to", "is_current",
-                      nxt.alias("next_valid_from"),
-                      whole_seconds(F.col("valid_to"), nxt).alias("gap_seconds"))
+    d = with_neighbours(dim.select(key, "valid_from", "valid_to", "is_current"), key, "valid_from",
+                        next_cols=["valid_from"])
+    nxt = F.col("_next_valid_from")
+    return d.select(key, "valid_from", "valid_to", "is_current",
+                    nxt.alias("next_valid_from"),
+                    whole_seconds(F.col("valid_to"), nxt).alias("gap_seconds"))
 
 
 def scd2_gaps(dim: DataFrame, key: str = "customer_id", strict: bool = False,

@@ -12,18 +12,20 @@ Three entry points share one interval model:
   set, so the step is atomic and a rerun with the same input is a no-op.
   Closed versions end one second before the next starts ("minus_1s").
 
-Every step shuffles on the natural key only once; windows run per key over
-rows already collapsed to one per key and timestamp.
+The history builder and the version numbering take neighbours through
+``sequence.with_neighbours`` (range slices of (key, time)), so a key with a
+huge change feed is spread over many tasks. So do the merge's
+per-key steps over a batch's candidate rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import calendar_days
 from starloom.functions.keys import change_hash, concat_hash, surrogate_key
+from starloom.operators.sequence import with_neighbours
 from starloom.params import CUSTOMER_ATTRIBUTES, CUSTOMER_TRACKED, SCD2_MAX_TS
 
 CONTIGUOUS = "contiguous"
@@ -49,18 +51,16 @@ def scd2_history(feed: DataFrame, natural_key="customer_id", tracked=None,
     keys = _keys(natural_key)
     tracked = list(tracked or CUSTOMER_TRACKED)
     attributes = list(attributes or CUSTOMER_ATTRIBUTES)
-    w = W.partitionBy(*keys).orderBy(ts_col)
-    h = change_hash(tracked)
-    changes = (
-        feed.withColumn("_h", h)
-        .withColumn("_prev_h", F.lag("_h").over(w))
-        .filter(F.col("_prev_h").isNull() | (F.col("_prev_h") != F.col("_h")))
-    )
+    f = feed.select(*keys, *attributes, ts_col).withColumn("_h", change_hash(tracked))
+    # previous / next row per key without putting a whole key in one task
+    f = with_neighbours(f, keys, ts_col, prev_cols=["_h"])
+    changes = f.filter(F.col("_prev__h").isNull() | (F.col("_prev__h") != F.col("_h")))
+    changes = with_neighbours(changes.drop("_prev__h"), keys, ts_col, next_cols=[ts_col])
     return changes.select(
         *keys, *attributes,
         surrogate_key(*keys, ts_col).alias("dbt_scd_id"),
         F.col(ts_col).alias("dbt_valid_from"),
-        F.lead(ts_col).over(w).alias("dbt_valid_to"),
+        F.col(f"_next_{ts_col}").alias("dbt_valid_to"),
         F.col(ts_col).alias("dbt_updated_at"),
     )
 
@@ -72,7 +72,7 @@ def dim_from_snapshot(snapshot: DataFrame, natural_key="customer_id", attributes
     keys = _keys(natural_key)
     attributes = list(attributes or CUSTOMER_ATTRIBUTES)
     now = _ts(as_of) if as_of is not None else F.localtimestamp()
-    w = W.partitionBy(*keys).orderBy("dbt_valid_from")
+    snapshot = with_neighbours(snapshot, keys, "dbt_valid_from", position="_version")
     return snapshot.select(
         surrogate_key(*keys, "dbt_valid_from").alias(surrogate),
         *keys, *attributes,
@@ -80,7 +80,7 @@ def dim_from_snapshot(snapshot: DataFrame, natural_key="customer_id", attributes
         F.coalesce(F.col("dbt_valid_to"), _ts(max_ts)).alias("valid_to"),
         F.col("dbt_valid_to").isNull().alias("is_current"),
         calendar_days("dbt_valid_from", F.coalesce(F.col("dbt_valid_to"), now)).alias("days_active"),
-        F.row_number().over(w).alias("version_number"),
+        F.col("_version").alias("version_number"),
         F.col("dbt_updated_at").alias("dw_updated_at"),
     )
 
@@ -174,11 +174,12 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", t
                 .filter(F.col("_w_h").isNull() | (F.col("_w_h") != F.col("_h")))
                 .select(*keys, *attributes, "valid_from"))
 
-    w = W.partitionBy(*keys).orderBy("valid_from")
     cand = inc.filter(~late | F.col("_cur_from").isNull())
-    cand = cand.withColumn("_prev", F.coalesce(F.lag("_h").over(w), F.col("_cur_h")))
+    cand = with_neighbours(cand, keys, "valid_from", prev_cols=["_h"])
+    cand = cand.withColumn("_prev", F.coalesce(F.col("_prev__h"), F.col("_cur_h")))
     opened = cand.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("_h")))
-    nxt = F.lead("valid_from").over(w)
+    opened = with_neighbours(opened.drop("_prev__h", "_prev"), keys, "valid_from", next_cols=["valid_from"])
+    nxt = F.col("_next_valid_from")
     opened = opened.select(
         surrogate_key(*keys, "valid_from").alias(surrogate), *keys, *attributes, "valid_from",
         F.coalesce(nxt - one_s, _ts(max_ts)).alias("valid_to"),

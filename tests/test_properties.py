@@ -61,3 +61,22 @@ def test_star_report_aggregates_before_joining(spark):
     # the first aggregate sits below the joins (grouped by the fact's keys)
     first_join = plan.index("BroadcastHashJoin")
     assert "keys=[product_key" in plan[first_join:]
+
+
+def test_neighbours_split_hot_key_equal_window(spark):
+    from pyspark.sql import Window as W
+
+    from starloom.operators.sequence import with_neighbours
+    rnd = random.Random(3)
+    rows = [("hot", i, rnd.randint(0, 3)) for i in range(300)]
+    rows += [(f"k{rnd.randint(0, 40)}", rnd.randint(0, 10_000) * 1000 + i, rnd.randint(0, 3)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, t long, v int")
+    got = with_neighbours(df, "k", "t", prev_cols=["v"], next_cols=["t"], position="pos", buckets=8)
+    w = W.partitionBy("k").orderBy("t")
+    exp = df.select("k", "t", "v", F.lag("v").over(w).alias("_prev_v"), F.lead("t").over(w).alias("_next_t"),
+                    F.row_number().over(w).alias("pos"))
+    cols = ["k", "t", "v", "_prev_v", "_next_t", "pos"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
+    # the hot key really is spread over several slices
+    sliced = df.repartitionByRange(8, "k", "t").withColumn("p", F.spark_partition_id())
+    assert sliced.filter(F.col("k") == "hot").select("p").distinct().count() > 1
