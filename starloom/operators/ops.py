@@ -1,7 +1,7 @@
 """Layout and workload analytics, run as Spark jobs.
 
 - ``file_stats``: per data file, min/max of a column, rows and bytes, from
-  Parquet's hidden ``_metadata`` columns (one aggregate over the table).
+  the Parquet footers (row-group statistics), read in parallel tasks.
 - ``clustering_depth``: how many files each file's value range overlaps,
   from two distributed "count below" passes over the distinct range ends
   (range-partitioned running sums), never by pairing files.
@@ -14,18 +14,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.dates import whole_seconds
 from starloom.params import COST_PER_GB
 
 
-def file_stats(spark: SparkSession, path: str, col: str) -> DataFrame:
+def file_stats(spark: SparkSession, path: str, col: str, from_footers: bool = True) -> DataFrame:
+    """Per data file: (file, lo, hi, rows, bytes) of column ``col``.
+
+    By default only Parquet footers are read: Spark spreads the table's file
+    list over tasks and each task reads the row-group statistics of its
+    files with pyarrow, so the cost grows with the number of files, not rows.
+    Files whose footers lack statistics for ``col`` are measured by a scan of
+    that one column (``from_footers=False`` scans every file).
+    """
     df = spark.read.parquet(path)
+    if from_footers:
+        files = df.inputFiles()
+        if files:
+            dtype = df.schema[col].dataType
+            schema = T.StructType([T.StructField("file", T.StringType()), T.StructField("lo", dtype),
+                                   T.StructField("hi", dtype), T.StructField("rows", T.LongType()),
+                                   T.StructField("bytes", T.LongType()), T.StructField("ok", T.BooleanType())])
+            lst = spark.createDataFrame([(f,) for f in files], "file string")
+            n = max(1, min(len(files), spark.sparkContext.defaultParallelism * 4))
+            st = lst.repartition(n).mapInPandas(_footer_reader(col), schema)
+            # one spelling for local paths, as Spark's _metadata.file_path has it
+            st = st.withColumn("file", F.regexp_replace("file", "^file:///", "file:/")).checkpoint(eager=True)
+            missing = st.filter(~F.col("ok")).select("file")
+            good = st.filter(F.col("ok")).drop("ok")
+            if missing.limit(1).count() == 0:
+                return good
+            return good.unionByName(_scan_stats(df, col).join(missing, "file", "left_semi"))
+    return _scan_stats(df, col)
+
+
+def _scan_stats(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.min(col).alias("lo"), F.max(col).alias("hi"),
         F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("bytes"))
 
 
+def _footer_reader(col: str):
+    def read(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for pdf in batches:
+            out = []
+            for f in pdf["file"]:
+                fs, p = pafs.FileSystem.from_uri(f)
+                size = fs.get_file_info(p).size
+                with fs.open_input_file(p) as fh:
+                    md = pq.ParquetFile(fh).metadata
+                names = [md.schema.column(i).name for i in range(md.num_columns)]
+                lo = hi = None
+                ok = col in names
+                if ok:
+                    ci = names.index(col)
+                    for g in range(md.num_row_groups):
+                        st = md.row_group(g).column(ci).statistics
+                        if md.row_group(g).num_rows == 0:
+                            continue
+                        if st is None or not st.has_min_max:
+                            ok = False
+                            break
+                        lo = st.min if lo is None else min(lo, st.min)
+                        hi = st.max if hi is None else max(hi, st.max)
+                out.append((f, lo, hi, md.num_rows, size, ok))
+            yield pd.DataFrame(out, columns=["file", "lo", "hi", "rows", "bytes", "ok"])
+    return read
+
+
 BUCKETS = 64
 
 

@@ -171,3 +171,12 @@ def test_schema_evolution_merge_schema(spark, scratch):
     df = layout.read_fact(spark, p, "2023-01-01", "2023-12-31", merge_schema=True)
     assert "currency_key" in df.columns and df.count() == 40
     assert df.filter(F.col("currency_key").isNull()).count() == old.count()
+
+
+def test_footer_stats_equal_scan_stats(spark, scratch):
+    p = os.path.join(scratch, "f")
+    layout.write_layout(_fact(spark), p, "customer", files=4)
+    for col in ("customer_id", "order_date"):
+        a = sorted(map(tuple, ops.file_stats(spark, p, col).collect()))
+        b = sorted(map(tuple, ops.file_stats(spark, p, col, from_footers=False).collect()))
+        assert a == b and len(a) == 4
