@@ -191,7 +191,9 @@ def write_versioned(spark: SparkSession, df: DataFrame, base: str) -> str:
                 versions.append(int(n[2:]))
     nxt = max(versions, default=0) + 1
     target = f"{base.rstrip('/')}/v={nxt}"
-    df.write.mode("errorifexists").parquet(target)
+    # the version folder is invisible until the pointer moves, so a retried
+    # write after a lost executor or a failed attempt simply overwrites it
+    df.write.mode("overwrite").parquet(target)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTER}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(str(nxt).encode()))
