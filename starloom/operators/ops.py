@@ -88,11 +88,8 @@ def _footer_reader(col: str):
     return read
 
 
-BUCKETS = 64
-
-
 def count_below(values: DataFrame, queries: DataFrame, strict: bool = True,
-                buckets: int = BUCKETS) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """For every distinct query value ``v``: how many values are below it.
 
     ``values`` is (v, c) with one row per distinct value and its multiplicity;
@@ -107,6 +104,7 @@ def count_below(values: DataFrame, queries: DataFrame, strict: bool = True,
     """
     # at equal values a strict count must see the query before the value
     q_kind, v_kind = (0, 1) if strict else (1, 0)
+    buckets = buckets or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ev = values.select("v", F.col("c").cast("long").alias("w"), F.lit(v_kind).alias("kind")).unionByName(
         queries.select("v", F.lit(0).cast("long").alias("w"), F.lit(q_kind).alias("kind")))
     ev = ev.repartitionByRange(buckets, "v", "kind").withColumn("pid", F.spark_partition_id()).checkpoint()

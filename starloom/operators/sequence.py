@@ -16,17 +16,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 64
+def default_buckets(df: DataFrame) -> int:
+    """Slices = the session's shuffle partitions (sized for the cluster)."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def with_neighbours(df: DataFrame, keys, order_col: str, prev_cols=(), next_cols=(),
-                    position: str | None = None, buckets: int = BUCKETS,
+                    position: str | None = None, buckets: int | None = None,
                     checkpoint: bool = True) -> DataFrame:
     """Add ``_prev_<c>`` for ``prev_cols`` (value on the previous row of the
     same key by ``order_col``) and ``_next_<c>`` for ``next_cols`` (value on
     the next row), NULL at the key's first / last row; with ``position``, a
     column of that name with the row's 1-based position within its key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
+    buckets = buckets or default_buckets(df)
     part = df.repartitionByRange(buckets, *keys, order_col).withColumn("_pid", F.spark_partition_id())
     if checkpoint:
         part = part.checkpoint(eager=True)
