@@ -104,10 +104,10 @@ def count_below(values: DataFrame, queries: DataFrame, strict: bool = True,
     """
     # at equal values a strict count must see the query before the value
     q_kind, v_kind = (0, 1) if strict else (1, 0)
-    buckets = buckets or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ev = values.select("v", F.col("c").cast("long").alias("w"), F.lit(v_kind).alias("kind")).unionByName(
         queries.select("v", F.lit(0).cast("long").alias("w"), F.lit(q_kind).alias("kind")))
-    ev = ev.repartitionByRange(buckets, "v", "kind").withColumn("pid", F.spark_partition_id()).checkpoint()
+    ev = ev.repartitionByRange(buckets, "v", "kind") if buckets else ev.repartitionByRange("v", "kind")
+    ev = ev.withColumn("pid", F.spark_partition_id()).checkpoint()
     totals = ev.groupBy("pid").agg(F.sum("w").alias("t"))
     off = totals.select("pid", F.coalesce(
         F.sum("t").over(W.orderBy("pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("off"))

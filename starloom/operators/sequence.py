@@ -16,11 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-def default_buckets(df: DataFrame) -> int:
-    """Slices = the session's shuffle partitions (sized for the cluster)."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def with_neighbours(df: DataFrame, keys, order_col: str, prev_cols=(), next_cols=(),
                     position: str | None = None, buckets: int | None = None,
                     checkpoint: bool = True) -> DataFrame:
@@ -29,8 +24,11 @@ def with_neighbours(df: DataFrame, keys, order_col: str, prev_cols=(), next_cols
     the next row), NULL at the key's first / last row; with ``position``, a
     column of that name with the row's 1-based position within its key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    buckets = buckets or default_buckets(df)
-    part = df.repartitionByRange(buckets, *keys, order_col).withColumn("_pid", F.spark_partition_id())
+    # without an explicit count the session's shuffle partitions apply and
+    # AQE may merge neighbouring ranges of small data; merged slices stay
+    # contiguous and in order, which is all the carry step needs
+    rng = df.repartitionByRange(buckets, *keys, order_col) if buckets else df.repartitionByRange(*keys, order_col)
+    part = rng.withColumn("_pid", F.spark_partition_id())
     if checkpoint:
         part = part.checkpoint(eager=True)
     w = W.partitionBy("_pid", *keys).orderBy(order_col)

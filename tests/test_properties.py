@@ -77,6 +77,9 @@ def test_neighbours_split_hot_key_equal_window(spark):
                     F.row_number().over(w).alias("pos"))
     cols = ["k", "t", "v", "_prev_v", "_next_t", "pos"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
+    # default slicing (session partitions, AQE may merge neighbouring ranges)
+    got2 = with_neighbours(df, "k", "t", prev_cols=["v"], next_cols=["t"], position="pos")
+    assert sorted(map(tuple, got2.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
     # the hot key really is spread over several slices
     sliced = df.repartitionByRange(8, "k", "t").withColumn("p", F.spark_partition_id())
     assert sliced.filter(F.col("k") == "hot").select("p").distinct().count() > 1
