@@ -2,11 +2,11 @@
 
 ``F.lag``/``F.lead`` over ``Window.partitionBy(key)`` put every row of a key
 in one task; a key holding a large share of the rows then runs alone. Here
-the rows are range-partitioned by (key, order) into ``buckets`` slices, so a
-hot key spans several slices. Inside a slice the neighbour is a plain
+the rows are range-partitioned by (key, order) into slices (``buckets``, or
+the session's shuffle partitions), so a hot key spans several slices. Inside a slice the neighbour is a plain
 lag/lead; across slices it is carried from a per-(slice, key) summary (the
 last / first row of the key in the neighbouring slice), and that summary
-has at most ``buckets`` rows for any one key. The sliced rows are
+has at most one row per slice for any one key. The sliced rows are
 checkpointed so every use sees the same slice of each row.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+
 def with_neighbours(df: DataFrame, keys, order_col: str, prev_cols=(), next_cols=(),
                     position: str | None = None, buckets: int | None = None,
                     checkpoint: bool = True) -> DataFrame:
