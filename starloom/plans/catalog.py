@@ -10,6 +10,7 @@ shared checkpoint directory and read the table back.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import reduce
 
@@ -65,8 +66,18 @@ def report(df: DataFrame, text_ts=("valid_to",)) -> DataFrame:
     return df.select(*cols)
 
 
+_WAREHOUSES: dict = {}
+
+
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(spark, sf_dir, as_of=AS_OF)
+    """One warehouse per (application, raw folder): its dimensions are built
+    and checkpointed once, and every report reads them, as reports read the
+    warehouse tables of the current cycle."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    w = _WAREHOUSES.get(key)
+    if w is None:
+        w = _WAREHOUSES[key] = Warehouse(spark, sf_dir, as_of=AS_OF)
+    return w
 
 
 # --- staging and dimensions ---------------------------------------------------
