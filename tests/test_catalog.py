@@ -14,13 +14,14 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 from check_oracle import TABLES, rows_of  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
+from starloom.plans import catalog, oracle  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 SUBSET = ["fact_orders", "dim_customer", "scd2_merge_step", "scd2_changed", "bench_top_products",
           "bench_top_products_preagg", "dq_constraints", "agg_cohort", "upsert_all_columns",
           "lookback_window", "pit_join_customer", "segment_quarter_growth", "dim_date", "fulfillment_update",
           "job_log_report"]
-NAMES = sorted(E.oracle_sql()) if os.environ.get("STARLOOM_FULL_ORACLE") else SUBSET
+NAMES = sorted(oracle.ORACLE) if os.environ.get("STARLOOM_FULL_ORACLE") else SUBSET
 
 
 @pytest.fixture(scope="module")
@@ -55,5 +56,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_layout_dependent():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalog.QUERIES) - set(E.oracle_sql())
     assert missing == {"clustering_depth", "pruning_report", "scan_cost"}
