@@ -7,6 +7,7 @@ construction (about 365 rows a year).
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 import os
 
@@ -92,8 +93,7 @@ def dim_date(days: DataFrame, fiscal_start: int = FISCAL_START_MONTH,
             "holiday_name", F.lit(None).cast("string"))
     h = holidays.select(F.col("full_date").alias("_hd"), F.col("is_holiday").alias("_hh"),
                         F.col("holiday_name").alias("_hn"))
-    # the seed is small and bounded by the calendar span
-    out = cal.join(F.broadcast(h), cal.full_date == h._hd, "left")
+    out = cal.join(h, cal.full_date == h._hd, "left")
     return out.select(
         *[c for c in cal.columns],
         F.coalesce(F.col("_hh"), F.lit(False)).alias("is_holiday"),
@@ -128,6 +128,15 @@ def date_spine(days: DataFrame, fiscal_start: int = FISCAL_START_MONTH) -> DataF
 
 
 def read_holiday_seed(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Load the holiday seed CSV with an explicit schema (no inference)."""
-    path = path or os.path.join(SEED_DIR, "holidays.csv")
-    return spark.read.csv(path, header=True, schema=HOLIDAY_SCHEMA)
+    """Load a holiday seed CSV with an explicit schema (no inference).
+
+    The package's own seed (one row per holiday and year) is a file of the
+    driver's installation, so the driver reads it and ships the rows; a given
+    path is read by Spark.
+    """
+    if path is not None:
+        return spark.read.csv(path, header=True, schema=HOLIDAY_SCHEMA)
+    with open(os.path.join(SEED_DIR, "holidays.csv"), newline="", encoding="utf-8") as f:
+        rows = [(_dt.date.fromisoformat(r["full_date"]), r["is_holiday"].lower() == "true", r["holiday_name"])
+                for r in csv.DictReader(f)]
+    return spark.createDataFrame(rows, HOLIDAY_SCHEMA)

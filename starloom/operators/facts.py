@@ -4,7 +4,7 @@ Grain: one row per order line, keyed by a hash of the line id (several lines
 share an order id, so a key on the order id alone would collide).
 
 Join plan: each lookup side is a narrow projection of a dimension,
-broadcast when its row count passes ``joins.checked_broadcast`` (then the
+broadcast when its measured size passes ``joins.checked_broadcast`` (then the
 whole assembly is one pipelined stage over the staged lines, no shuffle of
 the fact at all). Above the bound the side is shuffle-joined. The customer
 version and the first-order date come from one time-line cover per
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import date_key
 from starloom.functions.keys import surrogate_key
 from starloom.functions.money import SMALL_MONEY, dec, round_money
-from starloom.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
+from starloom.operators.joins import BROADCAST_MAX_BYTES, checked_broadcast
 from starloom.operators.pit import customer_timeline, pit_join
 from starloom.operators.scd2 import CONTIGUOUS
 from starloom.params import TAX_RATE
@@ -82,20 +82,23 @@ def assemble(o: DataFrame, as_of=None, tax_rate: str = TAX_RATE) -> DataFrame:
 
 
 def build_fact(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-               dim_geography: DataFrame, first_order_dates: DataFrame, as_of=None,
+               dim_geography: DataFrame, first_order_dates: DataFrame | None, as_of=None,
                at: str = "order_date", convention: str = CONTIGUOUS,
-               tax_rate: str = TAX_RATE, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               tax_rate: str = TAX_RATE, broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+               timeline: DataFrame | None = None) -> DataFrame:
     """Fact rows for ``orders`` (all of staging, or an incremental slice).
 
     ``first_order_dates`` must be computed over all orders, not the slice.
-    Pass materialised dimensions: each is counted once for the broadcast
-    decision.
+    Pass materialised dimensions: each is measured once for the broadcast
+    decision. ``timeline`` is the stored customer time line; without it, it
+    is derived from the dimension and the first order dates.
     """
     def side(df):
-        return checked_broadcast(df, broadcast_max_rows)
+        return checked_broadcast(df, broadcast_max_bytes)
 
-    timeline = side(customer_timeline(dim_customer, first_order_dates, convention=convention))
-    x = pit_join(orders, timeline, at=at, take=("customer_key", "first_order_date"))
+    if timeline is None:
+        timeline = customer_timeline(dim_customer, first_order_dates, convention=convention)
+    x = pit_join(orders, side(timeline), at=at, take=("customer_key", "first_order_date"))
     x = x.join(side(dim_product.select("product_id", "product_key", "cost_price")), "product_id", "left")
     x = x.join(side(dim_geography.select("city", "state", "country", "geo_key")), ["city", "state", "country"], "left")
     return assemble(x, as_of=as_of, tax_rate=tax_rate)

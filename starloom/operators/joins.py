@@ -1,22 +1,32 @@
 """Join helpers: broadcast only behind a size check.
 
-A dimension is broadcast when its row count is at most ``max_rows``;
-otherwise it is returned untouched and Spark plans a shuffle (sort-merge)
-join, where AQE's skew-join handling splits hot keys of the fact side.
-The count is one job over the dimension alone (pass a materialised
-dimension so it is a scan of its stored rows).
+A dimension is broadcast when its rows are measured at no more than
+``max_bytes``; otherwise it is returned untouched and Spark plans a shuffle
+(sort-merge) join, where AQE's skew-join handling splits hot keys of the
+fact side. The measurement is one aggregate over the dimension's projected
+columns (pass a materialised dimension so it is a scan of its stored rows).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a narrow dimension projection may have to be broadcast (a few
-# columns of ~32 bytes each: ~100 MB at the bound).
-BROADCAST_MAX_ROWS = 1_000_000
+# Bytes a dimension projection may have to be broadcast.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# What any value takes in a row, beside a string's own bytes.
+VALUE_BYTES = 16
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows: a fixed cost per value plus the strings' lengths."""
+    row = F.lit(VALUE_BYTES * len(df.columns))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            row = row + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    return df.agg(F.sum(row.cast("long")).alias("n")).first()["n"] or 0
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df

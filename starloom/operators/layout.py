@@ -1,37 +1,48 @@
 """Physical layout of warehouse tables on Parquet, and their maintenance.
 
-- Fact: Hive-style partitions by ``order_month`` (a DATE, the first of the
-  month; day partitions of a modest table make tiny files), rows
-  range-partitioned and sorted by the cluster keys inside each file, so
-  both partition pruning and Parquet min/max row-group pruning work.
-  ``repartitionByRange`` splits a large month over many tasks, so no month
-  (or hot customer) is written by one task.
+- Fact: Hive-style partitions by month (or by day, for tables whose days fill
+  files), rows range-partitioned and sorted by the cluster keys inside each
+  file, so both partition pruning and Parquet min/max row-group pruning work.
+  ``repartitionByRange`` splits a large partition over many tasks, so no
+  month, day or hot customer is written by one task. The sort starts with the
+  partition column: a partitioned write asks for that order and would replace
+  any other.
 - Writes of touched partitions use dynamic partition overwrite after the
   new rows have been checkpointed to the shared checkpoint folder (lineage
   cut; a lost executor recomputes from the checkpoint, and the source
   partitions are not read while they are overwritten).
 - Overwrite-style tables (dimensions, aggregates) are written to a fresh
-  version directory and switched by a pointer file.
+  version directory; the newest complete version is the table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from starloom.params import RETENTION_DAYS
 
-PARTITION_COL = "order_month"
 TIEBREAK = "order_key"
+PARTITION_COLS = {"month": "order_month", "day": "order_day"}
+PARTITION_COL = PARTITION_COLS["month"]
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+class Layout(NamedTuple):
+    grain: str | None  # partitions: a key of PARTITION_COLS, or none
+    cluster: tuple[str, ...]
+
 
 LAYOUTS = {
-    # name: (partitioned by month?, cluster columns)
-    "none": (False, None),
-    "date": (True, ["order_date"]),
-    "date_channel": (True, ["order_date", "channel"]),
-    "customer": (False, ["customer_id", "order_date"]),
+    "none": Layout(None, ()),
+    "date": Layout("month", ("order_date",)),
+    "date_channel": Layout("month", ("order_date", "channel")),
+    "day_customer_channel": Layout("day", ("customer_id", "channel")),
+    "customer": Layout(None, ("customer_id", "order_date")),
 }
 
 
@@ -39,33 +50,43 @@ class PartitionFilterRequired(ValueError):
     """A read of a partitioned fact without a date range."""
 
 
-def with_partition_col(df: DataFrame, date_col: str = "order_date") -> DataFrame:
-    return df.withColumn(PARTITION_COL, F.trunc(F.col(date_col), "month"))
+def partition_col(layout: str) -> str | None:
+    return PARTITION_COLS.get(LAYOUTS[layout].grain)
+
+
+def with_partition_col(df: DataFrame, date_col: str = "order_date", grain: str = "month") -> DataFrame:
+    day = F.col(date_col)
+    return df.withColumn(PARTITION_COLS[grain], F.trunc(day, "month") if grain == "month" else day)
+
+
+def without_partition_col(df: DataFrame) -> DataFrame:
+    return df.drop(*PARTITION_COLS.values())
 
 
 def arrange(df: DataFrame, layout: str = "date_channel", files: int | None = None) -> DataFrame:
-    """Order rows for a layout without writing them."""
-    partitioned, cluster = LAYOUTS[layout]
-    out = with_partition_col(df) if partitioned else df
-    if cluster is None:
+    """Order rows for a layout without writing them. ``files`` is for tests
+    and small copies; by default the session's shuffle settings decide."""
+    grain, cluster = LAYOUTS[layout]
+    out = with_partition_col(df, grain=grain) if grain else df
+    if not cluster:
         # unclustered: spread rows by a hash of the key, i.e. no order at all
         return out.repartition(files, "order_key") if files else out.repartition("order_key")
+    keys = [PARTITION_COLS[grain], *cluster] if grain else list(cluster)
     # a unique tie-breaker after the cluster columns lets the range
     # partitioner split one hot cluster value (a day or a customer holding a
     # large share of rows) over several tasks and files
-    rng = cluster + [TIEBREAK] if TIEBREAK in out.columns else cluster
+    rng = [*keys, TIEBREAK] if TIEBREAK in out.columns else keys
     out = out.repartitionByRange(files, *rng) if files else out.repartitionByRange(*rng)
-    return out.sortWithinPartitions(*cluster)
+    return out.sortWithinPartitions(*keys)
 
 
 def write_layout(df: DataFrame, path: str, layout: str = "date_channel", files: int | None = None,
                  mode: str = "overwrite", max_records_per_file: int | None = None) -> str:
-    partitioned, _ = LAYOUTS[layout]
     w = arrange(df, layout, files).write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    if partitioned:
-        w = w.partitionBy(PARTITION_COL).option("partitionOverwriteMode", "dynamic")
+    if partition_col(layout):
+        w = w.partitionBy(partition_col(layout)).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
     return path
 
@@ -83,62 +104,88 @@ def read_fact(spark: SparkSession, path: str, date_from=None, date_to=None,
         raise PartitionFilterRequired("read_fact needs date_from and/or date_to")
     reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
     df = reader.parquet(path)
+    month, day = PARTITION_COLS["month"], PARTITION_COLS["day"]
     if date_from is not None:
         d0 = F.lit(str(date_from)).cast("date")
-        if PARTITION_COL in df.columns:
-            df = df.filter(F.col(PARTITION_COL) >= F.trunc(d0, "month"))
+        if month in df.columns:
+            df = df.filter(F.col(month) >= F.trunc(d0, "month"))
+        if day in df.columns:
+            df = df.filter(F.col(day) >= d0)
         df = df.filter(F.col("order_date") >= d0)
     if date_to is not None:
         d1 = F.lit(str(date_to)).cast("date")
-        if PARTITION_COL in df.columns:
-            df = df.filter(F.col(PARTITION_COL) <= d1)
+        for c in (month, day):
+            if c in df.columns:
+                df = df.filter(F.col(c) <= d1)
         df = df.filter(F.col("order_date") <= d1)
     return df
 
 
-def touched_months(df: DataFrame, date_col: str = "order_date") -> list:
-    """Distinct months of a batch. The list is bounded by the batch's date
-    span (one entry per month), so it is safe to bring to the driver and
-    turn into a literal partition filter."""
-    rows = df.select(F.trunc(F.col(date_col), "month").alias("m")).distinct().collect()
-    return sorted(r["m"] for r in rows if r["m"] is not None)
+def _in_partitions(col: str, values: list):
+    """Rows of the given partitions; None stands for the one without a date."""
+    known = [v for v in values if v is not None]
+    cond = F.col(col).isin(known) if known else F.lit(False)
+    return cond | F.col(col).isNull() if None in values else cond
 
 
 def rewrite_partitions(spark: SparkSession, new_rows: DataFrame, path: str,
-                       layout: str = "date_channel") -> None:
-    """Replace the partitions present in ``new_rows`` and nothing else.
+                       layout: str = "date_channel", read: list | None = None) -> None:
+    """Replace the partitions present in ``new_rows``, and drop those of
+    ``read`` (the partitions that the rows were taken from) that have no rows
+    left.
 
     The rows are checkpointed first (reliable checkpoint in the shared
     folder), which cuts the lineage to the partitions being replaced.
     """
-    staged = arrange(new_rows.drop(PARTITION_COL) if PARTITION_COL in new_rows.columns else new_rows,
-                     layout).checkpoint(eager=True)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PARTITION_COL).parquet(path))
-
-
-def merge_into(spark: SparkSession, path: str, source: DataFrame, merge_fn, layout: str = "date_channel") -> None:
+    col = partition_col(layout)
+    staged = arrange(without_partition_col(new_rows), layout).checkpoint(eager=True)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
+    if read:
+        written = {r[0] for r in staged.select(col).distinct().collect()}  # days or months
+        fs, _, jvm = _fs(spark, path)
+        for value in set(read) - written:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{col}={NULL_PARTITION if value is None else value}"), True)
+
+
+def merge_into(spark: SparkSession, path: str, source: DataFrame, merge_fn, layout: str = "date_channel",
+               key: str = "order_key") -> None:
     """Upsert ``source`` into the partitioned table at ``path``.
 
-    Only partitions of the source's months are read and rewritten (a row's
-    order date never changes, so its match lives in the same month).
+    The source is evaluated once (checkpointed). Read and rewritten are the
+    partitions of the source's dates and those that hold any of its keys (a
+    correction may have moved a date), found by a semi join on the key column;
+    rows without a date are a partition like any other.
     ``merge_fn(target_subset, source) -> merged rows``.
     """
-    months = touched_months(source)
-    if not months:
+    grain, _ = LAYOUTS[layout]
+    col = PARTITION_COLS[grain]
+    batch = source.checkpoint(eager=True)
+    target = spark.read.parquet(path)
+    held = target.select(key, col).join(batch.select(key).distinct(), key, "left_semi").select(col)
+    # one value per day or month: bounded by the table's span of dates
+    touched = [r[0] for r in with_partition_col(batch, grain=grain).select(col).unionByName(held).distinct().collect()]
+    if not touched:
         return
-    target = spark.read.parquet(path).filter(F.col(PARTITION_COL).isin(months)).drop(PARTITION_COL)
-    merged = merge_fn(target, source)
-    rewrite_partitions(spark, merged, path, layout)
+    merged = merge_fn(without_partition_col(target.filter(_in_partitions(col, touched))), batch)
+    rewrite_partitions(spark, merged, path, layout, read=touched)
+
+
+def disordered_partitions(spark: SparkSession, path: str, layout: str = "date_channel") -> list:
+    """Partitions in which the files' ranges of the first cluster column overlap."""
+    col, first = partition_col(layout), LAYOUTS[layout].cluster[0]
+    per = spark.read.parquet(path).groupBy(col, F.col("_metadata.file_path").alias("file")).agg(
+        F.min(first).alias("lo"), F.max(first).alias("hi"))
+    # one row per file; files of one partition are its own only
+    before = F.max("hi").over(W.partitionBy(col).orderBy("lo", "file").rowsBetween(W.unboundedPreceding, -1))
+    return [r[0] for r in per.withColumn("before", before).filter(F.col("lo") < F.col("before")).select(col).distinct().collect()]
 
 
 def recluster(spark: SparkSession, path: str, months=None, layout: str = "date_channel") -> None:
-    """Re-sort the given partitions (all when ``months`` is None) by the
-    cluster keys, e.g. after a backfill disturbed the order."""
-    df = spark.read.parquet(path)
-    if months:
-        df = df.filter(F.col(PARTITION_COL).isin(list(months)))
-    rewrite_partitions(spark, df.drop(PARTITION_COL), path, layout)
+    """Re-sort the given partitions by the cluster keys, e.g. after a backfill
+    disturbed the order; by default those whose files overlap."""
+    parts = disordered_partitions(spark, path, layout) if months is None else list(months)
+    if parts:
+        rewrite_partitions(spark, spark.read.parquet(path).filter(_in_partitions(partition_col(layout), parts)), path, layout)
 
 
 def expired_months(months_df: DataFrame, as_of, days: int = RETENTION_DAYS) -> DataFrame:
@@ -154,62 +201,57 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
 def drop_expired_partitions(spark: SparkSession, path: str, as_of, days: int = RETENTION_DAYS) -> list:
-    """Delete partition directories older than the retention window."""
+    """Delete partition directories (months or days) older than the retention
+    window. Rows without a date have no age and stay."""
     fs, root, jvm = _fs(spark, path)
     cutoff = (as_of.date() if isinstance(as_of, _dt.datetime) else as_of) - _dt.timedelta(days=days)
     dropped = []
     for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if not name.startswith(PARTITION_COL + "="):
+        col, _, value = st.getPath().getName().partition("=")
+        if col not in PARTITION_COLS.values() or value == NULL_PARTITION:
             continue
-        month = _dt.date.fromisoformat(name.split("=", 1)[1])
-        nxt = (month.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
-        if nxt - _dt.timedelta(days=1) < cutoff:
+        last = start = _dt.date.fromisoformat(value)
+        if col == PARTITION_COLS["month"]:
+            last = (start.replace(day=28) + _dt.timedelta(days=4)).replace(day=1) - _dt.timedelta(days=1)
+        if last < cutoff:
             fs.delete(st.getPath(), True)
-            dropped.append(month)
+            dropped.append(start)
     return sorted(dropped)
 
 
 # --- versioned overwrite for dimension / aggregate tables --------------------
 
-POINTER = "_CURRENT"
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """The newest version whose write was committed (it has Spark's
+    ``_SUCCESS`` file); None when there is none."""
+    fs, root, jvm = _fs(spark, base)
+    if not fs.exists(root):
+        return None
+    numbers = [int(st.getPath().getName()[2:]) for st in fs.listStatus(root) if st.getPath().getName().startswith("v=")]
+    done = [n for n in numbers if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/v={n}/_SUCCESS"))]
+    return max(done, default=None)
 
 
 def write_versioned(spark: SparkSession, df: DataFrame, base: str) -> str:
-    """Write a new version under ``base/v=<n>`` and switch the pointer.
+    """Write the next version under ``base/v=<n>``.
 
-    Readers follow the pointer, so they see the old or the new version,
-    never a half-written one; a failed write leaves the pointer unchanged.
+    A version counts once its write is committed, so readers see the old or
+    the new one, never a half-written one; what a failed write left behind is
+    overwritten by the next.
     """
-    fs, root, jvm = _fs(spark, base)
-    versions = []
-    if fs.exists(root):
-        for st in fs.listStatus(root):
-            n = st.getPath().getName()
-            if n.startswith("v="):
-                versions.append(int(n[2:]))
-    nxt = max(versions, default=0) + 1
-    target = f"{base.rstrip('/')}/v={nxt}"
-    # the version folder is invisible until the pointer moves, so a retried
-    # write after a lost executor or a failed attempt simply overwrites it
+    target = f"{base.rstrip('/')}/v={(current_version(spark, base) or 0) + 1}"
     df.write.mode("overwrite").parquet(target)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTER}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(str(nxt).encode()))
-    out.close()
-    ptr = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTER}")
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    fs.rename(tmp, ptr)
     return target
 
 
 def read_versioned(spark: SparkSession, base: str) -> DataFrame:
-    fs, root, jvm = _fs(spark, base)
-    ptr = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTER}")
-    stream = fs.open(ptr)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
-    n = reader.readLine().strip()
-    reader.close()
+    n = current_version(spark, base)
+    if n is None:
+        raise FileNotFoundError(f"no complete version under {base}")
     return spark.read.parquet(f"{base.rstrip('/')}/v={n}")

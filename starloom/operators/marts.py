@@ -4,7 +4,7 @@ Star queries aggregate the fact by its foreign keys *before* joining the
 dimensions (eager aggregation): the partial aggregate combines map-side, so
 the joins see one row per (key, group) instead of one per order line, and a
 hot key costs nothing extra. The dimension attributes are then re-grouped. Dimension sides are broadcast
-behind a row-count check (``joins.checked_broadcast``).
+behind a size check (``joins.checked_broadcast``).
 """
 
 from __future__ import annotations
@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import month_start
 from starloom.functions.money import TOTAL
 from starloom.operators.joins import checked_broadcast
-from starloom.params import FORECAST_UPLIFT, TOP_K
+from starloom.params import FORECAST_UPLIFT, TOP_K, UNKNOWN
 
 
 def _between(df: DataFrame, date_from, date_to, col: str = "order_date") -> DataFrame:
-    if date_from is None and date_to is None:
-        return df
-    return df.filter(F.col(col).between(F.lit(str(date_from)).cast("date"), F.lit(str(date_to)).cast("date")))
+    if date_from is not None:
+        df = df.filter(F.col(col) >= F.lit(str(date_from)).cast("date"))
+    if date_to is not None:
+        df = df.filter(F.col(col) <= F.lit(str(date_to)).cast("date"))
+    return df
 
 
 def money_sum(col: str, alias: str):
@@ -134,11 +136,13 @@ def agg_channel_perf(fact: DataFrame) -> DataFrame:
 
 def segment_quarter_growth(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Revenue by quarter and segment at order time, with growth vs the
-    previous quarter of the same segment."""
+    previous quarter of the same segment; lines without a customer version
+    are the segment ``UNKNOWN``."""
     pre = fact.groupBy("customer_key", F.trunc("order_date", "quarter").alias("quarter_start")).agg(
         F.sum("net_revenue").alias("revenue"))
     d = checked_broadcast(dim_customer.select("customer_key", "customer_segment"))
-    per = pre.join(d, "customer_key", "inner").groupBy("quarter_start", "customer_segment").agg(
+    j = pre.join(d, "customer_key", "left").withColumn("customer_segment", F.coalesce("customer_segment", F.lit(UNKNOWN)))
+    per = j.groupBy("quarter_start", "customer_segment").agg(
         F.sum("revenue").cast(TOTAL).alias("revenue"))
     w = W.partitionBy("customer_segment").orderBy("quarter_start")
     prev = F.lag("revenue").over(w)
@@ -153,7 +157,8 @@ def return_rate_by_acquisition(fact: DataFrame, dim_customer: DataFrame) -> Data
     pre = fact.groupBy("customer_key").agg(
         F.count(F.lit(1)).alias("lines"), F.sum(F.col("return_flag").cast("int")).alias("returns"))
     d = checked_broadcast(dim_customer.select("customer_key", "acquisition_channel"))
-    per = pre.join(d, "customer_key", "inner").groupBy("acquisition_channel").agg(
+    j = pre.join(d, "customer_key", "left").withColumn("acquisition_channel", F.coalesce("acquisition_channel", F.lit(UNKNOWN)))
+    per = j.groupBy("acquisition_channel").agg(
         F.sum("lines").cast("long").alias("order_lines"), F.sum("returns").cast("long").alias("returns"))
     return per.withColumn("return_rate", F.col("returns").cast("double") / F.col("order_lines"))
 
@@ -170,7 +175,8 @@ def region_vs_forecast(fact: DataFrame, dim_geography: DataFrame, forecast: Data
     (region, year, forecast); by default the uplift rule above."""
     pre = fact.groupBy("geo_key", F.year("order_date").alias("year")).agg(F.sum("net_revenue").alias("revenue"))
     g = checked_broadcast(dim_geography.select("geo_key", "region"))
-    actual = pre.join(g, "geo_key", "inner").groupBy("region", "year").agg(
+    j = pre.join(g, "geo_key", "left").withColumn("region", F.coalesce("region", F.lit(UNKNOWN)))
+    actual = j.groupBy("region", "year").agg(
         F.sum("revenue").cast(TOTAL).alias("revenue"))
     fc = forecast if forecast is not None else revenue_forecast(actual)
     j = actual.join(fc, ["region", "year"], "left")

@@ -1,180 +1,32 @@
-"""Layout and workload analytics, run as Spark jobs.
+"""Workload analytics, run as Spark jobs.
 
-- ``file_stats``: per data file, min/max of a column, rows and bytes, from
-  the Parquet footers (row-group statistics), read in parallel tasks.
-- ``clustering_depth``: how many files each file's value range overlaps,
-  from two distributed "count below" passes over the distinct range ends
-  (range-partitioned running sums), never by pairing files.
-- ``pruning_report``: files and bytes a range predicate has to scan.
-- ``job_log_report`` / ``scan_cost``: workload summary over a job log.
+- ``files_holding``: of a table's data files, how many hold rows of a filter
+  (a scan of the filter's columns; what a layout could prune down to).
+- ``job_log_report``: workload summary over a job log.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starloom.functions.dates import whole_seconds
-from starloom.params import COST_PER_GB
 
 
-def file_stats(spark: SparkSession, path: str, col: str, from_footers: bool = True) -> DataFrame:
-    """Per data file: (file, lo, hi, rows, bytes) of column ``col``.
-
-    By default only Parquet footers are read: Spark spreads the table's file
-    list over tasks and each task reads the row-group statistics of its
-    files with pyarrow, so the cost grows with the number of files, not rows.
-    Files whose footers lack statistics for ``col`` are measured by a scan of
-    that one column (``from_footers=False`` scans every file).
-    """
-    df = spark.read.parquet(path)
-    if from_footers:
-        files = df.inputFiles()
-        if files:
-            dtype = df.schema[col].dataType
-            schema = T.StructType([T.StructField("file", T.StringType()), T.StructField("lo", dtype),
-                                   T.StructField("hi", dtype), T.StructField("rows", T.LongType()),
-                                   T.StructField("bytes", T.LongType()), T.StructField("ok", T.BooleanType())])
-            lst = spark.createDataFrame([(f,) for f in files], "file string")
-            n = max(1, min(len(files), spark.sparkContext.defaultParallelism * 4))
-            st = lst.repartition(n).mapInPandas(_footer_reader(col), schema)
-            # one spelling for local paths, as Spark's _metadata.file_path has it
-            st = st.withColumn("file", F.regexp_replace("file", "^file:///", "file:/")).checkpoint(eager=True)
-            missing = st.filter(~F.col("ok")).select("file")
-            good = st.filter(F.col("ok")).drop("ok")
-            if missing.limit(1).count() == 0:
-                return good
-            return good.unionByName(_scan_stats(df, col).join(missing, "file", "left_semi"))
-    return _scan_stats(df, col)
-
-
-def _scan_stats(df: DataFrame, col: str) -> DataFrame:
-    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.min(col).alias("lo"), F.max(col).alias("hi"),
-        F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("bytes"))
-
-
-def _footer_reader(col: str):
-    def read(batches):
-        import pandas as pd
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        for pdf in batches:
-            out = []
-            for f in pdf["file"]:
-                fs, p = pafs.FileSystem.from_uri(f)
-                size = fs.get_file_info(p).size
-                with fs.open_input_file(p) as fh:
-                    md = pq.ParquetFile(fh).metadata
-                names = [md.schema.column(i).name for i in range(md.num_columns)]
-                lo = hi = None
-                ok = col in names
-                if ok:
-                    ci = names.index(col)
-                    for g in range(md.num_row_groups):
-                        st = md.row_group(g).column(ci).statistics
-                        if md.row_group(g).num_rows == 0:
-                            continue
-                        if st is None or not st.has_min_max:
-                            ok = False
-                            break
-                        lo = st.min if lo is None else min(lo, st.min)
-                        hi = st.max if hi is None else max(hi, st.max)
-                out.append((f, lo, hi, md.num_rows, size, ok))
-            yield pd.DataFrame(out, columns=["file", "lo", "hi", "rows", "bytes", "ok"])
-    return read
-
-
-def count_below(values: DataFrame, queries: DataFrame, strict: bool = True,
-                buckets: int | None = None) -> DataFrame:
-    """For every distinct query value ``v``: how many values are below it.
-
-    ``values`` is (v, c) with one row per distinct value and its multiplicity;
-    ``queries`` is (v) distinct. Returns (v, below) where below counts values
-    ``< v`` (strict) or ``<= v``. Both inputs are pre-aggregated to distinct
-    values, so a value shared by many files is one row. The events are
-    range-partitioned into ``buckets`` value ranges (Spark samples the
-    bounds; any orderable type works), counted with a running sum inside each
-    bucket, and shifted by the totals of the buckets before it, which is a
-    window over ``buckets`` rows only. The bucketed events are checkpointed
-    so both uses see the same bucket of every row.
-    """
-    # at equal values a strict count must see the query before the value
-    q_kind, v_kind = (0, 1) if strict else (1, 0)
-    ev = values.select("v", F.col("c").cast("long").alias("w"), F.lit(v_kind).alias("kind")).unionByName(
-        queries.select("v", F.lit(0).cast("long").alias("w"), F.lit(q_kind).alias("kind")))
-    ev = ev.repartitionByRange(buckets, "v", "kind") if buckets else ev.repartitionByRange("v", "kind")
-    ev = ev.withColumn("pid", F.spark_partition_id()).checkpoint()
-    totals = ev.groupBy("pid").agg(F.sum("w").alias("t"))
-    off = totals.select("pid", F.coalesce(
-        F.sum("t").over(W.orderBy("pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("off"))
-    run = F.sum("w").over(W.partitionBy("pid").orderBy("v", "kind").rowsBetween(W.unboundedPreceding, -1))
-    local = ev.withColumn("run", F.coalesce(run, F.lit(0))).filter(F.col("kind") == q_kind)
-    # ``off`` has one row per bucket: bounded by ``buckets``
-    return local.join(F.broadcast(off), "pid").select("v", (F.col("run") + F.col("off")).cast("long").alias("below"))
-
-
-def file_overlaps(stats: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """Per file: depth = number of files whose [lo, hi] intersects its own
-    (itself included).
-
-    depth_i = #{j: lo_j <= hi_i} - #{j: hi_j < lo_i}, both from
-    ``count_below`` over distinct range ends; files are never paired and no
-    step puts more than one value range in a task.
-    """
-    s = stats.select(F.col("file"), F.col(lo).alias("lo"), F.col(hi).alias("hi"))
-    his = s.groupBy(F.col("hi").alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    los = s.groupBy(F.col("lo").alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    ends_below = count_below(his, los.select("v"), strict=True).select(
-        F.col("v").alias("lo"), F.col("below").alias("ends_below"))
-    starts_upto = count_below(los, his.select("v"), strict=False).select(
-        F.col("v").alias("hi"), F.col("below").alias("starts_upto"))
-    j = s.join(ends_below, "lo").join(starts_upto, "hi")
-    return j.select("file", "lo", "hi", (F.col("starts_upto") - F.col("ends_below")).cast("long").alias("depth"))
-
-
-def clustering_depth(stats: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """Table-level summary: files, average overlaps and depth, max depth."""
-    per = file_overlaps(stats, lo, hi)
+def files_holding(table: DataFrame, condition: Column) -> DataFrame:
+    """files_total, files_hit, bytes_total, bytes_hit of a scanned table."""
+    per = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.max("_metadata.file_size").alias("bytes"), F.max(condition.cast("int")).alias("hit"))
     return per.agg(
-        F.count(F.lit(1)).alias("total_files"),
-        F.avg(F.col("depth") - 1).alias("average_overlaps"),
-        F.avg("depth").alias("average_depth"),
-        F.max("depth").alias("max_depth"),
-        F.sum((F.col("depth") > 1).cast("int")).cast("long").alias("overlapping_files"),
-    )
-
-
-def pruning_report(stats: DataFrame, low=None, high=None) -> DataFrame:
-    """Files (and bytes) whose [lo, hi] range can hold values in [low, high]."""
-    hit = F.lit(True)
-    if low is not None:
-        hit = hit & (F.col("hi") >= F.lit(low))
-    if high is not None:
-        hit = hit & (F.col("lo") <= F.lit(high))
-    return stats.agg(
-        F.count(F.lit(1)).alias("files_total"),
-        F.sum(hit.cast("int")).cast("long").alias("files_scanned"),
+        F.count(F.lit(1)).alias("files_total"), F.sum("hit").cast("long").alias("files_hit"),
         F.sum("bytes").cast("long").alias("bytes_total"),
-        F.sum(F.when(hit, F.col("bytes")).otherwise(0)).cast("long").alias("bytes_scanned"),
-    ).withColumn("pruned_pct", F.round((1 - F.col("files_scanned") / F.col("files_total")) * 100, 1))
-
-
-def scan_cost(bytes_col, cost_per_gb: float = COST_PER_GB):
-    """USD for scanning ``bytes_col`` bytes (GB = 10^9 bytes)."""
-    c = F.col(bytes_col) if isinstance(bytes_col, str) else bytes_col
-    return c / F.pow(F.lit(10), F.lit(9)) * F.lit(cost_per_gb)
+        F.sum(F.col("bytes") * F.col("hit")).cast("long").alias("bytes_hit"))
 
 
 def job_log_report(log: DataFrame, as_of=None, k: int = 50) -> DataFrame:
     """Newest ``k`` QUERY jobs created in the day before ``as_of`` (ties by
     job id). Without ``as_of`` the newest job's creation time is used (a
     lazy scalar subquery)."""
-    from pyspark.sql import Column
-
     if as_of is None:
         now = log.agg(F.max("creation_time")).scalar()
     elif isinstance(as_of, Column):

@@ -113,16 +113,18 @@ def assert_scd2(dim: DataFrame, key: str = "customer_id", strict: bool = False)
 def orphans_all_fks(fact: DataFrame, dims: dict) -> DataFrame:
     """Per foreign key, fact rows whose key is NULL or absent from its dimension.
 
-    ``dims`` maps fk column -> (dimension DataFrame, its key column). Each
-    check is an anti join on the key column only; small dimensions are
-    broadcast by size statistics.
+    ``dims`` maps fk column -> (dimension DataFrame, its key column). One pass
+    over the fact: its distinct key combinations are counted (map-side), each
+    dimension's keys are joined to those, and one aggregate counts the lines
+    whose key found nothing.
     """
-    parts = []
+    j = fact.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))
     for fk, (dim, pk) in dims.items():
-        keys = dim.select(F.col(pk).alias("_pk")).distinct()
-        miss = fact.select(fk).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
-        parts.append(miss.agg(F.lit(fk).alias("foreign_key"), F.count(F.lit(1)).alias("orphans")))
-    return reduce(DataFrame.unionByName, parts)
+        keys = dim.select(F.col(pk).alias(f"_pk_{fk}")).distinct()
+        j = j.join(keys, F.col(fk) == F.col(f"_pk_{fk}"), "left")
+    sums = j.agg(*[F.coalesce(F.sum(F.when(F.col(f"_pk_{fk}").isNull(), F.col("_n"))), F.lit(0)).alias(fk) for fk in dims])
+    stack = ", ".join(f"'{fk}', `{fk}`" for fk in dims)
+    return sums.select(F.expr(f"stack({len(dims)}, {stack}) AS (foreign_key, orphans)"))
 
 
 def constraint_violations(df: DataFrame, table: str, not_null, primary_key=None) -> DataFrame:

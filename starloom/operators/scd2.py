@@ -130,9 +130,32 @@ def detect_changes(incoming: DataFrame, dim: DataFrame, natural_key="customer_id
         "_i_h", "_d_h", *[f"_d_{k}" for k in keys])
 
 
+class AmbiguousVersionError(ValueError):
+    """Two different rows of one key and timestamp, and no order to choose by."""
+
+
+def one_row_per_version(incoming: DataFrame, keys: list[str], tracked: list[str], valid_from_col: str,
+                        order_by: str | None = None) -> DataFrame:
+    """One incoming row per key and timestamp: the latest by ``order_by``.
+    Without an order, rows that differ in a tracked attribute raise; rows that
+    agree are one (the aggregates combine map-side)."""
+    group = [*keys, valid_from_col]
+    others = [c for c in incoming.columns if c not in group]
+    row = F.struct(*others)
+    if order_by is not None:
+        best = F.max_by(row, F.col(order_by))
+    else:
+        h = change_hash(tracked)
+        torn = incoming.groupBy(*group).agg(F.min(h).alias("lo"), F.max(h).alias("hi")).filter("lo <> hi")
+        if not torn.isEmpty():
+            raise AmbiguousVersionError(f"several different rows for one {group}; pass order_by to keep the latest")
+        best = F.min_by(row, F.xxhash64(*others))
+    return incoming.groupBy(*group).agg(best.alias("_r")).select(*group, *[F.col(f"_r.{c}").alias(c) for c in others])
+
+
 def scd2_merge(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", tracked=None,
                attributes=None, valid_from_col: str = "updated_at", as_of=None,
-               surrogate: str = "customer_key", max_ts: str = SCD2_MAX_TS):
+               surrogate: str = "customer_key", max_ts: str = SCD2_MAX_TS, order_by: str | None = None):
     """Apply one incoming batch to a type-2 dimension.
 
     Returns ``(new_dim, rejected)``.
@@ -146,6 +169,8 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", t
       to the version they would follow are ignored, so a rerun is a no-op.
     - A changed row dated at or before the current version's start cannot
       be applied without rewriting history; it is returned in ``rejected``.
+    - Different rows of one key and timestamp raise, or the latest by
+      ``order_by`` is taken.
     """
     keys = _keys(natural_key)
     tracked = list(tracked or CUSTOMER_TRACKED)
@@ -154,6 +179,7 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", t
     h = change_hash(tracked)
     one_s = F.expr("INTERVAL 1 SECOND")
 
+    incoming = one_row_per_version(incoming, keys, tracked, valid_from_col, order_by)
     inc = incoming.select(*keys, *attributes, F.col(valid_from_col).alias("valid_from")).withColumn("_h", h)
     known = dim.select(*keys, "valid_from", h.alias("_h"))
     inc = inc.join(known, [*keys, "valid_from", "_h"], "left_anti")

@@ -53,6 +53,44 @@ DIM_CUSTOMER_DEFAULTS = {"valid_to": "9999-12-31 23:59:59", "is_current": True,
                          "dw_created_at": "now", "dw_updated_at": "now"}
 
 
+DIM_CUSTOMER_SCHEMA = T.StructType([
+    T.StructField("customer_key", S, False),
+    T.StructField("customer_id", S, False),
+    T.StructField("email", S, True),
+    T.StructField("full_name", S, True),
+    T.StructField("first_name", S, True),
+    T.StructField("last_name", S, True),
+    T.StructField("acquisition_channel", S, True),
+    T.StructField("acquisition_date", D, True),
+    T.StructField("customer_segment", S, True),
+    T.StructField("lifetime_value", _dec(12, 2), True),
+    T.StructField("city", S, True),
+    T.StructField("state", S, True),
+    T.StructField("country", S, True),
+    T.StructField("is_active", B, True),
+    T.StructField("valid_from", TS, False),
+    T.StructField("valid_to", TS, False),
+    T.StructField("is_current", B, False),
+    T.StructField("dw_created_at", TS, True),
+    T.StructField("dw_updated_at", TS, True),
+])
+
+
+def create_if_absent(spark, path: str, schema: T.StructType) -> bool:
+    """Write an empty typed table unless one is there; whether it was written."""
+    from starloom.operators.layout import path_exists
+
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return False
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    return True
+
+
+def append_conformed(df: DataFrame, path: str, schema: T.StructType, defaults: dict | None = None, as_of=None) -> None:
+    """Insert rows into a typed table: its columns and types, its defaults."""
+    conform(df, schema, defaults, as_of).write.mode("append").parquet(path)
+
+
 def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None, as_of=None) -> DataFrame:
     """Project ``df`` onto ``schema``: declared order and types; missing
     columns become typed NULLs; ``defaults`` fill NULLs."""

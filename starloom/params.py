@@ -55,13 +55,8 @@ SHIPPING_PER_UNIT = "0.10"
 # Partition retention, days.
 RETENTION_DAYS = 1825
 
-# Clustering-depth thresholds: healthy below the target, re-cluster above.
-DEPTH_TARGET = 2.0
-DEPTH_RECLUSTER = 4.0
-OVERLAP_TARGET = 0.5
-
-# Price of scanning one GB (USD).
-COST_PER_GB = 0.023
+# Group of lines whose dimension row is missing, in reports.
+UNKNOWN = "(unknown)"
 
 # Forecast uplift over the previous year's revenue.
 FORECAST_UPLIFT = "1.05"

@@ -4,13 +4,14 @@ Every entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
 raw tables (or data Spark derives from them). ``report`` normalises output
 types for engine-neutral comparison: money decimals become DOUBLE (exact
 decimal sums are cast once, at the end) and DATEs become timestamps.
-Entries that exercise the write path write to a fresh folder under the
-shared checkpoint directory and read the table back.
+Reports, checks and marts read the stored tables (``Warehouse``). Entries
+that exercise the write path write to a fresh folder under the shared
+checkpoint directory and read the table back; the application's scratch
+folder goes when it ends.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,19 +23,23 @@ from starloom.functions.dates import fiscal_quarter, fiscal_year
 from starloom.functions.keys import surrogate_key
 from starloom.operators import calendar, layout, marts, ops, quality, scd2, upsert
 from starloom.operators.pit import pit_join
-from starloom.operators.schemas import FACT_SCHEMA, conform
+from starloom.operators.schemas import (DIM_CUSTOMER_DEFAULTS, DIM_CUSTOMER_SCHEMA, FACT_DEFAULTS, FACT_SCHEMA,
+                                        append_conformed, conform, create_if_absent)
 from starloom.params import BENCH_YEAR, DEFAULT_AS_OF
 from starloom.plans.warehouse import Warehouse
 from starloom.session import scratch_path
 from starloom.sources import staging
+from starloom.sources.tables import read_raw
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 Y0, Y1 = f"{BENCH_YEAR}-01-01", f"{BENCH_YEAR}-12-31"
 AS_OF = DEFAULT_AS_OF
-# snapshot cut-offs merged in order by the SCD2 merge entries
-SNAPSHOT_CUTS = ["1997-01-01", "1999-01-01", "2001-08-02"]
+# snapshot cut-offs merged in order by the SCD2 merge entries; the last is open
+SNAPSHOT_CUTS = ["1997-01-01", "1999-01-01", None]
+# damage for the entries that show what the checks find: one key in so many
+DAMAGE_CUSTOMERS, DAMAGE_ORDERS = 13, 97
 # initial load boundary and arrival cut for the incremental entries
 INITIAL_LOAD_TO = "2001-07-01"
 SECOND_LOAD_TO = "2001-07-16"
@@ -66,18 +71,8 @@ def report(df: DataFrame, text_ts=("valid_to",)) -> DataFrame:
     return df.select(*cols)
 
 
-_WAREHOUSES: dict = {}
-
-
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """One warehouse per (application, raw folder): its dimensions are built
-    and checkpointed once, and every report reads them, as reports read the
-    warehouse tables of the current cycle."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    w = _WAREHOUSES.get(key)
-    if w is None:
-        w = _WAREHOUSES[key] = Warehouse(spark, sf_dir, as_of=AS_OF)
-    return w
+    return Warehouse(spark, sf_dir, as_of=AS_OF)
 
 
 # --- staging and dimensions ---------------------------------------------------
@@ -102,6 +97,11 @@ def q_stg_geography(spark, sf_dir):
     return report(wh(spark, sf_dir).src_geography)
 
 
+@query("stg_events")
+def q_stg_events(spark, sf_dir):
+    return report(staging.stg_events(spark, sf_dir))
+
+
 @query("dim_product")
 def q_dim_product(spark, sf_dir):
     return report(wh(spark, sf_dir).dim_product)
@@ -230,6 +230,30 @@ def q_scd2_merge_generic(spark, sf_dir):
     return report(dim)
 
 
+@query("scd2_rejected")
+def q_scd2_rejected(spark, sf_dir):
+    """What the merge hands back instead of losing it: the second snapshot is
+    delivered again, dated one day before each customer's current version and
+    in another segment, after all snapshots were merged."""
+    w = wh(spark, sf_dir)
+    late = _snapshots(w)[1].withColumn("updated_at", F.col("updated_at") - F.expr("INTERVAL 1 DAY")) \
+        .withColumn("customer_segment", F.lit("Late"))
+    _, rejected = scd2.scd2_merge(_merged(w, 3), late, as_of=AS_OF)
+    return report(rejected)
+
+
+@query("create_dim_customer")
+def q_create_dim_customer(spark, sf_dir):
+    """The typed dimension created when absent (twice: the second is a no-op),
+    then the current versions inserted without the columns that have defaults."""
+    path = scratch_path(spark, "dim_customer_typed")
+    for _ in range(2):
+        create_if_absent(spark, path, DIM_CUSTOMER_SCHEMA)
+    rows = scd2.current_rows(wh(spark, sf_dir).dim_customer).drop(*DIM_CUSTOMER_DEFAULTS)
+    append_conformed(rows, path, DIM_CUSTOMER_SCHEMA, DIM_CUSTOMER_DEFAULTS, as_of=AS_OF)
+    return report(spark.read.parquet(path))
+
+
 # --- fact ----------------------------------------------------------------------
 
 @query("fact_orders")
@@ -307,24 +331,58 @@ def _changed_batch(w: Warehouse) -> DataFrame:
 @query("fact_orders_incremental")
 def q_fact_orders_incremental(spark, sf_dir):
     """Initial load, two lookback runs as data arrives, then a run with
-    changed lines; every run upserts only the touched month partitions."""
+    changed lines; every run reads the raw orders of its own days only and
+    upserts only the touched month partitions."""
     w = wh(spark, sf_dir)
     path = scratch_path(spark, "fact_incremental")
-    first = w.stg_orders.filter(F.col("order_date") <= F.lit(INITIAL_LOAD_TO).cast("date"))
+    first = staging.stg_orders(spark, sf_dir, until=INITIAL_LOAD_TO)
     layout.write_layout(w.fact_for(first), path, "date_channel")
 
     def merge(t, s):
         return upsert.upsert(t, s, as_of=AS_OF)
 
     for cut in (SECOND_LOAD_TO, None):
-        arrived = w.stg_orders if cut is None else w.stg_orders.filter(F.col("order_date") <= F.lit(cut).cast("date"))
-        target = spark.read.parquet(path)
-        batch = upsert.select_incremental(arrived, target)
+        since = upsert.watermark(spark.read.parquet(path), partition=layout.PARTITION_COL)
+        batch = staging.stg_orders(spark, sf_dir, since=since, until=cut)
         layout.merge_into(spark, path, w.fact_for(batch), merge)
     layout.merge_into(spark, path, w.fact_for(_changed_batch(w)), merge)
     return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
 
 
+def _some_orders(n: int, col: str = "order_id"):
+    return F.col(col).cast("long") % DAMAGE_ORDERS == n
+
+
+def _merge_corrections(spark, sf_dir, kind: str, moved: F.Column) -> DataFrame:
+    """The stored fact, upserted with some of its lines under another date."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, f"fact_{kind}")
+    layout.write_layout(w.fact, path, "date_channel")
+    batch = w.fact.filter(_some_orders(0)).withColumn("order_date", moved)
+    layout.merge_into(spark, path, batch, lambda t, s: upsert.upsert(t, s, update_cols="all", as_of=AS_OF))
+    return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
+
+
+@query("merge_moved_dates")
+def q_merge_moved_dates(spark, sf_dir):
+    """Source corrections that move lines over a month end replace their rows."""
+    return _merge_corrections(spark, sf_dir, "moved", F.add_months("order_date", 1))
+
+
+@query("merge_undated_rows")
+def q_merge_undated_rows(spark, sf_dir):
+    """A first correction takes the dates of some lines away, a second changes
+    one half of them: the others stay as they are."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, "fact_undated")
+    none = F.lit(None).cast("date")
+    layout.write_layout(w.fact.withColumn("order_date", F.when(_some_orders(0), none).otherwise(F.col("order_date"))), path, "date_channel")
+    batch = w.fact.filter(_some_orders(0) & (F.col("order_id").cast("long") % 2 == 0)).withColumn("order_date", none) \
+        .withColumn("return_flag", ~F.col("return_flag"))
+    layout.merge_into(spark, path, batch, lambda t, s: upsert.upsert(t, s, as_of=AS_OF))
+    return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
+
+
 @query("upsert_all_columns")
 def q_upsert_all_columns(spark, sf_dir):
     w = wh(spark, sf_dir)
@@ -344,8 +402,10 @@ def q_conform_schema(spark, sf_dir):
 
 @query("conform_defaults")
 def q_conform_defaults(spark, sf_dir):
-    from starloom.operators.schemas import FACT_DEFAULTS
-    return report(conform(wh(spark, sf_dir).fact, FACT_SCHEMA, defaults=FACT_DEFAULTS, as_of=AS_OF))
+    """Lines whose return flag and load time are missing get the defaults."""
+    f = wh(spark, sf_dir).fact.drop("dw_loaded_at")
+    f = f.withColumn("return_flag", F.when(~_some_orders(6), F.col("return_flag")))
+    return report(conform(f, FACT_SCHEMA, defaults=FACT_DEFAULTS, as_of=AS_OF))
 
 
 @query("schema_evolution_union")
@@ -376,11 +436,36 @@ def q_recluster_roundtrip(spark, sf_dir):
     return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
 
 
+@query("layout_day_customer_channel")
+def q_layout_day_customer_channel(spark, sf_dir):
+    """The fact in day partitions clustered by customer and channel, then
+    upserted with the changed lines of the last days: only those days are
+    rewritten."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, "fact_day")
+    name = "day_customer_channel"
+    layout.write_layout(w.fact, path, name)
+    layout.merge_into(spark, path, w.fact_for(_changed_batch(w)), lambda t, s: upsert.upsert(t, s, update_cols="all", as_of=AS_OF), name)
+    return report(layout.without_partition_col(spark.read.parquet(path)))
+
+
+@query("retention_delete")
+def q_retention_delete(spark, sf_dir):
+    """Lines that are left when the expired months have been deleted; lines
+    without a date stay."""
+    path = scratch_path(spark, "fact_retention")
+    f = wh(spark, sf_dir).fact.select("order_key", "order_id", "order_date", "channel")
+    f = f.withColumn("order_date", F.when(~_some_orders(0), F.col("order_date")))
+    layout.write_layout(f, path, "date_channel")
+    layout.drop_expired_partitions(spark, path, AS_OF)
+    return report(spark.read.parquet(path).select("order_key", "order_date"))
+
+
 @query("customer_layout_roundtrip")
 def q_customer_layout_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "dim_customer_layout")
     d = wh(spark, sf_dir).dim_customer
-    d.repartitionByRange("customer_id").sortWithinPartitions("customer_id", "valid_from").write.parquet(path)
+    d.repartitionByRange("customer_id", "valid_from").sortWithinPartitions("customer_id", "valid_from").write.parquet(path)
     return report(spark.read.parquet(path))
 
 
@@ -393,49 +478,7 @@ def q_retention_filter(spark, sf_dir):
 
 @query("guarded_scan")
 def q_guarded_scan(spark, sf_dir):
-    path = scratch_path(spark, "fact_guarded")
-    layout.write_layout(wh(spark, sf_dir).fact, path, "date_channel")
-    f = layout.read_fact(spark, path, Y0, Y1)
-    return report(marts.full_range_sum(f, Y0, Y1))
-
-
-def _stats_by_layout(spark, sf_dir) -> DataFrame:
-    fact = wh(spark, sf_dir).fact
-    parts = []
-    for name in ("none", "date_channel", "customer"):
-        path = scratch_path(spark, f"fact_{name}")
-        layout.write_layout(fact, path, name, files=8)
-        col = "customer_id" if name == "customer" else "order_date"
-        st = ops.file_stats(spark, path, col).withColumn("layout", F.lit(name))
-        parts.append(st.select("layout", "file", F.col("lo").cast("string").alias("lo"),
-                               F.col("hi").cast("string").alias("hi"), "rows", "bytes"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-@query("clustering_depth")
-def q_clustering_depth(spark, sf_dir):
-    stats = _stats_by_layout(spark, sf_dir).cache()
-    out = []
-    for name in ("none", "date_channel", "customer"):
-        out.append(ops.clustering_depth(stats.filter(F.col("layout") == name))
-                   .withColumn("layout", F.lit(name)))
-    return reduce(DataFrame.unionByName, out)
-
-
-@query("pruning_report")
-def q_pruning_report(spark, sf_dir):
-    stats = _stats_by_layout(spark, sf_dir).filter(F.col("layout") != "customer").cache()
-    out = []
-    for name in ("none", "date_channel"):
-        r = ops.pruning_report(stats.filter(F.col("layout") == name), Y0, Y1)
-        out.append(r.withColumn("layout", F.lit(name)))
-    return reduce(DataFrame.unionByName, out)
-
-
-@query("scan_cost")
-def q_scan_cost(spark, sf_dir):
-    r = q_pruning_report(spark, sf_dir)
-    return r.withColumn("cost_usd", ops.scan_cost("bytes_scanned"))
+    return report(marts.full_range_sum(wh(spark, sf_dir).fact_between(Y0, Y1), None, None))
 
 
 @query("job_log_report")
@@ -525,27 +568,90 @@ def q_assert_scd2_strict(spark, sf_dir):
 @query("dq_orphans_all_fks")
 def q_dq_orphans_all_fks(spark, sf_dir):
     w = wh(spark, sf_dir)
-    return quality.orphans_all_fks(w.fact, {
-        "customer_key": (w.dim_customer, "customer_key"),
-        "product_key": (w.dim_product, "product_key"),
-        "geo_key": (w.dim_geography, "geo_key"),
-        "date_key": (w.dim_date, "date_key"),
-    })
+    return quality.orphans_all_fks(w.fact, _fks(w))
 
 
 @query("dq_constraints")
 def q_dq_constraints(spark, sf_dir):
     w = wh(spark, sf_dir)
+    return _constraints(w.fact, w.dim_customer, w.dim_date)
+
+
+def _damaged_fact(w: Warehouse) -> DataFrame:
+    """The stored fact with faults of every kind in one order of DAMAGE_ORDERS each."""
+    f = w.fact
+    changes = {
+        "customer_key": F.when(~_some_orders(0), F.col("customer_key")),
+        "product_key": F.when(_some_orders(1), F.lit("missing")).otherwise(F.col("product_key")),
+        "geo_key": F.when(~_some_orders(2), F.col("geo_key")),
+        "date_key": F.when(_some_orders(3), F.lit(19000101)).otherwise(F.col("date_key")),
+        "net_revenue": F.when(_some_orders(4), (F.col("gross_revenue") + 1).cast("decimal(12,2)")).otherwise(F.col("net_revenue")),
+    }
+    return f.withColumns(changes).unionByName(f.filter(_some_orders(5)))
+
+
+def _damaged_dim(dim: DataFrame) -> DataFrame:
+    """A dimension with faults of every kind in one customer of DAMAGE_CUSTOMERS
+    each: no current row, gaps, overlaps, two current rows, empty ranges."""
+    def some(n):
+        return F.col("customer_id").cast("long") % DAMAGE_CUSTOMERS == n
+    closed = ~F.col("is_current")
+    end = F.when(some(1) & closed, F.col("valid_to") - F.expr("INTERVAL 2 DAYS")) \
+        .when(some(2) & closed, F.col("valid_to") + F.expr("INTERVAL 2 DAYS")) \
+        .when(some(4) & closed, F.col("valid_from")).otherwise(F.col("valid_to"))
+    return dim.filter(closed | ~some(0)).withColumn("valid_to", end).unionByName(dim.filter(~closed & some(3)))
+
+
+def _fks(w: Warehouse) -> dict:
+    return {"customer_key": (w.dim_customer, "customer_key"), "product_key": (w.dim_product, "product_key"),
+            "geo_key": (w.dim_geography, "geo_key"), "date_key": (w.dim_date, "date_key")}
+
+
+def _constraints(fact: DataFrame, dim: DataFrame, dates: DataFrame) -> DataFrame:
     f = quality.constraint_violations(
-        w.fact, "fact_orders",
+        fact, "fact_orders",
         ["order_key", "customer_key", "product_key", "date_key", "order_id", "order_timestamp", "order_date"],
         "order_key")
-    d = quality.constraint_violations(w.dim_customer, "dim_customer",
+    d = quality.constraint_violations(dim, "dim_customer",
                                       ["customer_id", "valid_from", "valid_to", "is_current"], "customer_key")
-    c = quality.constraint_violations(w.dim_date, "dim_date", ["full_date"], "date_key")
+    c = quality.constraint_violations(dates, "dim_date", ["full_date"], "date_key")
     return f.unionByName(d).unionByName(c)
 
 
+# what each check finds in damaged tables
+DAMAGED: dict[str, Callable[[Warehouse], DataFrame]] = {
+    "dq_orphaned_orders": lambda w: quality.orphaned_orders(_damaged_fact(w)),
+    "dq_revenue_errors": lambda w: quality.revenue_errors(_damaged_fact(w)),
+    "dq_duplicate_order_keys": lambda w: quality.duplicate_keys(_damaged_fact(w), "order_key"),
+    "dq_orphans_all_fks": lambda w: quality.orphans_all_fks(_damaged_fact(w), _fks(w)),
+    "dq_constraints": lambda w: _constraints(_damaged_fact(w), _damaged_dim(w.dim_customer), w.dim_date),
+    "dq_scd2_current_count": lambda w: quality.scd2_current_count(_damaged_dim(w.dim_customer)),
+    "dq_scd2_current_count_strict": lambda w: quality.scd2_current_count(_damaged_dim(_merged(w, 3)), strict=True),
+    "dq_scd2_gaps": lambda w: quality.scd2_gaps(_damaged_dim(_merged(w, 3))),
+    "dq_scd2_gaps_strict": lambda w: quality.scd2_gaps(_damaged_dim(w.dim_customer), strict=True, tolerance_s=0),
+    "dq_scd2_overlaps": lambda w: quality.scd2_overlaps(_damaged_dim(w.dim_customer)),
+    "dq_scd2_bad_ranges": lambda w: quality.scd2_bad_ranges(_damaged_dim(w.dim_customer)),
+    "assert_scd2": lambda w: quality.assert_scd2(_damaged_dim(_merged(w, 3))),
+    "assert_scd2_strict": lambda w: quality.assert_scd2(_damaged_dim(w.dim_customer), strict=True),
+}
+
+
+def _register_damaged(name: str, check) -> None:
+    query(f"{name}_damaged")(lambda spark, sf_dir: report(check(wh(spark, sf_dir))))
+
+
+for _name, _check in DAMAGED.items():
+    _register_damaged(_name, _check)
+
+
+@query("dq_lines_without_order")
+def q_dq_lines_without_order(spark, sf_dir):
+    """Lines that staging would drop, with one order in DAMAGE_ORDERS missing."""
+    li = read_raw(spark, sf_dir, "lineitem", ["l_orderkey"])
+    o = read_raw(spark, sf_dir, "orders", ["o_orderkey"])
+    return staging.lines_without_order(li, o.filter(F.col("o_orderkey") % DAMAGE_ORDERS != 0))
+
+
 @query("predicate_suite")
 def q_predicate_suite(spark, sf_dir):
     f = wh(spark, sf_dir).fact
@@ -568,30 +674,27 @@ def q_predicate_suite(spark, sf_dir):
 @query("bench_top_products")
 def q_bench_top_products(spark, sf_dir):
     w = wh(spark, sf_dir)
-    return report(marts.top_products(w.fact, w.dim_product, w.dim_geography, Y0, Y1))
+    return report(marts.top_products(w.fact_between(Y0, Y1), w.dim_product, w.dim_geography))
 
 
 @query("agg_product_performance")
 def q_agg_product_performance(spark, sf_dir):
-    w = wh(spark, sf_dir)
-    return report(marts.agg_product_performance(w.fact, w.dim_product, w.dim_geography))
+    return report(wh(spark, sf_dir).agg_product_performance)
 
 
 @query("bench_top_products_preagg")
 def q_bench_top_products_preagg(spark, sf_dir):
-    w = wh(spark, sf_dir)
-    agg = marts.agg_product_performance(w.fact, w.dim_product, w.dim_geography)
-    return report(marts.top_products_from_agg(agg, BENCH_YEAR))
+    return report(marts.top_products_from_agg(wh(spark, sf_dir).agg_product_performance, BENCH_YEAR))
 
 
 @query("bench_monthly_revenue")
 def q_bench_monthly_revenue(spark, sf_dir):
-    return report(marts.monthly_revenue(wh(spark, sf_dir).fact, Y0, Y1))
+    return report(marts.monthly_revenue(wh(spark, sf_dir).fact_between(Y0, Y1), None, None))
 
 
 @query("bench_monthly_revenue_web")
 def q_bench_monthly_revenue_web(spark, sf_dir):
-    return report(marts.monthly_revenue(wh(spark, sf_dir).fact, Y0, Y1, channel="web"))
+    return report(marts.monthly_revenue(wh(spark, sf_dir).fact_between(Y0, Y1), None, None, channel="web"))
 
 
 def _busiest_customer(fact: DataFrame) -> DataFrame:
@@ -603,14 +706,14 @@ def _busiest_customer(fact: DataFrame) -> DataFrame:
 
 @query("bench_customer_history")
 def q_bench_customer_history(spark, sf_dir):
-    f = wh(spark, sf_dir).fact
-    cid = _busiest_customer(f).first()["customer_id"]
+    f = wh(spark, sf_dir).fact_by_customer
+    cid = _busiest_customer(f).first()["customer_id"]  # a literal, pushed to the clustered copy
     return report(marts.customer_history(f, cid))
 
 
 @query("bench_full_year_scan")
 def q_bench_full_year_scan(spark, sf_dir):
-    return report(marts.full_range_sum(wh(spark, sf_dir).fact, Y0, Y1))
+    return report(marts.full_range_sum(wh(spark, sf_dir).fact_between(Y0, Y1), None, None))
 
 
 @query("agg_daily_revenue")
@@ -676,31 +779,33 @@ def q_segment_revenue_at_order_time(spark, sf_dir):
 STREAM_SLICES = ["1997-12-31", "1999-12-31", None]
 
 
-def _land(df: DataFrame, col: str, landing: str) -> None:
-    """Write ``df`` into ``landing`` as one file per arrival slice, in order."""
+def _arrivals(df: DataFrame, col: str):
+    """``df`` in arrival slices; the first also holds rows without a date."""
     lo = None
-    for i, hi in enumerate(STREAM_SLICES):
-        part = df
-        if lo is not None:
-            part = part.filter(F.col(col) > F.lit(lo).cast(df.schema[col].dataType))
-        if hi is not None:
-            part = part.filter(F.col(col) <= F.lit(hi).cast(df.schema[col].dataType))
-        part.coalesce(1).write.mode("append").parquet(landing)
+    for hi in STREAM_SLICES:
+        c, kind = F.col(col), df.schema[col].dataType
+        part = df if lo is None else df.filter(c > F.lit(lo).cast(kind))
+        yield part if hi is None else part.filter((c <= F.lit(hi).cast(kind)) | (c.isNull() if lo is None else F.lit(False)))
         lo = hi
 
 
+def _stream_arrivals(df: DataFrame, col: str, landing: str, run) -> None:
+    """Each slice lands (as many files as its plan gives) and a catch-up run of
+    the stream takes it in; the stream's checkpoint knows what it has seen."""
+    for part in _arrivals(df, col):
+        part.write.mode("append").parquet(landing)
+        run()
+
+
 @query("stream_fact_upsert")
 def q_stream_fact_upsert(spark, sf_dir):
     """Staged lines arrive in three slices; a stream upserts each micro-batch
     into the fact. Equals the batch fact."""
     from starloom.streaming.stream import stream_fact_upsert
     w = wh(spark, sf_dir)
-    landing = scratch_path(spark, "landing_orders")
-    _land(w.stg_orders, "order_date", landing)
-    fact_path = scratch_path(spark, "stream_fact")
-    schema = spark.read.parquet(landing).schema
-    stream_fact_upsert(spark, landing, schema, fact_path, scratch_path(spark, "stream_fact_ckpt"),
-                       w.fact_for, as_of=AS_OF)
+    landing, fact_path, ckpt = (scratch_path(spark, n) for n in ("landing_orders", "stream_fact", "stream_fact_ckpt"))
+    _stream_arrivals(w.stg_orders, "order_date", landing,
+                     lambda: stream_fact_upsert(spark, landing, w.stg_orders.schema, fact_path, ckpt, w.fact_for, as_of=AS_OF))
     return report(spark.read.parquet(fact_path).drop(layout.PARTITION_COL))
 
 
@@ -710,9 +815,7 @@ def q_stream_scd2_merge(spark, sf_dir):
     micro-batch into the versioned dimension."""
     from starloom.streaming.stream import stream_scd2
     w = wh(spark, sf_dir)
-    landing = scratch_path(spark, "landing_customers")
-    _land(w.stg_customers, "updated_at", landing)
-    base = scratch_path(spark, "stream_dim")
-    schema = spark.read.parquet(landing).schema
-    stream_scd2(spark, landing, schema, base, scratch_path(spark, "stream_dim_ckpt"), as_of=AS_OF)
+    landing, base, ckpt, rejects = (scratch_path(spark, n) for n in ("landing_customers", "stream_dim", "stream_dim_ckpt", "stream_dim_rejects"))
+    _stream_arrivals(w.stg_customers, "updated_at", landing,
+                     lambda: stream_scd2(spark, landing, w.stg_customers.schema, base, ckpt, rejects, as_of=AS_OF))
     return report(layout.read_versioned(spark, base))

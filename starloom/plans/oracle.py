@@ -113,7 +113,7 @@ stg_customers AS (
          cg.c_mktsegment AS acquisition_channel, s.first_day AS acquisition_date,
          s.segment AS customer_segment, CAST(s.spend AS DECIMAL(12,2)) AS lifetime_value,
          cg.city, cg.state, cg.country, TRUE AS is_active, CAST(s.day AS TIMESTAMP) AS updated_at
-  FROM cust_seg2 s JOIN cust_geo cg ON s.custkey = cg.c_custkey
+  FROM cust_seg2 s LEFT JOIN cust_geo cg ON s.custkey = cg.c_custkey
   WHERE s.prev_segment IS NULL OR s.prev_segment <> s.segment)"""
 
 HASH_TRACKED = skey(*TRACKED)
@@ -319,12 +319,13 @@ FROM dim_customer"""))
 
 # --- SCD2 merge: snapshots merged in order == history over their union -------------
 
-CUTS = ["1997-01-01", "1999-01-01", "2001-08-02"]
+# the third snapshot is open
 SNAPS = """
-snap_cuts AS (SELECT * FROM (VALUES """ + ", ".join(f"({i + 1}, TIMESTAMP '{c} 00:00:00')" for i, c in enumerate(CUTS)) + """) t(k, cut)),
+snap_cuts AS (SELECT * FROM (VALUES (1, TIMESTAMP '1997-01-01 00:00:00'), (2, TIMESTAMP '1999-01-01 00:00:00'),
+                                    (3, CAST(NULL AS TIMESTAMP))) t(k, cut)),
 snaps AS (
   SELECT k AS snap_no, f.*
-  FROM snap_cuts JOIN stg_customers f ON f.updated_at < snap_cuts.cut
+  FROM snap_cuts JOIN stg_customers f ON snap_cuts.cut IS NULL OR f.updated_at < snap_cuts.cut
   QUALIFY row_number() OVER (PARTITION BY k, f.customer_id ORDER BY f.updated_at DESC) = 1)"""
 
 
@@ -365,11 +366,44 @@ oracle("scd2_new_keys", with_base(R("changed", ["customer_id", "updated_at"], wh
 oracle("scd2_changed_keys", with_base(R("changed", ["customer_id", "customer_segment", "updated_at"],
                                         where="change_type = 'changed'"), [CHANGED]))
 
+oracle("scd2_rejected", with_base(f"""
+SELECT {', '.join(c for c in CUST_PLAIN if c != 'customer_segment')}, 'Late' AS customer_segment,
+       CAST(lifetime_value AS DOUBLE) AS lifetime_value, CAST(acquisition_date AS TIMESTAMP) AS acquisition_date,
+       updated_at - INTERVAL 1 DAY AS valid_from
+FROM snaps WHERE snap_no = 2""", [SNAPS]))
+oracle("create_dim_customer", with_base(f"""
+SELECT customer_key, {', '.join(CUST_PLAIN)}, valid_from, CAST(lifetime_value AS DOUBLE) AS lifetime_value,
+       CAST(acquisition_date AS TIMESTAMP) AS acquisition_date, '9999-12-31 23:59:59' AS valid_to, TRUE AS is_current,
+       TIMESTAMP '{AS_OF}' AS dw_created_at, TIMESTAMP '{AS_OF}' AS dw_updated_at
+FROM dim_customer WHERE is_current"""))
+
 # --- fact and the write paths ------------------------------------------------------
 
 oracle("fact_orders", with_base(fact_sql()))
-for _k in ("conform_schema", "conform_defaults", "layout_roundtrip", "recluster_roundtrip"):
+for _k in ("conform_schema", "layout_roundtrip", "recluster_roundtrip"):
     oracle(_k, ORACLE["fact_orders"])
+
+
+def some_orders(n: int) -> str:
+    """The orders that a damaged or corrected fact has changed: one in 97."""
+    return f"CAST(order_id AS BIGINT) % 97 = {n}"
+
+
+def altered(changes: str, src: str = "fact") -> str:
+    return f"(SELECT * REPLACE ({changes}) FROM {src}) x"
+
+
+oracle("conform_defaults", with_base(fact_sql(altered(
+    f"CASE WHEN {some_orders(6)} THEN FALSE ELSE return_flag END AS return_flag"))))
+oracle("merge_moved_dates", with_base(fact_sql(altered(
+    f"CASE WHEN {some_orders(0)} THEN CAST(order_date + INTERVAL 1 MONTH AS DATE) ELSE order_date END AS order_date"))))
+_half = f"{some_orders(0)} AND CAST(order_id AS BIGINT) % 2 = 0"
+oracle("merge_undated_rows", with_base(fact_sql(altered(
+    f"CASE WHEN {some_orders(0)} THEN NULL ELSE order_date END AS order_date, "
+    f"CASE WHEN {_half} THEN NOT return_flag ELSE return_flag END AS return_flag"))))
+oracle("retention_delete", with_base(f"""
+SELECT order_key, CAST(CASE WHEN {some_orders(0)} THEN NULL ELSE order_date END AS TIMESTAMP) AS order_date FROM fact
+WHERE {some_orders(0)} OR last_day(order_date) >= CAST(TIMESTAMP '{AS_OF}' AS DATE) - {RETENTION_DAYS}"""))
 oracle("first_orders", with_base(R("first_orders", ["customer_id"], dt=["first_order_date"])))
 oracle("pit_join_customer", with_base("""
 SELECT o.order_line_id, o.customer_id, CAST(o.order_date AS TIMESTAMP) AS order_date, d.customer_key,
@@ -410,6 +444,7 @@ stg_mod AS (
   SELECT * FROM stg_orders WHERE order_line_id NOT IN (SELECT order_line_id FROM chg)
   UNION ALL SELECT * FROM chg),""" + fact_cte("stg_mod", "fact_mod")
 oracle("upsert_all_columns", with_base(fact_sql("fact_mod"), [CHG]))
+oracle("layout_day_customer_channel", ORACLE["upsert_all_columns"])
 oracle("fact_orders_incremental", with_base(f"""
 SELECT {', '.join(c for c in FACT_PLAIN if c != 'return_flag')},
        CAST(f.order_date AS TIMESTAMP) AS order_date,
@@ -519,6 +554,65 @@ oracle("dq_constraints", with_base("\nUNION ALL\n".join(
                       "customer_key")
     + constraints_sql("dim_date", "dim_date", ["full_date"], "date_key")), [CAL_DAYS, DIM_DATE_CTE]))
 
+# --- the same checks over damaged tables ---------------------------------------------------
+
+DAMAGED_FACT = f"""
+bad_fact AS (
+  SELECT * REPLACE (
+    CASE WHEN {some_orders(0)} THEN NULL ELSE customer_key END AS customer_key,
+    CASE WHEN {some_orders(1)} THEN 'missing' ELSE product_key END AS product_key,
+    CASE WHEN {some_orders(2)} THEN NULL ELSE geo_key END AS geo_key,
+    CASE WHEN {some_orders(3)} THEN 19000101 ELSE date_key END AS date_key,
+    CASE WHEN {some_orders(4)} THEN gross_revenue + 1 ELSE net_revenue END AS net_revenue)
+  FROM fact
+  UNION ALL SELECT * FROM fact WHERE {some_orders(5)})"""
+
+
+def damaged_dim(src: str) -> str:
+    def some(n):
+        return f"CAST(customer_id AS BIGINT) % 13 = {n}"
+    return f"""
+bad_dim AS (
+  SELECT * REPLACE (
+    CASE WHEN {some(1)} AND NOT is_current THEN valid_to - INTERVAL 2 DAYS
+         WHEN {some(2)} AND NOT is_current THEN valid_to + INTERVAL 2 DAYS
+         WHEN {some(4)} AND NOT is_current THEN valid_from ELSE valid_to END AS valid_to)
+  FROM {src} WHERE NOT is_current OR NOT {some(0)}
+  UNION ALL SELECT * FROM {src} WHERE is_current AND {some(3)})"""
+
+
+_BAD, _BAD3 = [DAMAGED_FACT, damaged_dim("dim_customer")], M3 + [damaged_dim("m3")]
+oracle("dq_orphaned_orders_damaged", with_base("SELECT count(*) AS orphaned_orders FROM bad_fact WHERE customer_key IS NULL", _BAD))
+oracle("dq_revenue_errors_damaged", with_base("SELECT count(*) AS revenue_errors FROM bad_fact WHERE net_revenue > gross_revenue", _BAD))
+oracle("dq_duplicate_order_keys_damaged", with_base(
+    "SELECT order_key, count(*) AS cnt FROM bad_fact GROUP BY 1 HAVING count(*) > 1", _BAD))
+oracle("dq_orphans_all_fks_damaged", with_base("\nUNION ALL\n".join(
+    f"SELECT '{fk}' AS foreign_key, count(*) AS orphans FROM bad_fact f "
+    f"WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{fk} = f.{fk})"
+    for fk, dim in [("customer_key", "dim_customer"), ("product_key", "dim_product"),
+                    ("geo_key", "dim_geography"), ("date_key", "dim_date")]), [CAL_DAYS, DIM_DATE_CTE, *_BAD]))
+oracle("dq_constraints_damaged", with_base("\nUNION ALL\n".join(
+    constraints_sql("fact_orders", "bad_fact", ["order_key", "customer_key", "product_key", "date_key", "order_id",
+                                                "order_timestamp", "order_date"], "order_key")
+    + constraints_sql("dim_customer", "bad_dim", ["customer_id", "valid_from", "valid_to", "is_current"], "customer_key")
+    + constraints_sql("dim_date", "dim_date", ["full_date"], "date_key")), [CAL_DAYS, DIM_DATE_CTE, *_BAD]))
+oracle("dq_scd2_current_count_damaged", with_base(
+    "SELECT customer_id, count(*) AS current_row_count FROM bad_dim WHERE is_current GROUP BY 1 HAVING count(*) <> 1", _BAD))
+oracle("dq_scd2_current_count_strict_damaged", with_base(
+    "SELECT customer_id, CAST(sum(CAST(is_current AS INTEGER)) AS BIGINT) AS current_row_count FROM bad_dim "
+    "GROUP BY 1 HAVING sum(CAST(is_current AS INTEGER)) <> 1", _BAD3))
+oracle("dq_scd2_gaps_damaged", with_base(R(with_next("bad_dim", "NOT is_current"), **NEXT_COLS, where="gap_seconds > 1"), _BAD3))
+oracle("dq_scd2_gaps_strict_damaged", with_base(R(with_next("bad_dim"), **NEXT_COLS, where="gap_seconds > 0"), _BAD))
+oracle("dq_scd2_overlaps_damaged", with_base(R(with_next("bad_dim"), **NEXT_COLS, where="gap_seconds < 0"), _BAD))
+oracle("dq_scd2_bad_ranges_damaged", with_base(R("bad_dim", DIMC_PLAIN, ["lifetime_value"], ["acquisition_date"],
+                                                 ["valid_to"], where="valid_from >= valid_to"), _BAD))
+oracle("assert_scd2_damaged", with_base(assert_sql("bad_dim", False), _BAD3))
+oracle("assert_scd2_strict_damaged", with_base(assert_sql("bad_dim", True), _BAD))
+oracle("dq_lines_without_order", """
+SELECT l_orderkey, count(*) AS order_lines FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderkey % 97 <> 0)
+GROUP BY l_orderkey""")
+
 oracle("predicate_suite", with_base("""
 SELECT CAST(count(*) FILTER (WHERE geo_key IS NULL) AS BIGINT) AS n_geo_null,
        CAST(count(*) FILTER (WHERE channel IN ('web', 'app')) AS BIGINT) AS n_channel_in,
@@ -599,13 +693,14 @@ SELECT CAST(quarter_start AS TIMESTAMP) AS quarter_start, customer_segment, CAST
        CAST(lag(revenue) OVER (PARTITION BY customer_segment ORDER BY quarter_start) AS DOUBLE) AS prev_revenue,
        CAST(CAST(revenue - lag(revenue) OVER (PARTITION BY customer_segment ORDER BY quarter_start)
             AS DECIMAL(18,2)) AS DOUBLE) AS growth
-FROM (SELECT CAST(date_trunc('quarter', f.order_date) AS DATE) AS quarter_start, d.customer_segment,
+FROM (SELECT CAST(date_trunc('quarter', f.order_date) AS DATE) AS quarter_start,
+             coalesce(d.customer_segment, '(unknown)') AS customer_segment,
              CAST(sum(f.net_revenue) AS DECIMAL(18,2)) AS revenue
-      FROM fact f JOIN dim_customer d ON f.customer_key = d.customer_key GROUP BY 1, 2)"""))
+      FROM fact f LEFT JOIN dim_customer d ON f.customer_key = d.customer_key GROUP BY 1, 2)"""))
 oracle("return_rate_by_acq_channel", with_base("""
 SELECT acquisition_channel, order_lines, returns, CAST(returns AS DOUBLE) / order_lines AS return_rate
-FROM (SELECT d.acquisition_channel, count(*) AS order_lines, CAST(sum(CAST(f.return_flag AS INTEGER)) AS BIGINT) AS returns
-      FROM fact f JOIN dim_customer d ON f.customer_key = d.customer_key GROUP BY 1)"""))
+FROM (SELECT coalesce(d.acquisition_channel, '(unknown)') AS acquisition_channel, count(*) AS order_lines, CAST(sum(CAST(f.return_flag AS INTEGER)) AS BIGINT) AS returns
+      FROM fact f LEFT JOIN dim_customer d ON f.customer_key = d.customer_key GROUP BY 1)"""))
 oracle("region_vs_forecast", with_base(f"""
 SELECT region, year, CAST(revenue AS DOUBLE) AS revenue, CAST(forecast AS DOUBLE) AS forecast,
        CAST(CAST(revenue - forecast AS DECIMAL(18,2)) AS DOUBLE) AS variance,
@@ -613,8 +708,8 @@ SELECT region, year, CAST(revenue AS DOUBLE) AS revenue, CAST(forecast AS DOUBLE
 FROM (SELECT region, year, revenue,
              CAST(round(lag(revenue) OVER (PARTITION BY region ORDER BY year) * {FORECAST_UPLIFT}, 2)
                   AS DECIMAL(18,2)) AS forecast
-      FROM (SELECT g.region, year(f.order_date) AS year, CAST(sum(f.net_revenue) AS DECIMAL(18,2)) AS revenue
-            FROM fact f JOIN dim_geography g ON f.geo_key = g.geo_key GROUP BY 1, 2))"""))
+      FROM (SELECT coalesce(g.region, '(unknown)') AS region, year(f.order_date) AS year, CAST(sum(f.net_revenue) AS DECIMAL(18,2)) AS revenue
+            FROM fact f LEFT JOIN dim_geography g ON f.geo_key = g.geo_key GROUP BY 1, 2))"""))
 oracle("new_vs_returning", with_base("""
 SELECT is_first_order, count(*) AS order_lines, count(DISTINCT order_id) AS orders,
        CAST(CAST(sum(net_revenue) AS DECIMAL(18,2)) AS DOUBLE) AS revenue
@@ -632,6 +727,12 @@ FROM fact f LEFT JOIN dim_customer d ON f.customer_key = d.customer_key GROUP BY
 oracle("stream_fact_upsert", ORACLE["fact_orders"])
 oracle("stream_scd2_merge", with_base(R("ms", **MERGE_REPORT), [merged_cte("ms", 0, src="stg_customers")]))
 
+oracle("stg_events", """
+SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_timestamp, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS event_date,
+       CAST(user_id AS VARCHAR) AS user_id, lower(trim(event_type)) AS event_type,
+       CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS event_value, nullif(trim(props), '') AS properties
+FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts DESC, user_id DESC, event_type DESC, value DESC, props DESC) = 1""")
+
 JOB_LOG = """
 job_log AS (
   SELECT 'job_' || CAST(event_id AS VARCHAR) AS job_id, upper(event_type) AS statement_type,

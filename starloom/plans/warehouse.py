@@ -1,40 +1,66 @@
-"""The warehouse graph over one raw-table folder, built lazily.
-
-Each attribute is a DataFrame; nothing runs until an action. Dimensions and
-the fact are plain functions of staging, so the graph is the model's
-dependency order (staging -> dims -> fact -> marts) without a runner.
+"""The warehouse over one raw-table folder: staging views and stored tables.
+
+Staging is a set of lazy views. Dimensions, the customer time line, the fact
+and the product pre-aggregate are stored tables, as in the modelled warehouse:
+each is built once from the tables before it (staging -> dims -> fact ->
+marts) and written as Parquet; every report, check and mart reads the stored
+table. They live in the application's folder on shared storage, in a subfolder
+named after the raw tables' state, so raw data that has changed gives a new
+build and nothing is kept in the process.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators import calendar, dims, facts, scd2
+from starloom.operators import calendar, dims, facts, layout, marts, scd2
+from starloom.operators.pit import customer_timeline
 from starloom.params import DEFAULT_AS_OF
-from starloom.session import ensure_checkpoint_dir
+from starloom.session import application_path, ensure_checkpoint_dir
 from starloom.sources import staging
-from starloom.sources.tables import read_raw
+from starloom.sources.tables import RAW_TABLES, read_raw, table_path
+
+
+def raw_state(spark: SparkSession, sf_dir: str) -> str:
+    """A name for the present state of the raw tables: their paths, sizes,
+    file counts and modification times."""
+    parts = []
+    for name in RAW_TABLES:
+        path = table_path(sf_dir, name)
+        fs, p, _ = layout._fs(spark, path)
+        if fs.exists(p):
+            summary = fs.getContentSummary(p)
+            parts.append((path, summary.getLength(), summary.getFileCount(), fs.getFileStatus(p).getModificationTime()))
+    return hashlib.sha256(repr(parts).encode()).hexdigest()[:16]
 
 
 class Warehouse:
-    """``materialize``: dimensions are tables in the warehouse, so each is
-    built once and checkpointed (reliable checkpoint in the shared folder)
-    before the fact reads it; the fact's broadcast checks then count stored
-    rows, and a lost executor recomputes from the checkpoint, not from raw."""
+    """``root``: folder of the stored tables; by default one per application
+    and state of the raw tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF, root: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
-        self.materialize = materialize
-        if materialize:
-            ensure_checkpoint_dir(spark)
-
-    def _table(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if self.materialize else df
+        ensure_checkpoint_dir(spark)
+        self.root = root or f"{application_path(spark)}/warehouse-{raw_state(spark, sf_dir)}"
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def _stored(self, name: str, build, write=None) -> DataFrame:
+        """The table ``name``, built and written unless its write was committed before."""
+        path = self.path(name)
+        if not layout.path_exists(self.spark, f"{path}/_SUCCESS"):
+            if write is not None:
+                write(build(), path)
+            else:
+                build().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # --- staging ---------------------------------------------------------
     @cached_property
@@ -56,19 +82,19 @@ class Warehouse:
     # --- core ------------------------------------------------------------
     @cached_property
     def snapshot(self) -> DataFrame:
-        return scd2.scd2_history(self.stg_customers)
+        return self._stored("snap_customer", lambda: scd2.scd2_history(self.stg_customers))
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return self._table(scd2.dim_from_snapshot(self.snapshot, as_of=self.as_of))
+        return self._stored("dim_customer", lambda: scd2.dim_from_snapshot(self.snapshot, as_of=self.as_of))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return self._table(dims.dim_product(self.stg_products, as_of=self.as_of))
+        return self._stored("dim_product", lambda: dims.dim_product(self.stg_products, as_of=self.as_of))
 
     @cached_property
     def dim_geography(self) -> DataFrame:
-        return self._table(dims.dim_geography(self.src_geography))
+        return self._stored("dim_geography", lambda: dims.dim_geography(self.src_geography))
 
     @cached_property
     def calendar_days(self) -> DataFrame:
@@ -87,18 +113,49 @@ class Warehouse:
         a semi join against line keys, not from the wide staged lines, so the
         second pass over lines reads one column.
         """
-        o = read_raw(self.spark, self.sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-        # distinct line keys (map-side partial distinct): an order with a huge
-        # number of lines is one row on the semi join's build side
-        li = read_raw(self.spark, self.sf_dir, "lineitem", ["l_orderkey"]).distinct()
-        with_lines = o.join(li, o.o_orderkey == li.l_orderkey, "left_semi")
-        return self._table(with_lines.groupBy(F.col("o_custkey").cast("string").alias("customer_id")).agg(
-            F.min(F.to_date("o_orderdate")).alias("first_order_date")))
+        def build():
+            o = read_raw(self.spark, self.sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+            # distinct line keys (map-side partial distinct): an order with a huge
+            # number of lines is one row on the semi join's build side
+            li = read_raw(self.spark, self.sf_dir, "lineitem", ["l_orderkey"]).distinct()
+            with_lines = o.join(li, o.o_orderkey == li.l_orderkey, "left_semi")
+            return with_lines.groupBy(F.col("o_custkey").cast("string").alias("customer_id")).agg(
+                F.min(F.to_date("o_orderdate")).alias("first_order_date"))
+        return self._stored("first_orders", build)
+
+    @cached_property
+    def timeline(self) -> DataFrame:
+        """Customer versions and first order dates as one cover of the time line."""
+        return self._stored("customer_timeline", lambda: customer_timeline(self.dim_customer, self.first_orders))
 
     def fact_for(self, orders: DataFrame, **kw) -> DataFrame:
-        return facts.build_fact(orders, self.dim_customer, self.dim_product, self.dim_geography,
-                                self.first_orders, as_of=self.as_of, **kw)
+        """Fact rows for staged lines (all, or an incremental slice)."""
+        return facts.build_fact(orders, self.dim_customer, self.dim_product, self.dim_geography, None,
+                                as_of=self.as_of, timeline=self.timeline, **kw)
+
+    @cached_property
+    def _fact_stored(self) -> DataFrame:
+        return self._stored("fact_orders", lambda: self.fact_for(self.stg_orders),
+                            lambda df, path: layout.write_layout(df, path, "date_channel"))
 
     @cached_property
     def fact(self) -> DataFrame:
-        return self.fact_for(self.stg_orders)
+        """The stored fact (month partitions, sorted by date and channel)."""
+        return layout.without_partition_col(self._fact_stored)
+
+    def fact_between(self, date_from=None, date_to=None) -> DataFrame:
+        """The stored fact through the guarded reader: only the months of the range are read."""
+        self._fact_stored  # noqa: B018  built if need be
+        return layout.without_partition_col(layout.read_fact(self.spark, self.path("fact_orders"), date_from, date_to))
+
+    @cached_property
+    def fact_by_customer(self) -> DataFrame:
+        """The copy of the fact that is clustered by customer."""
+        return self._stored("fact_customer", lambda: self.fact, lambda df, path: layout.write_layout(df, path, "customer"))
+
+    @cached_property
+    def agg_product_performance(self) -> DataFrame:
+        """The stored pre-aggregate, partitioned by year."""
+        return self._stored("agg_product_performance",
+                            lambda: marts.agg_product_performance(self.fact, self.dim_product, self.dim_geography),
+                            lambda df, path: df.write.mode("overwrite").partitionBy("year").parquet(path))

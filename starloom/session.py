@@ -53,21 +53,34 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to shared storage and is used
-    as is. Only when it is unset (unit tests, local runs) do we set one.
+    as is. Only local runs (unit tests) may leave it unset; a cluster without
+    a shared folder is an error, never a machine-local fallback.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = fallback or os.path.join("/tmp", "starloom-checkpoints")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh directory under the shared checkpoint folder for a written table."""
+    """A fresh directory under the shared checkpoint folder for a written
+    table; the application's scratch folder is removed when it ends."""
+    return f"{application_path(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def application_path(spark: SparkSession) -> str:
+    """This application's folder under the shared checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "starloom", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = f"{base.rstrip('/')}/starloom/{spark.sparkContext.applicationId}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+    return path

@@ -57,13 +57,18 @@ def order_line_id() -> "F.Column":
     )
 
 
-def stg_orders(spark: SparkSession, sf_dir: str, with_ship_date: bool = False) -> DataFrame:
-    """One row per order line in the shape the fact load reads."""
+def stg_orders(spark: SparkSession, sf_dir: str, with_ship_date: bool = False, since=None, until=None) -> DataFrame:
+    """One row per order line in the shape the fact load reads, optionally of
+    order days from ``since`` to ``until`` (literals, pushed to the scan)."""
     li = read_raw(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate",
     ])
     o = read_raw(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    if since is not None:
+        o = o.filter(F.col("o_orderdate") >= F.lit(str(since)).cast("timestamp_ntz"))
+    if until is not None:
+        o = o.filter(F.col("o_orderdate") < F.date_add(F.lit(str(until)).cast("date"), 1).cast("timestamp_ntz"))
     cg = customer_geo(spark, sf_dir).select("c_custkey", "city", "state", "country")
     p = read_raw(spark, sf_dir, "part", ["p_partkey", "p_retailprice"])
 
@@ -177,7 +182,8 @@ def stg_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(F.col("prev_segment").isNull() | (F.col("prev_segment") != F.col("segment")))
     )
     cg = customer_geo(spark, sf_dir)
-    j = s.join(cg, s.custkey == cg.c_custkey, "inner")
+    # an order's customer that is not in the customer table keeps its changes, without attributes
+    j = s.join(cg, s.custkey == cg.c_custkey, "left")
     return j.select(
         F.col("custkey").cast("string").alias("customer_id"),
         F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
@@ -194,6 +200,29 @@ def stg_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lines_without_order(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order keys of lines that no order explains, with their lines: the rows
+    that ``stg_orders`` cannot stage."""
+    counts = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("order_lines"))
+    return counts.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_anti")
+
+
+def stg_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as staged rows: one row per event id (the latest), trimmed
+    lower-case type, blank properties as NULL."""
+    e = read_raw(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    latest = e.groupBy("event_id").agg(F.max(F.struct("ts", "user_id", "event_type", "value", "props")).alias("r"))
+    return latest.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("r.ts").alias("event_timestamp"),
+        F.to_date("r.ts").alias("event_date"),
+        F.col("r.user_id").cast("string").alias("user_id"),
+        F.lower(F.trim("r.event_type")).alias("event_type"),
+        F.col("r.value").cast(MONEY).alias("event_value"),
+        F.nullif(F.trim("r.props"), F.lit("")).alias("properties"),
+    )
+
+
 def fulfilment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order line, the delivered date (date of the ship timestamp)."""
     li = read_raw(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])

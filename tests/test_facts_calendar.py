@@ -133,7 +133,7 @@ def test_fact_shuffle_path_single_customer_join(spark):
     w = Warehouse(spark, "/root/testdata/sf0.001")
     small = facts.build_fact(w.stg_orders, w.dim_customer, w.dim_product, w.dim_geography, w.first_orders)
     big = facts.build_fact(w.stg_orders, w.dim_customer, w.dim_product, w.dim_geography, w.first_orders,
-                           broadcast_max_rows=0)
+                           broadcast_max_bytes=0)
     plan = big._jdf.queryExecution().executedPlan().toString()
     # one shuffle join carries both the version and the first-order date
     pit = [ln for ln in plan.splitlines() if "Join" in ln and "_pit_key" in ln]

@@ -107,6 +107,39 @@ def test_m8_change_before_current_rejected(spark):
     assert [r.customer_id for r in rej.collect()] == ["c1"]
 
 
+def test_two_rows_of_one_key_and_timestamp(spark):
+    import pytest
+    same = [("c1", "Bronze", TS(2023, 1, 1)), ("c1", "Gold", TS(2023, 1, 1))]
+    with pytest.raises(scd2.AmbiguousVersionError):
+        merge(spark, None, same)
+    inc = feed(spark, same).withColumn("seq", F.when(F.col("customer_segment") == "Gold", 2).otherwise(1))
+    dim, rej = scd2.scd2_merge(scd2.empty_like_dim(inc), inc, as_of=TS(2024, 1, 1), order_by="seq")
+    assert rows_of(dim) == [("c1", "Gold", TS(2023, 1, 1), MAX, True)] and rej.count() == 0
+    # rows that agree in the tracked attributes are one
+    dim, _ = merge(spark, None, [("c1", "Gold", TS(2023, 1, 1), "C", "a@x"), ("c1", "Gold", TS(2023, 1, 1), "C", "b@x")])
+    assert len(rows_of(dim)) == 1
+
+
+def test_stream_writes_rejects_and_survives_a_crashed_version(spark, scratch):
+    import os
+
+    from starloom.operators import layout
+    from starloom.streaming.stream import stream_scd2
+    landing, base, ckpt, rejects = (os.path.join(scratch, n) for n in ("in", "dim", "ckpt", "rej"))
+
+    def arrive(rows):
+        df = feed(spark, rows)
+        df.repartition(2).write.mode("append").parquet(landing)
+        stream_scd2(spark, landing, df.schema, base, ckpt, rejects, as_of=TS(2024, 1, 1))
+
+    arrive([("c1", "Bronze", TS(2023, 1, 1)), ("c2", "Gold", TS(2023, 1, 1))])
+    os.makedirs(os.path.join(base, "v=2"))  # a crash before the commit
+    arrive([("c1", "Silver", TS(2023, 2, 1)), ("c2", "Late", TS(2022, 1, 1))])
+    got = rows_of(layout.read_versioned(spark, base))
+    assert [(r[0], r[1], r[4]) for r in got] == [("c1", "Bronze", False), ("c1", "Silver", True), ("c2", "Gold", True)]
+    assert [(r.customer_id, r.customer_segment) for r in spark.read.parquet(rejects).collect()] == [("c2", "Late")]
+
+
 def test_m9_pit_minus_1s_convention(spark):
     d1, _ = merge(spark, None, [("c1", "Silver", TS(2023, 1, 1))])
     d2, _ = merge(spark, d1, [("c1", "Gold", TS(2023, 3, 15))])

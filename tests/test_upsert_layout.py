@@ -101,41 +101,143 @@ def test_merge_into_touches_only_source_months(spark, scratch):
 
 def test_versioned_write(spark, scratch):
     base = os.path.join(scratch, "dim")
+    assert layout.current_version(spark, base) is None
+    with pytest.raises(FileNotFoundError):
+        layout.read_versioned(spark, base)
     layout.write_versioned(spark, spark.range(3), base)
     layout.write_versioned(spark, spark.range(5), base)
     assert layout.read_versioned(spark, base).count() == 5
 
 
+def test_version_left_behind_by_a_crash_is_ignored_and_overwritten(spark, scratch):
+    base = os.path.join(scratch, "dim")
+    layout.write_versioned(spark, spark.range(3), base)
+    layout.write_versioned(spark, spark.range(5), base)
+    os.remove(os.path.join(base, "v=2", "_SUCCESS"))  # the write did not get to its commit
+    assert layout.read_versioned(spark, base).count() == 3
+    layout.write_versioned(spark, layout.read_versioned(spark, base).limit(2), base)
+    assert layout.read_versioned(spark, base).count() == 2 and layout.current_version(spark, base) == 2
+
+
+def _merge_all(t, s):
+    return upsert.upsert(t, s, update_cols="all", as_of=dt.datetime(2024, 1, 1), loaded_col=None)
+
+
+def test_merge_keeps_undated_rows(spark, scratch):
+    p = os.path.join(scratch, "f")
+    kind = "order_key string, order_date date, channel string, qty int"
+    rows = spark.createDataFrame([("a", D(2023, 1, 5), "web", 1), ("n1", None, "web", 1), ("n2", None, "app", 1)], kind)
+    layout.write_layout(rows, p)
+    layout.merge_into(spark, p, spark.createDataFrame([("b", D(2023, 1, 6), "web", 2), ("n3", None, "web", 2)], kind), _merge_all)
+    got = {r.order_key: r.qty for r in spark.read.parquet(p).collect()}
+    assert got == {"a": 1, "n1": 1, "n2": 1, "b": 2, "n3": 2}
+    layout.merge_into(spark, p, spark.createDataFrame([("n2", None, "app", 7)], kind), _merge_all)
+    assert {r.order_key: r.qty for r in spark.read.parquet(p).collect()} == {**got, "n2": 7}
+
+
+@pytest.mark.parametrize("name", ["date_channel", "day_customer_channel"])
+def test_merge_follows_moved_dates_and_drops_emptied_partitions(spark, scratch, name):
+    p = os.path.join(scratch, "f")
+    kind = "order_key string, customer_id string, order_date date, channel string, qty int"
+    rows = [("a", "c", D(2023, 1, 31), "web", 1), ("b", "c", D(2023, 2, 3), "web", 1), ("z", "c", D(2023, 5, 3), "web", 1)]
+    layout.write_layout(spark.createDataFrame(rows, kind), p, name)
+    untouched = {f for f in os.listdir(os.path.join(p, f"{layout.partition_col(name)}=2023-05-{'01' if name == 'date_channel' else '03'}"))}
+    batch = spark.createDataFrame([("a", "c", D(2023, 3, 1), "web", 9), ("b", "c", None, "web", 9)], kind)
+    layout.merge_into(spark, p, batch, _merge_all, name)
+    got = sorted((r.order_key, str(r.order_date), r.qty) for r in spark.read.parquet(p).collect())
+    assert got == [("a", "2023-03-01", 9), ("b", "None", 9), ("z", "2023-05-03", 1)]
+    parts = sorted(f.split("=")[1][:7] for f in os.listdir(p) if "=" in f)
+    assert parts == ["2023-03", "2023-05", "__HIVE_"]
+    kept = os.path.join(p, f"{layout.partition_col(name)}=2023-05-{'01' if name == 'date_channel' else '03'}")
+    assert set(os.listdir(kept)) == untouched  # only the touched partitions are rewritten
+
+
+@pytest.mark.parametrize("name", ["date", "date_channel", "day_customer_channel", "customer"])
+def test_every_written_file_is_sorted(spark, scratch, name):
+    import glob
+
+    import pyarrow.parquet as pq
+    p = os.path.join(scratch, "f")
+    layout.write_layout(_fact(spark, 3000).withColumn("order_key", F.md5("order_key")), p, name, files=3)
+    files = glob.glob(f"{p}/**/*.parquet", recursive=True)
+    assert len(files) > 2
+    for f in files:
+        rows = pq.ParquetFile(f).read(columns=list(layout.LAYOUTS[name].cluster)).to_pylist()
+        keys = [tuple(r[c] for c in layout.LAYOUTS[name].cluster) for r in rows]
+        assert keys == sorted(keys), f
+
+
+def test_recluster_takes_the_disordered_partitions_only(spark, scratch):
+    p = os.path.join(scratch, "f")
+    f = _fact(spark, 600)
+    layout.write_layout(f, p, "date_channel", files=1)
+    # a backfill appends another file to January
+    extra = layout.with_partition_col(f.filter(F.month("order_date") == 1).withColumn("order_key", F.concat(F.lit("x"), "order_key")))
+    extra.coalesce(1).write.mode("append").partitionBy(layout.PARTITION_COL).parquet(p)
+    assert layout.disordered_partitions(spark, p) == [D(2023, 1, 1)]
+    feb = set(os.listdir(os.path.join(p, "order_month=2023-02-01")))
+    layout.recluster(spark, p)
+    assert layout.disordered_partitions(spark, p) == []
+    assert set(os.listdir(os.path.join(p, "order_month=2023-02-01"))) == feb
+    assert spark.read.parquet(p).count() == 600 + extra.count()
+
+
+def test_watermark_reads_the_newest_partition(spark, scratch):
+    p = os.path.join(scratch, "f")
+    layout.write_layout(_fact(spark), p)
+    t = spark.read.parquet(p)
+    assert upsert.watermark(t, 3, partition=layout.PARTITION_COL) == upsert.watermark(t, 3)
+    assert upsert.watermark(t.filter(F.lit(False)), 3, partition=layout.PARTITION_COL) is None
+
+
+def test_one_sided_date_ranges(spark):
+    from starloom.operators import marts
+    f = _fact(spark)
+    n = {k: marts.full_range_sum(f, *v).first().order_lines for k, v in
+         {"from": ("2023-07-01", None), "to": (None, "2023-06-30"), "all": (None, None)}.items()}
+    assert n["from"] + n["to"] == n["all"] == 200 and n["from"] > 0
+
+
+def test_broadcast_is_measured_in_bytes(spark):
+    from starloom.operators.joins import checked_broadcast, measured_bytes
+    df = spark.createDataFrame([(1, "x" * 1000), (2, None)], "k int, s string").checkpoint()
+    assert 1000 <= measured_bytes(df) <= 1100
+    assert checked_broadcast(df, 500) is df and checked_broadcast(df, 5000) is not df
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from starloom.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)
+
+
+def test_typed_table_is_created_once_and_filled_with_defaults(spark, scratch):
+    from starloom.operators import schemas
+    p = os.path.join(scratch, "dim")
+    assert schemas.create_if_absent(spark, p, schemas.DIM_CUSTOMER_SCHEMA)
+    now = dt.datetime(2024, 1, 1)
+    row = spark.createDataFrame([("k", "c", now)], "customer_key string, customer_id string, valid_from timestamp_ntz")
+    schemas.append_conformed(row, p, schemas.DIM_CUSTOMER_SCHEMA, schemas.DIM_CUSTOMER_DEFAULTS, as_of=now)
+    assert not schemas.create_if_absent(spark, p, schemas.DIM_CUSTOMER_SCHEMA)
+    r = spark.read.parquet(p).select("*", F.col("valid_to").cast("string").alias("end")).first()
+    assert (r.end, r.is_current, r.dw_created_at, r.city) == ("9999-12-31 23:59:59", True, now, None)
+
+
 def test_retention(spark, scratch):
     p = os.path.join(scratch, "f")
     layout.write_layout(_fact(spark), p, "date_channel", files=2)
+    undated = layout.with_partition_col(_fact(spark, 3).withColumn("order_date", F.lit(None).cast("date")))
+    undated.write.mode("append").partitionBy(layout.PARTITION_COL).parquet(p)
     dropped = layout.drop_expired_partitions(spark, p, dt.datetime(2023, 7, 15), days=100)
+    assert spark.read.parquet(p).filter("order_date IS NULL").count() == 3
     assert dropped == [D(2023, m, 1) for m in (1, 2, 3)]
     assert spark.read.parquet(p).agg(F.min("order_month")).first()[0] == D(2023, 4, 1)
 
 
-def test_m28_overlaps_and_pruning(spark):
-    st = spark.createDataFrame([("f1", 1, 10, 100), ("f2", 5, 15, 100), ("f3", 20, 30, 100)],
-                               "file string, lo int, hi int, bytes long")
-    depth = {r.file: r.depth for r in ops.file_overlaps(st).collect()}
-    assert depth == {"f1": 2, "f2": 2, "f3": 1}
-    r = ops.pruning_report(st, 12, 18).first()
-    assert (r.files_scanned, r.files_total) == (1, 3)
-
-
-def test_m28_overlaps_against_brute_force(spark):
-    import random
-    rnd = random.Random(7)
-    files = []
-    for i in range(60):
-        a = rnd.randint(0, 100)
-        files.append((f"f{i}", a, a + rnd.randint(0, 30), 1))
-    st = spark.createDataFrame(files, "file string, lo int, hi int, bytes long")
-    got = {r.file: r.depth for r in ops.file_overlaps(st).collect()}
-    exp = {f: sum(1 for _, lo2, hi2, _ in files if lo2 <= hi and lo <= hi2) for f, lo, hi, _ in files}
-    assert got == exp
-
-
 def test_m29_job_log(spark):
     now = dt.datetime(2024, 1, 2, 12)
     hour = dt.timedelta(hours=1)
@@ -157,9 +259,8 @@ def test_m32_layouts_same_rows_different_pruning(spark, scratch):
     a = spark.read.parquet(p1).drop("order_month")
     b = spark.read.parquet(p2)
     assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
-    ra = ops.pruning_report(ops.file_stats(spark, p1, "customer_id"), "c3", "c3").first()
-    rb = ops.pruning_report(ops.file_stats(spark, p2, "customer_id"), "c3", "c3").first()
-    assert rb.files_scanned < ra.files_scanned
+    ra, rb = (ops.files_holding(spark.read.parquet(p), F.col("customer_id") == "c3").first() for p in (p1, p2))
+    assert rb.files_hit < ra.files_hit and rb.bytes_hit < rb.bytes_total
 
 
 def test_schema_evolution_merge_schema(spark, scratch):
@@ -171,12 +272,3 @@ def test_schema_evolution_merge_schema(spark, scratch):
     df = layout.read_fact(spark, p, "2023-01-01", "2023-12-31", merge_schema=True)
     assert "currency_key" in df.columns and df.count() == 40
     assert df.filter(F.col("currency_key").isNull()).count() == old.count()
-
-
-def test_footer_stats_equal_scan_stats(spark, scratch):
-    p = os.path.join(scratch, "f")
-    layout.write_layout(_fact(spark), p, "customer", files=4)
-    for col in ("customer_id", "order_date"):
-        a = sorted(map(tuple, ops.file_stats(spark, p, col).collect()))
-        b = sorted(map(tuple, ops.file_stats(spark, p, col, from_footers=False).collect()))
-        assert a == b and len(a) == 4
