@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.session import ensure_checkpoint_dir
+from starloom.session import ensure_checkpoint_dir, scratch_path
+
+
+#: A new folder in the shared checkpoint folder for a written table.
+shared_path = scratch_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,10 +52,3 @@ class Memo:
                 self.young.update(zip(fresh, self.fill(fresh)))
             self.size += sum(map(len, need)) + self.ENTRY_COST * len(need)
         return map(self.young.__getitem__, keys)
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder for a written table, in the shared checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
