@@ -11,11 +11,14 @@ Prefix and skip: values that only one node has are skipped, so are nodes left
 with fewer than MATCHES values. Of the others' m values, the m - MATCHES + 1
 rarest must hold one that a partner shares; only those prefixes are joined.
 Very frequent values are seldom in a prefix, except in groups of near copies.
-There, instead of comparing all pairs, every posting list first compares its
-members with a hub (a few hubs in turn, while that helps); members already
-connected are not compared again, and all pairs of a list that are still in
-different components are compared at the end, so that no link is lost. Pairs
-are held against MATCHES on whole signatures, then confirmed on the full sets.
+So instead of all pairs, every posting list compares its members with its hub,
+the member with the most shared values. Pairs are held against MATCHES on whole
+signatures, then confirmed on the full sets. Members of lists that are still in
+several components are then joined exactly: of a set of n shingles, the rarest
+n - ceil(3n/4) + 1 must hold one of a linked partner's (for the smaller set of a
+pair, n - ceil(6n/7) + 1), and the places of that shingle in both orders must
+leave room for the overlap that 0.75 asks for. Frequent shingles come last in
+those orders, so no group's pairs are enumerated, and no link is lost.
 
 Defined results: null, empty and wordless texts have an empty set, are linked
 with nothing and kept. Rows with a null id are linked with nothing and kept;
@@ -97,12 +100,13 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
 
 def prefixes(nodes: DataFrame) -> DataFrame:
-    """node, value: the rarest shared values of each node that has enough of them."""
+    """node, shared, value: the rarest shared values of each node that has enough of them, and how many it shares."""
     posts = nodes.select("node", F.explode("sig").alias("value"))
     often = posts.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
     own = posts.join(often, "value").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("own"))
     return own.where(F.size("own") >= MATCHES) \
-        .select("node", F.explode(F.slice("own", F.lit(1), F.size("own") - MATCHES + 1)).alias("p")).select("node", F.col("p.value").alias("value"))
+        .select("node", F.size("own").alias("shared"), F.explode(F.slice("own", F.lit(1), F.size("own") - MATCHES + 1)).alias("p")) \
+        .select("node", "shared", F.col("p.value").alias("value"))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -119,39 +123,36 @@ def ordered(pairs: DataFrame, x, y) -> DataFrame:
     return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
+def exact_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different label that may be similar enough, from (node, label, shingles): the prefix join."""
+    n = F.size("shingles")
+    items = sets.select("node", "label", F.xxhash64("shingles").alias("which"), n.alias("n"), F.explode("shingles").alias("item"))
+    often = items.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
+    shared = items.join(often, "item").groupBy("node", "label", "which", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("own"))
+    # shingles that no other set has come first in the order and are not posted
+    alone = F.col("n") - F.size("own")
+    probe = F.greatest(F.col("n") - F.expr("(3 * n + 3) div 4") + 1 - alone, F.lit(0))
+    posts = shared.select("node", "label", "n", alone.alias("alone"), F.posexplode(F.slice("own", F.lit(1), probe)).alias("at", "p")) \
+        .select("node", "label", "n", (F.col("alone") + F.col("at")).cast("int").alias("place"), F.col("p.item").alias("item"))
+    x = posts.where("place < n - (6 * n + 6) div 7 + 1").alias("x")
+    y = posts.alias("y")
+    room = F.expr("least(x.n - x.place, y.n - y.place) >= (3 * (x.n + y.n) + 6) div 7")
+    smaller = F.expr("x.n < y.n OR (x.n = y.n AND x.node < y.node)")
+    close = F.expr("4 * x.n >= 3 * y.n AND x.label <> y.label AND x.node <> y.node")
+    return ordered(x.join(y, F.expr("x.item = y.item") & smaller & close & room), F.col("x.node"), F.col("y.node"))
+
+
 def linked_nodes(posts: DataFrame, sets: DataFrame) -> DataFrame:
     """node, label: the components over all links between nodes that share a prefix value."""
-    members = posts.withColumn("label", F.col("node"))
-    edges = tested = labels = None
-    open_before, turn = None, 0
-    while True:
-        # pairs of one list that are in different components still
-        by_label = members.groupBy("value", "label").agg(F.count("*").alias("n"))
-        lists = by_label.groupBy("value").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")) \
-            .where("labels > 1")
-        still = settle(members.join(lists.select("value", "n"), "value"))
-        size = lists.agg(F.sum(F.col("n") * F.col("n") - F.col("same")).cast("double").alias("pairs"), F.sum("n").alias("members")).first()
-        open_now = size["pairs"] or 0.0
-        if not open_now:
-            return labels if labels is not None else posts.select("node", F.col("node").alias("label")).distinct()
-        hubs_help = turn == 0 or (open_now > 8.0 * size["members"] and open_now < 0.7 * open_before)
-        if hubs_help:
-            order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            hub = still.groupBy("value").agg(F.min(F.struct(order.alias("order"), F.col("node").alias("hub"), F.col("label").alias("hub_label"))).alias("h")) \
-                .select("value", "h.hub", "h.hub_label")
-            pairs = ordered(still.join(hub, "value").where("label <> hub_label"), "node", "hub")
-        else:
-            other = still.select("value", F.col("node").alias("other"), F.col("label").alias("other_label"))
-            pairs = ordered(still.join(other, "value").where("node < other AND label <> other_label"), "node", "other")
-        pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        found = settle(confirm(pairs, sets))
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        edges = found if edges is None else edges.unionByName(found)
-        labels = settle(components(edges))
-        if not hubs_help:
-            return labels
-        members = posts.join(labels, "node", "left").select("node", "value", F.coalesce("label", "node").alias("label"))
-        open_before, turn = open_now, turn + 1
+    hub = posts.groupBy("value").agg(F.max(F.struct("shared", (-F.col("node")).alias("node"))).alias("h"), F.count("*").alias("n")) \
+        .where("n > 1").select("value", (-F.col("h.node")).alias("hub"))
+    found = settle(confirm(ordered(posts.join(hub, "value").where("node <> hub"), "node", "hub"), sets))
+    first = settle(components(found))
+    members = posts.select("node", "value").join(first, "node", "left").select("node", "value", F.coalesce("label", "node").alias("label"))
+    mixed = members.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("value")
+    left = members.join(mixed, "value").select("node", "label").distinct()
+    rest = confirm(exact_pairs(sets.join(left, "node").select("node", "label", "shingles")), sets)
+    return components(found.unionByName(rest))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
