@@ -34,8 +34,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm.common import Memo
-
 END_ID = 2
 LEVEL = 3
 DICTIONARY_BYTES = 65536
@@ -52,25 +50,57 @@ BLOCK_SCHEMA = ("part int, ids_before long, first_doc long, last_doc long, doc_i
                 "offsets array<long>, frames binary, dictionary_sha256 string")
 
 
+class PartIds(dict):
+    """The id bytes of parts of a text, each worked out once while it is held.
+
+    A part follows ``lead`` (a space, or nothing). Its pre-tokens end before and
+    after a single line break between other characters, and a pre-token of
+    letters ends before a full stop or comma, so such parts are put together
+    from theirs (``bare`` holds those without a lead). ASCII letters are a single
+    pre-token and go straight to the model; all else goes through the whole
+    tokenizer. When LIMIT parts are held, they are dropped; long ones are not held.
+    """
+
+    LIMIT, LONG = 500_000, 64
+
+    def __init__(self, tok: Tokenizer, kind: str, lead: str = "", bare: PartIds | None = None):
+        super().__init__()
+        self.tok, self.model, self.kind, self.lead = tok, tok.model, kind, lead
+        self.bare = self if bare is None else bare
+        self.mark = lead.replace(" ", "\u0120")  # a space, as the byte-level alphabet writes it
+
+    def __missing__(self, part: str) -> bytes:
+        line, broken, rest = part.partition("\n")
+        if broken and line and rest and not line[-1].isspace() and not rest[0].isspace():
+            ids = self[line] + self.bare["\n"] + self.bare[rest]
+        elif part[-1:] in (".", ",") and part[:-1].isascii() and part[:-1].isalpha():
+            ids = self[part[:-1]] + self.bare[part[-1]]
+        elif part.isascii() and part.isalpha():
+            ids = np.array([t.id for t in self.model.tokenize(self.mark + part)], self.kind).tobytes()
+        else:
+            ids = np.array(self.tok.encode(self.lead + part, add_special_tokens=False).ids, self.kind).tobytes()
+        if len(part) <= self.LONG:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 def text_encoder(tokenizer_json: str, width: int):
     """A function from text to id bytes, for a byte-level tokenizer.
 
     Its pre-tokens never reach over a space that follows a non-space character,
-    so texts are cut there and each distinct part is encoded once per task.
+    so texts are cut there.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tok = Tokenizer.from_str(tokenizer_json)
     tok.encode_special_tokens = True  # their names in a text are ordinary text
-    kind = f"<u{width}"
-
-    def fill(parts):
-        return [np.array(e.ids, kind).tobytes() for e in tok.encode_batch(parts, add_special_tokens=False)]
-
-    first, later = Memo(fill, 1_000_000), Memo(lambda parts: fill([" " + p for p in parts]))
+    first = PartIds(tok, f"<u{width}")
+    later = PartIds(tok, f"<u{width}", " ", first).__getitem__
 
     def encode(text: str) -> bytes:
         parts = WORD_END.split(text) if SPACE_AFTER_SPACE.search(text) else text.split(" ")
-        return next(first.look(parts[:1])) + b"".join(later.look(parts[1:]))
+        return first[parts[0]] + b"".join(map(later, parts[1:]))
 
     return encode
 
