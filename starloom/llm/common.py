@@ -16,8 +16,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    """Cut the lineage with a reliable checkpoint in the shared folder.
+
+    What earlier steps shuffled is garbage by then; Spark's cleaner deletes it
+    once the driver's JVM has collected, so that is asked for here and a chain
+    of steps does not pile up on the disks.
+    """
     ensure_checkpoint_dir(df.sparkSession)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.checkpoint()
 
 

@@ -147,12 +147,18 @@ def linked_nodes(posts: DataFrame, sets: DataFrame) -> DataFrame:
     hub = posts.groupBy("value").agg(F.max(F.struct("shared", (-F.col("node")).alias("node"))).alias("h"), F.count("*").alias("n")) \
         .where("n > 1").select("value", (-F.col("h.node")).alias("hub"))
     found = settle(confirm(ordered(posts.join(hub, "value").where("node <> hub"), "node", "hub"), sets))
-    first = settle(components(found))
-    members = posts.select("node", "value").join(first, "node", "left").select("node", "value", F.coalesce("label", "node").alias("label"))
+    # a node goes by the partner with the most shared values, if that has more than itself: equal names are connected
+    shared = posts.select("node", "shared").distinct()
+    both = found.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+        found.select(F.col("b").alias("node"), F.col("a").alias("other")))
+    best = both.join(shared.select(F.col("node").alias("other"), "shared"), "other") \
+        .unionByName(shared.select("node", F.col("node").alias("other"), "shared")) \
+        .groupBy("node").agg((-F.max(F.struct("shared", (-F.col("other")).alias("other")))["other"]).alias("label"))
+    members = settle(posts.select("node", "value").join(best, "node"))
     mixed = members.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("value")
     left = members.join(mixed, "value").select("node", "label").distinct()
-    rest = confirm(exact_pairs(sets.join(left, "node").select("node", "label", "shingles")), sets)
-    return components(found.unionByName(rest))
+    pairs = settle(exact_pairs(sets.join(left, "node").select("node", "label", "shingles")))
+    return components(found.unionByName(confirm(pairs, sets)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
