@@ -37,7 +37,8 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_spark(f"local[{cpus}]", cpus * 2, app_name="starloom-bench",
-                      extra={"spark.driver.memory": "16g"})
+                      # files of a size that fits these small tables, so that layouts can be told apart
+                      extra={"spark.driver.memory": "16g", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"})
     spark.sparkContext.setLogLevel("ERROR")
     root = scratch_path(spark, "bench")
     w = Warehouse(spark, sf_dir, root=root)
