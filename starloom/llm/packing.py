@@ -27,24 +27,53 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm.common import Memo, settle
+from starloom.llm.common import settle
 
 CAP = 2048
 END_ID = 0
 
 
+class WordIds(dict):
+    """The id bytes of words, each worked out once while it is held.
+
+    White space is dropped and ASCII letters are lower-cased by the tokenizer,
+    and a pre-token of letters ends before a full stop or comma; so a word's ids
+    come from its lower-cased form, or from its letters and its last sign. A word
+    of ASCII letters is a single pre-token and goes straight to the model. All
+    other words go through the whole tokenizer. When LIMIT words are held, they
+    are dropped; long ones are not held.
+    """
+
+    LIMIT, LONG = 500_000, 64
+
+    def __init__(self, tok: Tokenizer):
+        super().__init__()
+        self.tok, self.model = tok, tok.model
+
+    def __missing__(self, word: bytes) -> bytes:
+        lower = word.lower()
+        if lower != word and word.isascii():
+            ids = self[lower]
+        elif word[-1:] in (b".", b",") and word[:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
+        elif word.isalpha():
+            ids = np.array([t.id for t in self.model.tokenize(word.decode())], "<u4").tobytes()
+        else:
+            ids = np.array(self.tok.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, "<u4").tobytes()
+        if len(word) <= self.LONG:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 def word_encoder(tokenizer_json: str):
-    """A function from text to id bytes, for a tokenizer that drops white space: words are encoded once per task."""
+    """A function from text to id bytes, for a lower-casing tokenizer that drops white space."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tok = Tokenizer.from_str(tokenizer_json)
     tok.encode_special_tokens = True  # their names in a text are ordinary text
-
-    def fill(words):
-        found = tok.encode_batch([w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    memo = Memo(fill)
-    return lambda text: b"".join(memo.look(text.encode("utf-8", "surrogatepass").split()))
+    ids_of = WordIds(tok).__getitem__
+    return lambda text: b"".join(map(ids_of, text.encode("utf-8", "surrogatepass").split()))
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, cap: int = CAP, end_id: int = END_ID,
