@@ -3,14 +3,16 @@
 A message's lines are parsed into nested quote levels (``>``, ``> >``, ``>>``);
 consecutive lines of one level form a passage, and blank lines end it. Passages
 are normalised (lower case, white space collapsed to one space) and hashed. A
-quoted passage links its message to the latest earlier
-message of the same conversation that holds the passage as its own text, or has
-a line of it. A message replies to the earliest message that its least nested
-linked quotes name. Threads are the trees that these links span; the
-conversation is put in reply order by sorting messages by (thread, turn), where
-thread is the first message of the tree; messages without a link start a thread
-of their own, so a conversation without quotes keeps its order. ``content`` is
-the message without quotes.
+quoted passage links its message to the latest earlier message of the same
+conversation that holds the passage as a passage or a line of its own text;
+failing that, a quoted passage of several lines (a part of a longer passage,
+say) links to the latest earlier message whose own lines hold all of its lines
+in their order; lines broken elsewhere are other lines. A message replies to the
+earliest message that its least nested linked quotes name. Threads are the
+trees that these links span; the conversation is put in reply order by sorting
+messages by (thread, turn), where thread is the first message of the tree;
+messages without a link start a thread of their own, so a conversation without
+quotes keeps its order. ``content`` is the message without quotes.
 
 Defined results: one row per input row, with its role kept. A null or empty
 text has no passages and an empty content. Rows with a null conv_id or turn are
@@ -32,8 +34,8 @@ from starloom.llm.common import settle
 
 MARKS = re.compile(r"[ \t]*((?:>[ \t]*)+)")
 PARSED = ("row long, conv_id long, turn long, role string, content string, "
-          "passages array<struct<level: int, run: boolean, hash: string>>")
-PASSAGES = pa.list_(pa.struct([("level", pa.int32()), ("run", pa.bool_()), ("hash", pa.string())]))
+          "passages array<struct<level: int, hash: string, lines: array<string>>>")
+PASSAGES = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.string()), ("lines", pa.list_(pa.string()))]))
 
 
 def quote_level(line: str) -> tuple[int, str]:
@@ -46,8 +48,12 @@ def normalised(line: str) -> str:
     return " ".join(line.lower().split())
 
 
-def parse(text: str) -> tuple[str, list[tuple[int, bool, str]]]:
-    """The content without quotes; (level, is a whole run, normalised passage) of each run, and of each line of a longer run."""
+def hashed(passage: str) -> str:
+    return hashlib.sha256(passage.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def parse(text: str) -> tuple[str, list[tuple[int, list[str]]]]:
+    """The content without quotes; (level, normalised lines) of each passage."""
     own, runs = [], []
     last, gap = None, True
     for line in text.splitlines():
@@ -62,9 +68,23 @@ def parse(text: str) -> tuple[str, list[tuple[int, bool, str]]]:
             last, gap = level, False
         else:
             runs[-1][1].append(body)
-    found = [(level, True, " ".join(lines)) for level, lines in runs]
-    found += [(level, False, x) for level, lines in runs if len(lines) > 1 for x in lines]
-    return "\n".join(own).strip(), found
+    return "\n".join(own).strip(), runs
+
+
+def latest_with_lines(passages: DataFrame, own: DataFrame, originals: DataFrame) -> DataFrame:
+    """``passages`` (conv_id, turn, hash, lines) with the latest earlier turn whose own lines hold all of theirs in order.
+
+    Only messages that have the passage's rarest line are looked at.
+    """
+    written = originals.groupBy("conv_id", F.col("hash").alias("line")).agg(F.count("*").alias("n"))
+    rarest = passages.withColumn("line", F.explode(F.array_distinct("lines"))).join(written, ["conv_id", "line"], "left") \
+        .groupBy("conv_id", "turn", "hash", "lines").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "line")).alias("least")) \
+        .where("least.n > 0").select("conv_id", "turn", "hash", "lines", "least.line")
+    posts = originals.select("conv_id", F.col("hash").alias("line"), F.col("turn").alias("source"))
+    held = F.aggregate("own", F.lit(0), lambda i, x: F.when(F.get("lines", i) == x, i + 1).otherwise(i))
+    return rarest.join(posts, ["conv_id", "line"]).where("source < turn") \
+        .join(own.withColumnRenamed("turn", "source"), ["conv_id", "source"]).where(held == F.size("lines")) \
+        .groupBy("conv_id", "turn", "hash", "lines").agg(F.max("source").alias("source"))
 
 
 def link_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
@@ -73,24 +93,30 @@ def link_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches):
         for b in batches:
             parsed = [parse(t.as_py() or "") for t in b.column(4)]
-            passages = [[{"level": level, "run": whole, "hash": hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()}
-                         for level, whole, x in found] for _, found in parsed]
+            passages = [[{"level": level, "hash": hashed(" ".join(lines)), "lines": [hashed(x) for x in lines]}
+                         for level, lines in found] for _, found in parsed]
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([c for c, _ in parsed], pa.string()), pa.array(passages, PASSAGES)],
                                              ["row", "conv_id", "turn", "role", "content", "passages"])
 
     rows = messages.select(F.monotonically_increasing_id().alias("row"), F.col("conv_id").cast("long").alias("conv_id"),
                            F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col(text_col).alias("text"))
     kept = settle(rows.mapInArrow(run, PARSED))
-    parts = kept.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()) \
-        .select("row", "conv_id", "turn", F.explode("passages").alias("p")) \
-        .select("row", "conv_id", "turn", "p.level", "p.run", "p.hash")
-    quotes = parts.where("level > 0 AND run")
-    originals = parts.where("level = 0").select("conv_id", "hash", "turn").distinct()
+    keyed = kept.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    parts = keyed.select("row", "conv_id", "turn", F.explode("passages").alias("p")) \
+        .select("row", "conv_id", "turn", "p.level", "p.hash", "p.lines")
+    quotes = parts.where("level > 0")
+    originals = parts.where("level = 0").select("conv_id", F.explode(F.array_union(F.array("hash"), "lines")).alias("hash"), "turn").distinct()
     asked = quotes.select("conv_id", "hash", "turn").distinct()
     # the latest own turn before the quoting turn
-    found = asked.join(originals.withColumnRenamed("turn", "source"), ["conv_id", "hash"]).where("source < turn") \
-        .groupBy("conv_id", "hash", "turn").agg(F.max("source").alias("source"))
-    linked = quotes.join(found, ["conv_id", "hash", "turn"], "left")
+    whole = settle(asked.join(originals.withColumnRenamed("turn", "source"), ["conv_id", "hash"]).where("source < turn")
+                   .groupBy("conv_id", "hash", "turn").agg(F.max("source").alias("source")))
+    trimmed = quotes.where(F.size("lines") > 1).select("conv_id", "turn", "hash", "lines").distinct() \
+        .join(whole, ["conv_id", "hash", "turn"], "left_anti")
+    own = keyed.select("conv_id", "turn", F.flatten(F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: p["lines"])).alias("own")) \
+        .where(F.size("own") > 1)
+    partly = latest_with_lines(trimmed, own, originals).withColumnRenamed("source", "part_source")
+    linked = quotes.join(whole, ["conv_id", "hash", "turn"], "left").join(partly, ["conv_id", "turn", "hash", "lines"], "left") \
+        .withColumn("source", F.coalesce("source", "part_source"))
     counts = linked.groupBy("row").agg(F.count("*").alias("n_quotes"), F.count("source").alias("n_linked"))
     replies = settle(linked.where("source IS NOT NULL").groupBy("conv_id", "turn")
                      .agg(F.min(F.struct("level", "source"))["source"].alias("reply_to")))

@@ -199,6 +199,21 @@ def test_quotes_link_to_their_messages(spark):
     assert rows[1, 4].content == "Thanks!" and rows[1, 2].content == "Use sorted()." and rows[2, 0].content == ""
 
 
+def test_parts_of_messages_link_to_the_latest_holder(spark):
+    four = "One line.\nTwo  lines.\nThree lines.\nFour lines."
+    rows = [(1, 0, "user", four), (1, 1, "user", "three lines.\nx\ntwo lines."), (1, 2, "user", "> Two lines.\n> three lines.\nyes"),
+            (1, 3, "user", f"{four}\n\nAfter a gap."), (1, 4, "user", "> One line.\n> Four lines.\n> After a gap.\nno"),
+            (1, 5, "user", "> Two lines.\n> Never said.\nwhat"), (1, 6, "user", "> Four lines.\n> One line.\nback to front"),
+            (2, 0, "user", "> Two lines.\n> Three lines.\nother conversation"),
+            (1, 7, "user", "> Two lines.\n> Two lines.\ntwice"),
+            (3, 0, "user", "> b\n> c\nbefore it"), (3, 1, "user", "a\nb\nc")]
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.reply_to, r.thread) for r in quote_chat.link_quotes(talk(spark, rows)).collect()}
+    assert got[1, 2] == (1, 1, 0, 0)
+    assert got[1, 4] == (1, 1, 3, 3)
+    for missing in ((1, 5), (1, 6), (2, 0), (1, 7), (3, 0)):
+        assert got[missing] == (1, 0, None, missing[1])
+
+
 def test_conversations_are_in_reply_order(spark):
     chats = {r.conv_id: r.chat for r in quote_chat.conversations(quote_chat.format_chat(quote_chat.link_quotes(talk(spark)))).collect()}
     order = re.findall("sort a list|sorted|Thanks|heap|tree|ok", chats[1])
