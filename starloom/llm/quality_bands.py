@@ -4,7 +4,7 @@ Each document is judged by itself in one pass without a shuffle. Base rules:
 too few words, or too many words inside repeated 8-word windows. The method's
 verdict: the zstandard ratio (raw bytes / compressed bytes) of the whole text
 must lie inside a band that depends on its length, and so must the ratios of
-most of its fixed chunks. Repetitive text lies above the band, noise below it.
+the fixed chunks (the last may be shorter) that make up most of it. Repetitive text lies above the band, noise below it.
 
 Defined results: a null text counts as a text without words (all counts 0,
 base_failed, not kept); an empty text likewise. Other columns are ignored by
@@ -26,13 +26,21 @@ WINDOW = 8
 REPEAT_PCT = 30
 LEVEL = 3
 CHUNK = 4096
-# Whole text: (from this many UTF-8 bytes on, lowest ratio, highest ratio).
-# Prose of 0.1-1 KB compresses 1.1-2 times, of 1-16 KB 1.7-2.5 times; the
-# frame's fixed bytes weigh on short texts, so those get no lower limit.
-BANDS = ((0, 0.0, 3.0), (128, 0.9, 3.0), (512, 1.1, 3.5), (1024, 1.2, 4.0), (4096, 1.3, 5.0), (16384, 1.3, 6.0))
-# Full chunks of CHUNK bytes: band, and the share outside it that rejects.
-CHUNK_BAND = (1.2, 5.0)
+# From this many UTF-8 bytes on: lowest ratio, lowest ratio where most bytes
+# are not ASCII, highest ratio of a whole text. The lowest ones lie between
+# measured noise (base64 in lines and words of random letters, digits and signs:
+# at most 1.25 to 512 bytes, 1.32 to 1 KB, 1.36 to 2 KB, 1.40 beyond; random
+# ideographs: 1.34 to 2 KB, 1.39 beyond) and measured clean text (Latin script:
+# at least 1.16 at 256 bytes, 1.32 at 512, 1.49 at 1 KB, 1.67 at 2 KB, 1.84 at
+# 4 KB; Chinese: 1.08 at 512 bytes, 1.25 at 1 KB, 1.46 at 2 KB, 1.66 at 4 KB).
+# Where the two overlap, as in short texts, the limit keeps the clean text.
+BANDS = ((0, 0.0, 0.0, 3.0), (128, 0.9, 0.9, 3.0), (256, 1.1, 0.9, 3.0), (512, 1.27, 1.0, 3.5), (768, 1.36, 1.1, 3.5),
+         (1024, 1.42, 1.2, 4.0), (2048, 1.5, 1.38, 4.0), (4096, 1.5, 1.45, 5.0), (16384, 1.5, 1.45, 6.0))
+# Chunks of CHUNK bytes and the rest: lowest ratio as above, highest ratio, and
+# the share of the text's bytes in chunks outside that rejects.
+CHUNK_HIGH = 5.0
 CHUNK_SHARE = 0.25
+ASCII = bytes(range(128))
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 SCORE_SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -59,18 +67,22 @@ def repeated_words(words: list, width: int = WINDOW) -> int:
     return int((np.cumsum(edge[:n]) > 0).sum())
 
 
+def limits(raw: bytes) -> tuple[float, float]:
+    """Lowest and highest ratio of a text."""
+    _, low, low_wide, high = [b for b in BANDS if len(raw) >= b[0]][-1]
+    wide = not raw.isascii() and 2 * len(raw.translate(None, ASCII)) > len(raw)
+    return low_wide if wide else low, high
+
+
 def compression_verdict(raw: bytes, press) -> tuple[bool, float, int, int]:
-    """(inside the bands, whole ratio, full chunks, chunks outside their band)."""
+    """(inside the bands, whole ratio, chunks, chunks outside their band)."""
     if not raw:
         return False, 0.0, 0, 0
     ratio = len(raw) / len(press(raw))
-    _, low, high = [b for b in BANDS if len(raw) >= b[0]][-1]
-    full = len(raw) // CHUNK
-    bad = 0
-    for at in range(0, full * CHUNK, CHUNK):
-        r = CHUNK / len(press(raw[at:at + CHUNK]))
-        bad += not CHUNK_BAND[0] <= r <= CHUNK_BAND[1]
-    return low <= ratio <= high and bad <= CHUNK_SHARE * full, ratio, full, bad
+    low, high = limits(raw)
+    chunks = [raw[at:at + CHUNK] for at in range(0, len(raw), CHUNK)]
+    bad = [len(c) for c in chunks if not limits(c)[0] <= len(c) / len(press(c)) <= CHUNK_HIGH] if len(chunks) > 1 else []
+    return low <= ratio <= high and sum(bad) <= CHUNK_SHARE * len(raw), ratio, len(chunks), len(bad)
 
 
 def measure(text: str | None, press) -> tuple:
@@ -84,8 +96,8 @@ def measure(text: str | None, press) -> tuple:
     lines = [x for x in raw.split(b"\n") if x.strip()]
     repeats = repeated_words(words)
     failed = n < MIN_WORDS or 100 * repeats > REPEAT_PCT * n
-    inside, ratio, full, bad = compression_verdict(raw, press)
-    return (n, chars, symbols, len(lines) - len(set(lines)), repeats, failed, not failed and inside, ratio, full, bad)
+    inside, ratio, chunks, bad = compression_verdict(raw, press)
+    return (n, chars, symbols, len(lines) - len(set(lines)), repeats, failed, not failed and inside, ratio, chunks, bad)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 """Token counts, byte-level BPE, quality rules, licence scans and quotation linking against plain versions."""
 
+import base64
 import hashlib
 import random
 import re
@@ -120,6 +121,37 @@ def test_compression_bands_reject_repetition_and_noise():
     assert not quality_bands.compression_verdict(mixed, press)[0]
 
 
+@pytest.mark.parametrize("size", [600, 800, 1500, 2048, 3400, 8192, 40_000, 270_000])
+def test_compression_bands_reject_noise_that_is_text(size):
+    press = zstandard.ZstdCompressor(level=quality_bands.LEVEL).compress
+    rng = random.Random(size)
+    signs = "".join(map(chr, range(33, 127)))
+    coded = base64.encodebytes(rng.randbytes(size))[:size]
+    words = " ".join("".join(rng.choices(signs, k=rng.randint(2, 10))) for _ in range(size // 3))[:size].encode()
+    assert not quality_bands.compression_verdict(coded, press)[0]
+    assert not quality_bands.compression_verdict(words, press)[0]
+    if size >= 2048:
+        assert not quality_bands.compression_verdict("".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(size // 3 + 1)).encode(), press)[0]
+    # ideographs as often as in prose, and syllables
+    common = rng.sample(range(0x4E00, 0x9FA5), 1500)
+    prose_like = "".join(map(chr, rng.choices(common, [1 / (i + 5) for i in range(1500)], k=size // 3))).encode()
+    assert quality_bands.compression_verdict(prose_like, press)[0]
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    clean = " ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(size // 3))[:size].encode()
+    assert quality_bands.compression_verdict(clean, press)[0]
+
+
+def test_compression_bands_judge_the_last_chunk():
+    press = zstandard.ZstdCompressor(level=quality_bands.LEVEL).compress
+    rng = random.Random(2)
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    clean = " ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(2000))[:4096].encode()
+    coded = base64.encodebytes(rng.randbytes(4096))
+    assert quality_bands.compression_verdict(clean + coded[:3000], press)[1] > 1.5  # the whole text alone would pass
+    assert not quality_bands.compression_verdict(clean + coded[:3000], press)[0]
+    assert quality_bands.compression_verdict(clean + coded[:600], press)[0]
+
+
 def test_keep_good_keeps_columns(spark):
     docs = table(spark, [None, "", prose(7, 400), "spam " * 400])
     kept = quality_bands.keep_good(docs)
