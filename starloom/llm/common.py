@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.session import ensure_checkpoint_dir, scratch_path
@@ -27,6 +30,22 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def with_added_tokens(tok, kind: str, encode):
+    """``encode``, but with the added tokens of ``tok`` found in the text first, as a plain call of the tokenizer does."""
+    known = tok.get_added_tokens_decoder()
+    if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in known.values()):
+        raise ValueError("added tokens that depend on the text around them")
+    ids = {t.content: np.array([i], kind).tobytes() for i, t in known.items()}
+    cut = re.compile("(" + "|".join(re.escape(x) for x in sorted(ids, key=len, reverse=True)) + ")")
+
+    def whole(text: str) -> bytes:
+        if not any(x in text for x in ids):
+            return encode(text)
+        return b"".join(ids[x] if x in ids else encode(x) for x in cut.split(text) if x)
+
+    return whole
+
+
 class Memo:
     """Remembers what ``fill`` gave for a key, within a bound.
 

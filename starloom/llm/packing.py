@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm.common import settle
+from starloom.llm.common import settle, with_added_tokens
 
 CAP = 2048
 END_ID = 0
@@ -71,9 +71,9 @@ def word_encoder(tokenizer_json: str):
     """A function from text to id bytes, for a lower-casing tokenizer that drops white space."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tok = Tokenizer.from_str(tokenizer_json)
-    tok.encode_special_tokens = True  # their names in a text are ordinary text
+    tok.encode_special_tokens = True  # what lower-casing makes of a word is no added token
     ids_of = WordIds(tok).__getitem__
-    return lambda text: b"".join(map(ids_of, text.encode("utf-8", "surrogatepass").split()))
+    return with_added_tokens(tok, "<u4", lambda text: b"".join(map(ids_of, text.encode("utf-8", "surrogatepass").split())))
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, cap: int = CAP, end_id: int = END_ID,

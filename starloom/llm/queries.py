@@ -42,7 +42,8 @@ def op7_best_fit_packing(spark, sf_dir):
 
 def op8_token_store(spark, sf_dir):
     path = shared_path(spark, "token-store")
-    token_store.write_store(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    token_store.write_store(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
+                            added_tokens=True)
     return token_store.read_store(spark, path, with_ids=False)
 
 

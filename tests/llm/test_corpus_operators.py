@@ -13,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from starloom.llm import hnsw, minhash_join, packing, quality_bands, substring_cover, token_store
+from starloom.llm import hnsw, minhash_join, packing, quality_bands, queries, substring_cover, token_store
 from starloom.llm.common import shared_path
 from starloom.llm.components import components
 
@@ -199,6 +199,13 @@ def test_packing_covers_every_document_in_few_sequences(spark):
     assert packing.pack(table(spark, []), WORDS_JSON).count() == 0
 
 
+def test_packing_takes_added_tokens_as_the_library_does(spark):
+    texts = ["abc <|endoftext|> def", "a<|endoftext|>b", "A <|ENDOFTEXT|> b", "<|startoftext|><|endoftext|>", " <|startoftext|>\n y,", "<|endoftext|>",
+             "e<|endoftext|>\u0301 <|endoftext| > x.<|endoftext|>."]
+    docs = list(enumerate(texts))
+    check_packing(packing.pack(table(spark, docs), WORDS_JSON).collect(), docs)
+
+
 def test_packing_repeated_rows_and_null_ids(spark):
     rows = packing.pack(table(spark, [(None, "a b"), (1, "a b"), (1, "a b")]), WORDS_JSON).collect()
     assert sorted(r.offset for r in rows) == [0, 3, 6] and len({r.sequence_id for r in rows}) == 1
@@ -247,6 +254,16 @@ def test_token_store_round_trip(spark):
     assert {r.doc_id: r.start for r in some} == {9: got[9].start, 30: got[30].start}
 
 
+def test_token_store_query_takes_added_tokens_as_the_library_does(spark, tmp_path):
+    texts = ["abc <|endoftext|> def", "a<|endoftext|>b", "<|ENDOFTEXT|>", "<|endoftext|><|endoftext|>", " <|endoftext|>  z \n", "x <|endoftext| > \n<|endoftext|>.", "q"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tok, at = Tokenizer.from_file(BYTES_JSON), 0
+    for r in sorted(queries.op8_token_store(spark, str(tmp_path)).collect()):
+        ids = np.array(tok.encode(texts[r.doc_id], add_special_tokens=False).ids + [2], "<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
 def test_token_store_empty_repeated_and_null(spark):
     path = shared_path(spark, "store-test")
     token_store.write_store(table(spark, []), path, BYTES_JSON)
