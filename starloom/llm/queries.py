@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from starloom.llm import (bpe_chunks, hnsw, license_scan, minhash_join, packing, quality_bands, quote_chat,
-                          substring_cover, token_store, unigram_count)
+from starloom.llm import (bpe_chunks, collocations, hnsw, license_scan, minhash_join, packing, pii_spans, quality_bands,
+                          quote_chat, spelling_groups, substring_cover, token_store, unigram_count)
 from starloom.llm.common import read_table, shared_path
 
 
@@ -57,9 +57,22 @@ def op10_hnsw_neighbours(spark, sf_dir):
     return hnsw.search(index, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling_groups.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_pii_spans(spark, sf_dir):
+    return pii_spans.digests(pii_spans.find(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_byte_bpe, op3_quote_chat, op4_minhash_near_dedup, op5_substring_dedup,
-    op6_license_scan, op7_best_fit_packing, op8_token_store, op9_compression_quality, op10_hnsw_neighbours)}
+    op6_license_scan, op7_best_fit_packing, op8_token_store, op9_compression_quality, op10_hnsw_neighbours,
+    op11_spelling_variants, op12_collocations, op13_pii_spans)}
 
 WORDS = "string_split_regex(trim(coalesce(text, ''), E' \\t\\n\\x0B\\f\\r'), '[\\x20\\x09-\\x0D]+')"
 
@@ -125,4 +138,32 @@ SELECT d.doc_id, coalesce(b.n_notices, 0) AS n_notices, b.license, b.dice FROM (
 """
 
 
-ORACLE = {"op4_minhash_near_dedup": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op6_license_scan": _license_sql()}
+OP12_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), worded AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang
+), phrases AS (
+  SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: w[i:i])) AS p FROM worded
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) FROM worded
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) FROM worded
+), f AS (SELECT lang, p, CAST(count(*) AS BIGINT) AS f FROM phrases GROUP BY lang, p HAVING count(*) >= 10
+), cuts AS (SELECT lang, p, f AS a, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1
+), scores AS (
+  SELECT c.lang, c.p, c.a, c.k, l.f AS l, r.f AS r, CAST((1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN f l ON c.lang = l.lang AND c.p[1:c.k] = l.p JOIN f r ON c.lang = r.lang AND c.p[c.k + 1:] = r.p
+), lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, p, max(a) AS longer FROM (
+    SELECT lang, p[1:2] AS p, f AS a FROM f WHERE len(p) = 3 UNION ALL SELECT lang, p[2:3], f FROM f WHERE len(p) = 3) GROUP BY lang, p
+), ranked AS (
+  SELECT s.*, array_to_string(s.p, ' ') AS phrase, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, array_to_string(s.p, ' ')) AS rank
+  FROM lowest s LEFT JOIN longer g ON s.lang = g.lang AND s.p = g.p WHERE g.longer IS NULL OR 100 * g.longer < 50 * s.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE = {"op4_minhash_near_dedup": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op6_license_scan": _license_sql(),
+          "op12_collocations": OP12_SQL}
