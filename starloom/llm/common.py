@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,18 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def worker_held(key, make):
+    """What ``make`` gives, held by this Python worker for its later tasks under ``key``.
+
+    Functions of this package are pickled by value, so their module's globals
+    are new in every task; the interpreter's ``sys`` is not.
+    """
+    held = sys.__dict__.setdefault("_starloom_held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def with_added_tokens(tok, kind: str, encode):
     """``encode``, but with the added tokens of ``tok`` found in the text first, as a plain call of the tokenizer does."""
     known = tok.get_added_tokens_decoder()

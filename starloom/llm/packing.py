@@ -17,6 +17,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import zlib
 
@@ -27,14 +28,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm.common import settle, with_added_tokens
+from starloom.llm.common import settle, with_added_tokens, worker_held
 
 CAP = 2048
 END_ID = 0
 
 
 class WordIds(dict):
-    """The id bytes of words, each worked out once while it is held.
+    """The id bytes of words, each worked out once while a Python worker holds it.
 
     White space is dropped and ASCII letters are lower-cased by the tokenizer,
     and a pre-token of letters ends before a full stop or comma; so a word's ids
@@ -81,12 +82,13 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, cap: int = CAP, end_id: int
     """doc_id, piece, start, length, ids_crc32 (and the ids) of every piece of every document."""
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer_json = f.read()
+    held = ("words", hashlib.sha256(tokenizer_json.encode()).hexdigest())
     end = np.array([end_id], "<u4").tobytes()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
 
     def run(batches):
-        encode = word_encoder(tokenizer_json)
+        encode = worker_held(held, lambda: word_encoder(tokenizer_json))
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
