@@ -16,9 +16,8 @@ most SAMPLE_IDS ids; everything else covers all documents.
 
 Documents are stored in ascending doc_id order (null ids first, equal ids by a
 hash of the text). A null text is an empty text (only the end id). An empty
-table gives an empty store. With ``added_tokens``, as the registered query has
-it, an added token's literal in a text is that token, as in a plain call of the
-tokenizer; without, it is ordinary text.
+table gives an empty store. An added token's literal in a text is that token, as
+in a plain call of the tokenizer.
 """
 
 from __future__ import annotations
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm.common import with_added_tokens
+from starloom.llm.common import with_added_tokens, worker_held
 
 END_ID = 2
 LEVEL = 3
@@ -90,7 +89,7 @@ class PartIds(dict):
         return ids
 
 
-def text_encoder(tokenizer_json: str, width: int, added_tokens: bool = False):
+def text_encoder(tokenizer_json: str, width: int):
     """A function from text to id bytes, for a byte-level tokenizer.
 
     Its pre-tokens never reach over a space that follows a non-space character,
@@ -98,7 +97,7 @@ def text_encoder(tokenizer_json: str, width: int, added_tokens: bool = False):
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tok = Tokenizer.from_str(tokenizer_json)
-    tok.encode_special_tokens = True  # parts hold no added tokens, or their names are ordinary text
+    tok.encode_special_tokens = True  # parts hold no added tokens
     first = PartIds(tok, f"<u{width}")
     later = PartIds(tok, f"<u{width}", " ", first).__getitem__
 
@@ -106,10 +105,16 @@ def text_encoder(tokenizer_json: str, width: int, added_tokens: bool = False):
         parts = WORD_END.split(text) if SPACE_AFTER_SPACE.search(text) else text.split(" ")
         return first[parts[0]] + b"".join(map(later, parts[1:]))
 
-    return with_added_tokens(tok, f"<u{width}", encode) if added_tokens else encode
+    return with_added_tokens(tok, f"<u{width}", encode)
 
 
-def train_dictionary(docs: DataFrame, tokenizer_json: str, width: int, added_tokens: bool = False) -> bytes:
+def held_encoder(tokenizer_json: str, width: int):
+    """The encoder that this Python worker holds for its tasks."""
+    key = ("parts", hashlib.sha256(tokenizer_json.encode()).hexdigest(), width)
+    return worker_held(key, lambda: text_encoder(tokenizer_json, width))
+
+
+def train_dictionary(docs: DataFrame, tokenizer_json: str, width: int) -> bytes:
     """A dictionary from the bounded sample; without training material, the sample's bytes as they are."""
     key = F.xxhash64("doc_id")
     least = docs.select(key.alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
@@ -117,7 +122,7 @@ def train_dictionary(docs: DataFrame, tokenizer_json: str, width: int, added_tok
         return b""
 
     def run(batches):
-        encode = text_encoder(tokenizer_json, width, added_tokens)
+        encode = held_encoder(tokenizer_json, width)
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([encode(t.as_py())[:SAMPLE_IDS * width] for t in b.column(0)], pa.binary())], ["ids"])
 
@@ -134,20 +139,20 @@ def as_dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID,
-                id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> None:
+                id_col: str = "doc_id", text_col: str = "text") -> None:
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer_json = f.read()
     width = 2 if max(Tokenizer.from_str(tokenizer_json).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    raw = train_dictionary(docs, tokenizer_json, width, added_tokens)
+    raw = train_dictionary(docs, tokenizer_json, width)
     sha = hashlib.sha256(raw).hexdigest()
     spark.createDataFrame([(bytearray(raw), sha, width)], "dictionary binary, sha256 string, width int") \
         .write.parquet(f"{path}/dictionary")
     end = np.array([end_id], f"<u{width}").tobytes()
 
     def run(batches):
-        encode = text_encoder(tokenizer_json, width, added_tokens)
+        encode = held_encoder(tokenizer_json, width)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=as_dictionary(raw)).compress
         part, before = TaskContext.get().partitionId(), 0
         ids, counts, frames, size = [], [], [], 0

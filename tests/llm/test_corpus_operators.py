@@ -240,7 +240,6 @@ def test_token_store_round_trip(spark):
         " ".join(rng.choices(["the", "stone", "it's", "42", "été", "x\n"], k=rng.randint(1, 400))) for _ in range(60)]
     docs = [(i * 3, t) for i, t in enumerate(texts)]
     tok = Tokenizer.from_file(BYTES_JSON)
-    tok.encode_special_tokens = True
     path = shared_path(spark, "store-test")
     token_store.write_store(table(spark, docs[::-1]), path, BYTES_JSON)
     got = {r.doc_id: r for r in token_store.read_store(spark, path).collect()}
