@@ -40,8 +40,9 @@ WINDOW = 13
 PERIOD = 7
 COVER = (0, 1, 3)  # every residue modulo 7 is a difference of two of these
 ANCHOR = WINDOW - PERIOD + 1
-SLICE_CHARS = 8_000_000
-BUCKET_POSTS = 2_000_000
+SLICE_CHARS = 3_000_000
+SLICES_A_TASK = 4
+BUCKET_POSTS = 1_000_000
 FACTOR = 0x9E3779B97F4A7C15  # odd, for polynomial hashes modulo 2**64
 
 POSTS = "bucket int, slice int, hashes binary, firsts binary, several binary"
@@ -241,10 +242,11 @@ def with_removals(docs: DataFrame, finish, schema, id_col: str = "doc_id", text_
         return finish(table, (((t or "").encode("utf-8", "surrogatepass").split(), ~gone[a:a + n])
                               for t, a, n in zip(texts, own.starts, own.sizes)))
 
-    slices = sliced.groupBy("__slice")
-    shared = slices.applyInArrow(post_anchors, POSTS).groupBy("bucket").applyInArrow(shared_anchors, REPLIES)
+    # tasks follow the slices and buckets, not the session's shuffle partitions
+    slices = sliced.repartition(-(-n_slices // SLICES_A_TASK), "__slice").groupBy("__slice")
+    shared = slices.applyInArrow(post_anchors, POSTS).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(shared_anchors, REPLIES)
     firsts = slices.cogroup(shared.groupBy("slice")).applyInArrow(post_windows, POSTS) \
-        .groupBy("bucket").applyInArrow(first_documents, REPLIES)
+        .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(first_documents, REPLIES)
     return slices.cogroup(firsts.groupBy("slice")).applyInArrow(remove, schema)
 
 
