@@ -7,10 +7,13 @@
   month, day or hot customer is written by one task. The sort starts with the
   partition column: a partitioned write asks for that order and would replace
   any other.
-- Writes of touched partitions use dynamic partition overwrite after the
-  new rows have been checkpointed to the shared checkpoint folder (lineage
-  cut; a lost executor recomputes from the checkpoint, and the source
-  partitions are not read while they are overwritten).
+- Writes of touched partitions are redone after a crash: the new rows are
+  written beside the table first (``_redo``), then a plan of what they replace;
+  from then on the change is decided, and whoever writes next carries it out
+  again from the start. Before that it has not happened, and is dropped.
+- A filter over the hashes of the keys of every partition (``_keys``, bitmaps)
+  tells a merge which partitions may hold a key, so that it reads the key
+  column of those only.
 - Overwrite-style tables (dimensions, aggregates) are written to a fresh
   version directory; the newest complete version is the table.
 """
@@ -18,6 +21,8 @@
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +48,16 @@ LAYOUTS = {
     "date_channel": Layout("month", ("order_date", "channel")),
     "day_customer_channel": Layout("day", ("customer_id", "channel")),
     "customer": Layout(None, ("customer_id", "order_date")),
+    "curve": Layout(None, ("customer_id", "order_date", "channel")),
 }
+#: Layouts whose cluster columns are of equal rank: rows follow a space-filling curve over them.
+CURVES = {"curve"}
+CURVE_BITS = 5  # buckets of a column: at most 2 to this
+CURVE_SAMPLE = 20_000  # rows that bucket bounds come from
+
+
+class LoadRefused(RuntimeError):
+    """Checks failed on the rows that a load was about to publish."""
 
 
 class PartitionFilterRequired(ValueError):
@@ -68,6 +82,12 @@ def arrange(df: DataFrame, layout: str = "date_channel", files: int | None = Non
     and small copies; by default the session's shuffle settings decide."""
     grain, cluster = LAYOUTS[layout]
     out = with_partition_col(df, grain=grain) if grain else df
+    if layout in CURVES:
+        place = curve_place(out, cluster)
+        rng = ["_curve", TIEBREAK] if TIEBREAK in out.columns else ["_curve", *cluster]
+        out = out.withColumn("_curve", place)
+        out = out.repartitionByRange(files, *rng) if files else out.repartitionByRange(*rng)
+        return out.sortWithinPartitions("_curve", *cluster).drop("_curve")
     if not cluster:
         # unclustered: spread rows by a hash of the key, i.e. no order at all
         return out.repartition(files, "order_key") if files else out.repartition("order_key")
@@ -80,6 +100,33 @@ def arrange(df: DataFrame, layout: str = "date_channel", files: int | None = Non
     return out.sortWithinPartitions(*keys)
 
 
+def curve_place(df: DataFrame, cols, bits: int = CURVE_BITS, sample: int = CURVE_SAMPLE):
+    """A row's place on a Z-order curve over the ranks of its columns.
+
+    Each column's values are put in buckets of about equal size, by bounds from
+    a bounded sample (they only decide which rows lie together); the buckets'
+    bits take turns, so that a range of the curve is narrow in every column.
+    """
+    total = df.count()
+    some = df.select(*cols).sample(fraction=min(1.0, sample / max(total, 1)), seed=11).limit(2 * sample).collect()
+    ranks, sizes = [], []
+    for k, c in enumerate(cols):
+        values = sorted(r[k] for r in some if r[k] is not None)
+        # the least value opens no bucket; a value that fills several is one bucket
+        bounds = sorted({values[len(values) * i >> bits] for i in range(1, 1 << bits)} - {values[0]}) if values else []
+        at = F.lit(0)
+        for b in bounds:
+            at = at + (F.col(c) >= F.lit(b)).cast("int")
+        ranks.append(F.coalesce(at, F.lit(0)))
+        sizes.append(len(bounds).bit_length())
+    place, out = [], F.lit(0).cast("long")
+    for turn in range(max(sizes, default=0)):
+        place += [(k, n - 1 - turn) for k, n in enumerate(sizes) if turn < n]
+    for k, bit in place:
+        out = F.shiftleft(out, 1).bitwiseOR(F.shiftright(ranks[k], bit).bitwiseAND(F.lit(1)).cast("long"))
+    return out
+
+
 def write_layout(df: DataFrame, path: str, layout: str = "date_channel", files: int | None = None,
                  mode: str = "overwrite", max_records_per_file: int | None = None) -> str:
     w = arrange(df, layout, files).write.mode(mode)
@@ -87,6 +134,8 @@ def write_layout(df: DataFrame, path: str, layout: str = "date_channel", files:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_col(layout):
         w = w.partitionBy(partition_col(layout)).option("partitionOverwriteMode", "dynamic")
+        fs, _, jvm = _fs(df.sparkSession, path)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{KEYS}"), True)  # it would not know the new keys
     w.parquet(path)
     return path
 
@@ -128,46 +177,144 @@ def _in_partitions(col: str, values: list):
     return cond | F.col(col).isNull() if None in values else cond
 
 
+REDO, KEYS, REFUSED = "_redo", "_keys", "_refused"
+#: Places of a partition's key filter for each of its keys: one key in so many is found by chance.
+PLACES_A_KEY = 1024
+BITMAP_PLACES = 32768  # of one of Spark's bitmaps
+
+
 def rewrite_partitions(spark: SparkSession, new_rows: DataFrame, path: str,
-                       layout: str = "date_channel", read: list | None = None) -> None:
+                       layout: str = "date_channel", read: list | None = None, key: str = TIEBREAK, audit=None) -> None:
     """Replace the partitions present in ``new_rows``, and drop those of
     ``read`` (the partitions that the rows were taken from) that have no rows
     left.
 
-    The rows are checkpointed first (reliable checkpoint in the shared
-    folder), which cuts the lineage to the partitions being replaced.
+    The rows are written beside the table, then the plan is; a crash before
+    the plan leaves the table as it was, one after it is made good by ``recover``.
     """
     col = partition_col(layout)
-    staged = arrange(without_partition_col(new_rows), layout).checkpoint(eager=True)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
-    if read:
-        written = {r[0] for r in staged.select(col).distinct().collect()}  # days or months
-        fs, _, jvm = _fs(spark, path)
-        for value in set(read) - written:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{col}={NULL_PARTITION if value is None else value}"), True)
+    recover(spark, path)
+    arrange(without_partition_col(new_rows), layout).write.mode("overwrite").parquet(f"{path}/{REDO}/rows")
+    if audit is not None:
+        failed = audit(without_partition_col(spark.read.parquet(f"{path}/{REDO}/rows"))).checkpoint()
+        if not failed.isEmpty():
+            load = uuid.uuid4().hex
+            failed.withColumn("load", F.lit(load)).write.mode("append").parquet(f"{path}/{REFUSED}")
+            recover(spark, path)  # nothing was decided: the new rows go
+            raise LoadRefused(f"load {load}: checks failed on {path}")
+    plan = {"col": col, "key": key, "read": [None if v is None else str(v) for v in read or []]}
+    publish(spark, f"{path}/{REDO}/plan", json.dumps(plan))
+    recover(spark, path)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Carry out a change that was decided, drop one that was not; whether there was one to carry out."""
+    fs, _, jvm = _fs(spark, path)
+    def at(name):
+        return jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    if not fs.exists(at(REDO)):
+        return False
+    decided = fs.exists(at(f"{REDO}/plan"))
+    if decided:
+        plan = json.loads(spark.read.text(f"{path}/{REDO}/plan", wholetext=True).first()[0])
+        col, key = plan["col"], plan["key"]
+        staged = spark.read.parquet(f"{path}/{REDO}/rows")
+        replace_partitions(spark, staged, path, col, plan["read"])
+        if fs.exists(at(f"{KEYS}/_SUCCESS")) and key in staged.columns:
+            replace_partitions(spark, key_filter(staged, col, key), f"{path}/{KEYS}", col, plan["read"])
+    fs.delete(at(REDO), True)
+    return decided
+
+
+def replace_partitions(spark: SparkSession, rows: DataFrame, path: str, col: str, values: list) -> None:
+    """Put the rows' partitions in place of those there; those of ``values`` that the rows do not have go."""
+    _replace(rows, path, col)
+    written = {None if r[0] is None else str(r[0]) for r in rows.select(col).distinct().collect()}  # days or months
+    fs, _, jvm = _fs(spark, path)
+    for value in set(values) - written:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{col}={NULL_PARTITION if value is None else value}"), True)
+
+
+def _replace(rows: DataFrame, path: str, col: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
+
+
+def publish(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    fs, p, jvm = _fs(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(draft, p)
+
+
+# --- which partitions may hold a key ------------------------------------------
+
+def key_filter(rows: DataFrame, col: str, key: str = TIEBREAK) -> DataFrame:
+    """Per partition, bitmaps over the hashes of its keys: (bucket, bits, places, partition).
+
+    The number of places follows the partition's keys (a power of two), so that
+    a partition of any size names few keys by chance; empty bitmaps are not kept.
+    """
+    sizes = rows.groupBy(col).agg(F.count("*").alias("_n"))
+    exact = F.greatest(F.lit(BITMAP_PLACES), F.col("_n") * PLACES_A_KEY).cast("double")
+    sizes = sizes.select(F.col(col).alias("_part"), F.pow(F.lit(2.0), F.ceil(F.log2(exact))).cast("long").alias("places"))
+    placed = rows.select(col, key).join(sizes, F.col(col).eqNullSafe(F.col("_part"))).withColumn("_at", _place(key, F.col("places")))
+    return placed.groupBy(col, "places", F.bitmap_bucket_number("_at").alias("bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits")).select("bucket", "bits", "places", col)
+
+
+def _place(key: str, places):
+    return F.pmod(F.xxhash64(F.col(key)), places)
+
+
+def partitions_of_keys(spark: SparkSession, path: str, col: str, keys: DataFrame, key: str = TIEBREAK) -> list:
+    """The partitions that may hold one of the keys, by the filter (built from the table if there is none yet)."""
+    if not path_exists(spark, f"{path}/{KEYS}/_SUCCESS"):
+        _replace(key_filter(spark.read.parquet(path), col, key), f"{path}/{KEYS}", col)
+    known = spark.read.parquet(f"{path}/{KEYS}")
+    sizes = [r[0] for r in known.select("places").distinct().collect()]  # powers of two
+    if not sizes:
+        return []
+    asked = keys.withColumn("places", F.explode(F.array(*[F.lit(n) for n in sizes]))).withColumn("_at", _place(key, F.col("places"))) \
+        .select("places", F.bitmap_bucket_number("_at").alias("bucket"), F.bitmap_bit_position("_at").alias("_bit")).distinct()
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    held = F.expr("cast(_bit % 8 as int)")
+    hit = asked.join(known, ["places", "bucket"]).where(F.getbit(byte, held) == 1)
+    return [r[0] for r in hit.select(col).distinct().collect()]  # days or months
 
 
 def merge_into(spark: SparkSession, path: str, source: DataFrame, merge_fn, layout: str = "date_channel",
-               key: str = "order_key") -> None:
+               key: str = TIEBREAK, decided=None, audit=None) -> None:
     """Upsert ``source`` into the partitioned table at ``path``.
 
     The source is evaluated once (checkpointed). Read and rewritten are the
     partitions of the source's dates and those that hold any of its keys (a
-    correction may have moved a date), found by a semi join on the key column;
-    rows without a date are a partition like any other.
-    ``merge_fn(target_subset, source) -> merged rows``.
+    correction may have moved a date): the key filter names those that may, and
+    a semi join on their key column says which do. Rows without a date are a
+    partition like any other. A merge that was broken off is made good first, so
+    the same merge run again gives what it would have given at once.
+    ``merge_fn(target_subset, source) -> merged rows``. ``decided(partitions)`` is
+    told which partitions are about to change; ``audit(rows)`` gives the checks that
+    fail on the new rows, if any, and then nothing is changed (``LoadRefused``).
     """
     grain, _ = LAYOUTS[layout]
     col = PARTITION_COLS[grain]
+    recover(spark, path)
     batch = source.checkpoint(eager=True)
     target = spark.read.parquet(path)
-    held = target.select(key, col).join(batch.select(key).distinct(), key, "left_semi").select(col)
+    keys = batch.select(key).distinct()
+    named = partitions_of_keys(spark, path, col, keys, key)
+    held = target.filter(_in_partitions(col, named)).select(key, col).join(keys, key, "left_semi").select(col)
     # one value per day or month: bounded by the table's span of dates
     touched = [r[0] for r in with_partition_col(batch, grain=grain).select(col).unionByName(held).distinct().collect()]
     if not touched:
         return
+    if decided is not None:
+        decided(touched)
     merged = merge_fn(without_partition_col(target.filter(_in_partitions(col, touched))), batch)
-    rewrite_partitions(spark, merged, path, layout, read=touched)
+    rewrite_partitions(spark, merged, path, layout, read=touched, key=key, audit=audit)
 
 
 def disordered_partitions(spark: SparkSession, path: str, layout: str = "date_channel") -> list:

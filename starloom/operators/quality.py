@@ -113,16 +113,17 @@ def assert_scd2(dim: DataFrame, key: str = "customer_id", strict: bool = False)
 def orphans_all_fks(fact: DataFrame, dims: dict) -> DataFrame:
     """Per foreign key, fact rows whose key is NULL or absent from its dimension.
 
-    ``dims`` maps fk column -> (dimension DataFrame, its key column). One pass
-    over the fact: its distinct key combinations are counted (map-side), each
-    dimension's keys are joined to those, and one aggregate counts the lines
-    whose key found nothing.
+    ``dims`` maps fk column -> (dimension DataFrame, its key column). Every line
+    gives one (foreign key, value) pair for each of them; pairs are counted
+    map-side, so what is shuffled is bounded by the dimensions' keys (and the
+    missing ones), not by the lines. The pairs that no dimension has are added up.
     """
-    j = fact.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))
-    for fk, (dim, pk) in dims.items():
-        keys = dim.select(F.col(pk).alias(f"_pk_{fk}")).distinct()
-        j = j.join(keys, F.col(fk) == F.col(f"_pk_{fk}"), "left")
-    sums = j.agg(*[F.coalesce(F.sum(F.when(F.col(f"_pk_{fk}").isNull(), F.col("_n"))), F.lit(0)).alias(fk) for fk in dims])
+    pairs = F.array(*[F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("value")) for fk in dims])
+    counts = fact.select(F.explode(pairs).alias("p")).groupBy("p.fk", "p.value").agg(F.count(F.lit(1)).alias("_n"))
+    known = reduce(DataFrame.unionByName, [dim.select(F.lit(fk).alias("fk"), F.col(pk).cast("string").alias("value"))
+                                           for fk, (dim, pk) in dims.items()]).distinct()
+    missing = counts.join(known, ["fk", "value"], "left_anti")
+    sums = missing.agg(*[F.coalesce(F.sum(F.when(F.col("fk") == fk, F.col("_n"))), F.lit(0)).alias(fk) for fk in dims])
     stack = ", ".join(f"'{fk}', `{fk}`" for fk in dims)
     return sums.select(F.expr(f"stack({len(dims)}, {stack}) AS (foreign_key, orphans)"))
 

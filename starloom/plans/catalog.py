@@ -21,10 +21,12 @@ from pyspark.sql import types as T
 
 from starloom.functions.dates import fiscal_quarter, fiscal_year
 from starloom.functions.keys import surrogate_key
-from starloom.operators import calendar, layout, marts, ops, quality, scd2, upsert
+from starloom.operators import calendar, gate, layout, marts, ops, quality, scd2, upsert
+from starloom.operators.asof import asof_join
 from starloom.operators.pit import pit_join
 from starloom.operators.schemas import (DIM_CUSTOMER_DEFAULTS, DIM_CUSTOMER_SCHEMA, FACT_DEFAULTS, FACT_SCHEMA,
                                         append_conformed, conform, create_if_absent)
+from starloom.operators.stored_marts import StoredMarts
 from starloom.params import BENCH_YEAR, DEFAULT_AS_OF
 from starloom.plans.warehouse import Warehouse
 from starloom.session import scratch_path
@@ -273,6 +275,14 @@ def q_pit_join_customer(spark, sf_dir):
     return report(pit_join(o, w.dim_customer, take=("customer_key", "customer_segment")))
 
 
+@query("asof_join_customer")
+def q_asof_join_customer(spark, sf_dir):
+    """The same as pit_join_customer, by carrying the last version forward."""
+    w = wh(spark, sf_dir)
+    o = w.stg_orders.select("order_line_id", "customer_id", "order_date")
+    return report(asof_join(o, w.dim_customer, take=("customer_key", "customer_segment")))
+
+
 @query("fact_measures")
 def q_fact_measures(spark, sf_dir):
     return report(wh(spark, sf_dir).fact.select(
@@ -369,6 +379,62 @@ def q_merge_moved_dates(spark, sf_dir):
     return _merge_corrections(spark, sf_dir, "moved", F.add_months("order_date", 1))
 
 
+def _marts_after_moves(spark, sf_dir) -> StoredMarts:
+    """Stored marts of the fact, built and then kept up to date through a merge
+    that moves lines over a month end and one that changes the last days."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, "fact_marts")
+    layout.write_layout(w.fact, path, "date_channel")
+    kept = StoredMarts(spark, path, scratch_path(spark, "marts")).build()
+    batch = w.fact.filter(_some_orders(0)).withColumn("order_date", F.add_months("order_date", 1))
+    return kept.merge(batch, lambda t, s: upsert.upsert(t, s, update_cols="all", as_of=AS_OF))
+
+
+@query("agg_daily_revenue_incremental")
+def q_agg_daily_revenue_incremental(spark, sf_dir):
+    return report(_marts_after_moves(spark, sf_dir).daily())
+
+
+@query("agg_cohort_incremental")
+def q_agg_cohort_incremental(spark, sf_dir):
+    return report(_marts_after_moves(spark, sf_dir).cohort())
+
+
+@query("agg_channel_perf_incremental")
+def q_agg_channel_perf_incremental(spark, sf_dir):
+    return report(_marts_after_moves(spark, sf_dir).channels())
+
+
+@query("gated_load")
+def q_gated_load(spark, sf_dir):
+    """A merge whose new rows pass their checks is published."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, "fact_gated")
+    layout.write_layout(w.fact, path, "date_channel")
+    gate.gated_merge(spark, path, w.fact_for(_changed_batch(w)), lambda t, s: upsert.upsert(t, s, update_cols="all", as_of=AS_OF),
+                     gate.fact_audit(_fks(w)))
+    return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
+
+
+@query("gated_load_refused")
+def q_gated_load_refused(spark, sf_dir):
+    """A merge with faulty rows is refused: what the checks found, and how many
+    lines the stored fact has lost or changed by it (none)."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, "fact_refused")
+    layout.write_layout(w.fact, path, "date_channel")
+    faults = {"customer_key": F.when(_some_orders(0), F.lit("missing")).otherwise(F.col("customer_key")),
+              "net_revenue": F.when(_some_orders(4), (F.col("gross_revenue") + 1).cast("decimal(12,2)")).otherwise(F.col("net_revenue"))}
+    batch = w.fact.filter(_some_orders(0) | _some_orders(4)).withColumns(faults)
+    try:
+        gate.gated_merge(spark, path, batch, lambda t, s: upsert.upsert(t, s, update_cols="all", as_of=AS_OF), gate.fact_audit(_fks(w)))
+    except gate.LoadRefused:
+        pass  # the refusal is what this entry shows
+    now = spark.read.parquet(path).select(*w.fact.columns)
+    changed = w.fact.exceptAll(now).agg(F.lit("lines_changed").alias("check_name"), F.count("*").alias("failures"))
+    return gate.refusals(spark, path).select("check_name", "failures").unionByName(changed)
+
+
 @query("merge_undated_rows")
 def q_merge_undated_rows(spark, sf_dir):
     """A first correction takes the dates of some lines away, a second changes
@@ -428,6 +494,14 @@ def q_layout_roundtrip(spark, sf_dir):
     return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
 
 
+@query("layout_curve_roundtrip")
+def q_layout_curve_roundtrip(spark, sf_dir):
+    """The fact along a curve over customer, date and channel, read back."""
+    path = scratch_path(spark, "fact_curve")
+    layout.write_layout(wh(spark, sf_dir).fact, path, "curve")
+    return report(spark.read.parquet(path))
+
+
 @query("recluster_roundtrip")
 def q_recluster_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "fact_recluster")

@@ -395,6 +395,9 @@ def altered(changes: str, src: str = "fact") -> str:
 
 oracle("conform_defaults", with_base(fact_sql(altered(
     f"CASE WHEN {some_orders(6)} THEN FALSE ELSE return_flag END AS return_flag"))))
+MOVED = altered(
+    f"CASE WHEN {some_orders(0)} THEN CAST(order_date + INTERVAL 1 MONTH AS DATE) ELSE order_date END AS order_date")
+oracle("layout_curve_roundtrip", ORACLE["fact_orders"])
 oracle("merge_moved_dates", with_base(fact_sql(altered(
     f"CASE WHEN {some_orders(0)} THEN CAST(order_date + INTERVAL 1 MONTH AS DATE) ELSE order_date END AS order_date"))))
 _half = f"{some_orders(0)} AND CAST(order_id AS BIGINT) % 2 = 0"
@@ -688,6 +691,15 @@ FROM (SELECT channel, count(DISTINCT order_id) AS orders, count(*) AS order_line
              CAST(sum(net_revenue) AS DECIMAL(18,2)) AS revenue,
              CAST(sum(CAST(return_flag AS INTEGER)) AS BIGINT) AS returns
       FROM fact GROUP BY 1)"""))
+for _k in ("agg_daily_revenue", "agg_cohort", "agg_channel_perf"):
+    # the same marts over the fact with its moved lines
+    oracle(f"{_k}_incremental", ORACLE[_k].replace("FROM fact GROUP", f"FROM {MOVED} GROUP"))
+oracle("asof_join_customer", ORACLE["pit_join_customer"])
+oracle("gated_load", ORACLE["upsert_all_columns"])
+oracle("gated_load_refused", with_base("\nUNION ALL\n".join(
+    [f"SELECT '{c}' AS check_name, count(*) AS failures FROM fact WHERE {some_orders(n)} HAVING count(*) > 0"
+     for c, n in [("orphans_customer_key", 0), ("revenue_errors", 4)]]
+    + ["SELECT 'lines_changed' AS check_name, 0 AS failures"])))
 oracle("segment_quarter_growth", with_base("""
 SELECT CAST(quarter_start AS TIMESTAMP) AS quarter_start, customer_segment, CAST(revenue AS DOUBLE) AS revenue,
        CAST(lag(revenue) OVER (PARTITION BY customer_segment ORDER BY quarter_start) AS DOUBLE) AS prev_revenue,
