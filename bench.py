@@ -52,6 +52,11 @@ def main():
         layout.write_layout(w.fact, paths["none"], "none")
     _, q["load_warehouse"] = timed(load)
 
+    # --- one copy along a curve over customer, date and channel --------------
+    paths["curve"] = w.path("fact_curve")
+    _, q["build_curve_copy"] = timed(lambda: layout.write_layout(w.fact, paths["curve"], "curve", files=96))
+    fcv = spark.read.parquet(paths["curve"])
+
     dp, dg = w.dim_product, w.dim_geography
     fa = spark.read.parquet(paths["none"])
     fc = layout.read_fact(spark, paths["date_channel"], Y0, Y1)
@@ -65,6 +70,8 @@ def main():
         "monthly_revenue_A": lambda: marts.monthly_revenue(fa, Y0, Y1).collect(),
         "monthly_revenue_B": lambda: marts.monthly_revenue(fc, Y0, Y1).collect(),
         "monthly_revenue_C_web": lambda: marts.monthly_revenue(fc, Y0, Y1, channel="web").collect(),
+        "monthly_revenue_web_curve": lambda: marts.monthly_revenue(fcv, Y0, Y1, channel="web").collect(),
+        "customer_history_curve": lambda: marts.customer_history(fcv, busiest).collect(),
         "customer_history_A": lambda: marts.customer_history(fa, busiest).collect(),
         "customer_history_C": lambda: marts.customer_history(fcu, busiest).collect(),
         "top_products_A": lambda: marts.top_products(fa, dp, dg, Y0, Y1).collect(),
