@@ -20,6 +20,9 @@ per-key steps over a batch's candidate rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,31 +156,31 @@ def one_row_per_version(incoming: DataFrame, keys: list[str], tracked: list[str]
     return incoming.groupBy(*group).agg(best.alias("_r")).select(*group, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def scd2_merge(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", tracked=None,
-               attributes=None, valid_from_col: str = "updated_at", as_of=None,
-               surrogate: str = "customer_key", max_ts: str = SCD2_MAX_TS, order_by: str | None = None):
-    """Apply one incoming batch to a type-2 dimension.
+#: The start of a key's first new version, by which its current one is closed.
+FIRST = "_first_from"
 
-    Returns ``(new_dim, rejected)``.
 
-    - A key absent from the dimension opens its first version.
-    - A key whose tracked attributes differ from the current version closes
-      it at ``next_from - 1 s`` and opens a new one.
-    - Several changes of one key in one batch open several versions, each
-      closed by the next; consecutive equal rows collapse.
-    - Rows already applied (same key, start and attributes) and rows equal
-      to the version they would follow are ignored, so a rerun is a no-op.
-    - A changed row dated at or before the current version's start cannot
-      be applied without rewriting history; it is returned in ``rejected``.
-    - Different rows of one key and timestamp raise, or the latest by
-      ``order_by`` is taken.
-    """
+class Changes(NamedTuple):
+    """What a batch does to a dimension."""
+
+    opened: DataFrame  # versions that open, in the dimension's columns; all but a key's last are closed already
+    rejected: DataFrame
+    close: Callable[[DataFrame, DataFrame], DataFrame]  # (current rows, key and FIRST of the opened) -> the rows that end
+
+
+def scd2_changes(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", tracked=None,
+                 attributes=None, valid_from_col: str = "updated_at", as_of=None,
+                 surrogate: str = "customer_key", max_ts: str = SCD2_MAX_TS, order_by: str | None = None) -> Changes:
+    """The versions that a batch opens and ends, by the rules of ``scd2_merge``;
+    ``dim`` need only hold the versions of the batch's keys."""
     keys = _keys(natural_key)
     tracked = list(tracked or CUSTOMER_TRACKED)
     attributes = list(attributes or CUSTOMER_ATTRIBUTES)
     now = _ts(as_of) if as_of is not None else F.localtimestamp()
     h = change_hash(tracked)
     one_s = F.expr("INTERVAL 1 SECOND")
+    dim_cols = [surrogate, *keys, *attributes, "valid_from", "valid_to", "is_current",
+                "dw_created_at", "dw_updated_at"]
 
     incoming = one_row_per_version(incoming, keys, tracked, valid_from_col, order_by)
     inc = incoming.select(*keys, *attributes, F.col(valid_from_col).alias("valid_from")).withColumn("_h", h)
@@ -211,24 +214,43 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", t
         F.coalesce(nxt - one_s, _ts(max_ts)).alias("valid_to"),
         nxt.isNull().alias("is_current"),
         now.alias("dw_created_at"), now.alias("dw_updated_at"),
-        F.col("_cur_from"),
     )
-    first_open = opened.groupBy(*keys).agg(F.min("valid_from").alias("_first_from"))
 
-    dim_cols = [surrogate, *keys, *attributes, "valid_from", "valid_to", "is_current",
-                "dw_created_at", "dw_updated_at"]
-    d = dim.select(*dim_cols)
+    def close(cur_rows: DataFrame, firsts: DataFrame) -> DataFrame:
+        return cur_rows.join(firsts, keys, "inner").select(
+            *[c for c in dim_cols if c not in ("valid_to", "is_current", "dw_updated_at")],
+            (F.col(FIRST) - one_s).alias("valid_to"),
+            F.lit(False).alias("is_current"),
+            now.alias("dw_updated_at"),
+        ).select(*dim_cols)
+
+    return Changes(opened.select(*dim_cols), rejected, close)
+
+
+def scd2_merge(dim: DataFrame, incoming: DataFrame, natural_key="customer_id", **kw):
+    """Apply one incoming batch to a type-2 dimension.
+
+    Returns ``(new_dim, rejected)``.
+
+    - A key absent from the dimension opens its first version.
+    - A key whose tracked attributes differ from the current version closes
+      it at ``next_from - 1 s`` and opens a new one.
+    - Several changes of one key in one batch open several versions, each
+      closed by the next; consecutive equal rows collapse.
+    - Rows already applied (same key, start and attributes) and rows equal
+      to the version they would follow are ignored, so a rerun is a no-op.
+    - A changed row dated at or before the current version's start cannot
+      be applied without rewriting history; it is returned in ``rejected``.
+    - Different rows of one key and timestamp raise, or the latest by
+      ``order_by`` is taken.
+    """
+    keys = _keys(natural_key)
+    ch = scd2_changes(dim, incoming, natural_key, **kw)
+    firsts = ch.opened.groupBy(*keys).agg(F.min("valid_from").alias(FIRST))
+    d = dim.select(*ch.opened.columns)
     cur_rows = d.filter(F.col("is_current"))
-    closed = cur_rows.join(first_open, keys, "inner").select(
-        *[c for c in dim_cols if c not in ("valid_to", "is_current", "dw_updated_at")],
-        (F.col("_first_from") - one_s).alias("valid_to"),
-        F.lit(False).alias("is_current"),
-        now.alias("dw_updated_at"),
-    ).select(*dim_cols)
-    untouched = d.filter(~F.col("is_current")).unionByName(
-        cur_rows.join(first_open, keys, "left_anti"))
-    new_dim = untouched.unionByName(closed).unionByName(opened.select(*dim_cols))
-    return new_dim, rejected
+    untouched = d.filter(~F.col("is_current")).unionByName(cur_rows.join(firsts, keys, "left_anti"))
+    return untouched.unionByName(ch.close(cur_rows, firsts)).unionByName(ch.opened), ch.rejected
 
 
 def merge_batches(dim: DataFrame, batches, checkpoint: bool = True, **merge_kw):

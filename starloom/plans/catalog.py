@@ -26,6 +26,7 @@ from starloom.operators.asof import asof_join
 from starloom.operators.pit import pit_join
 from starloom.operators.schemas import (DIM_CUSTOMER_DEFAULTS, DIM_CUSTOMER_SCHEMA, FACT_DEFAULTS, FACT_SCHEMA,
                                         append_conformed, conform, create_if_absent)
+from starloom.operators.scd2_store import Scd2Store
 from starloom.operators.stored_marts import StoredMarts
 from starloom.params import BENCH_YEAR, DEFAULT_AS_OF
 from starloom.plans.warehouse import Warehouse
@@ -244,6 +245,16 @@ def q_scd2_rejected(spark, sf_dir):
     return report(rejected)
 
 
+@query("scd2_store_merge")
+def q_scd2_store_merge(spark, sf_dir):
+    """The snapshots merged one after the other into the stored dimension of
+    which a merge writes only the buckets it changes. Equals scd2_merge_step."""
+    store = Scd2Store(spark, scratch_path(spark, "dim_store"), as_of=AS_OF)
+    for snapshot in _snapshots(wh(spark, sf_dir)):
+        store.merge(snapshot)
+    return report(store.read())
+
+
 @query("create_dim_customer")
 def q_create_dim_customer(spark, sf_dir):
     """The typed dimension created when absent (twice: the second is a no-op),
@@ -893,3 +904,15 @@ def q_stream_scd2_merge(spark, sf_dir):
     _stream_arrivals(w.stg_customers, "updated_at", landing,
                      lambda: stream_scd2(spark, landing, w.stg_customers.schema, base, ckpt, rejects, as_of=AS_OF))
     return report(layout.read_versioned(spark, base))
+
+
+@query("stream_scd2_state")
+def q_stream_scd2_state(spark, sf_dir):
+    """The same arrivals, with each key's current version in the stream's state
+    and an append-only version log as its output."""
+    from starloom.streaming.keyed_scd2 import dimension, stream_scd2_state
+    w = wh(spark, sf_dir)
+    landing, log, ckpt = (scratch_path(spark, n) for n in ("landing_changes", "version_log", "version_log_ckpt"))
+    _stream_arrivals(w.stg_customers, "updated_at", landing,
+                     lambda: stream_scd2_state(spark, landing, w.stg_customers.schema, log, ckpt, as_of=AS_OF))
+    return report(dimension(spark.read.parquet(log)))

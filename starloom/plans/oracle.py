@@ -347,6 +347,7 @@ def merged_cte(name: str, upto: int, tracked=None, src: str | None = None) -> st
 M3 = [SNAPS, merged_cte("m3", 3)]
 MERGE_REPORT = dict(plain=MERGE_PLAIN, dbl=["lifetime_value"], dt=["acquisition_date"], txt=["valid_to"])
 oracle("scd2_merge_step", with_base(R("m3", **MERGE_REPORT), M3))
+oracle("scd2_store_merge", ORACLE["scd2_merge_step"])
 oracle("scd2_merge_generic", with_base(R("mg", **MERGE_REPORT),
                                        [merged_cte("mg", 0, ["customer_segment"], "stg_customers")]))
 
@@ -738,6 +739,7 @@ FROM fact f LEFT JOIN dim_customer d ON f.customer_key = d.customer_key GROUP BY
 
 oracle("stream_fact_upsert", ORACLE["fact_orders"])
 oracle("stream_scd2_merge", with_base(R("ms", **MERGE_REPORT), [merged_cte("ms", 0, src="stg_customers")]))
+oracle("stream_scd2_state", ORACLE["stream_scd2_merge"])
 
 oracle("stg_events", """
 SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_timestamp, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS event_date,

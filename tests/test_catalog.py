@@ -23,7 +23,8 @@ SUBSET = ["fact_orders", "dim_customer", "scd2_merge_step", "scd2_changed", "ben
           "job_log_report", "merge_moved_dates", "merge_undated_rows", "scd2_rejected", "conform_defaults",
           "layout_day_customer_channel", "retention_delete", "create_dim_customer", "dq_orphans_all_fks_damaged",
           "dq_constraints_damaged", "assert_scd2_damaged", "assert_scd2_strict_damaged", "dq_lines_without_order",
-          "fact_orders_incremental", "stream_fact_upsert", "stream_scd2_merge", "stg_events"]
+          "fact_orders_incremental", "stream_fact_upsert", "stream_scd2_merge", "stg_events",
+          "scd2_store_merge", "stream_scd2_state"]
 NAMES = sorted(oracle.ORACLE) if os.environ.get("STARLOOM_FULL_ORACLE") else SUBSET
 
 
