@@ -1,65 +1,45 @@
 """License scans (operator 6), by DataFrame functions only.
 
-A text's units are its lines, its paragraphs of several lines, and the text
-itself if it is not longer than the largest template allows. Units and templates are
-normalised alike (lower case, runs of anything but letters a-z and digits
-become one space) and compared by the Dice coefficient over their sets of word
-bigrams, 2 * common / (own + template's). A coefficient of at least ``t`` needs
-``t/(2-t) * template <= own <= (2-t)/t * template``, so only templates within
-those bounds are compared with a unit.
-
-Defined results: one row per distinct doc_id (null ids form one row); a null
-or empty text has no notices, license and dice null. Ties go to the template
-listed first.
+Texts and templates are normalised alike: lower case, runs of anything but
+letters a-z and digits become one space. Comment signs, line breaks and
+paragraphs thus do not matter. They are compared by the Dice coefficient over
+their sets of word bigrams, 2 * common / (own + template's). A text's units for a
+template are the windows that start at one of the template's bigrams and have as
+many bigrams as it, a quarter more, or the most that it allows; the text's end
+cuts them. So a notice is found inside a longer line, over several paragraphs and
+in a text of any length.
+
+A coefficient of at least ``t`` needs ``t/(2-t) * template <= own <= (2-t)/t *
+template``, and as common bigrams are own ones, at least the lower bound of common
+ones. Hence a template is tried only on a text that holds so many of its bigrams,
+and only where so many of them start within the longest window; both lose
+nothing. Of the windows nearest to each template, one that overlaps a likelier
+one of another template does not count (a notice is near those of related
+licences too). Everything but the last grouping is work inside a row.
+
+Defined results: one row per distinct doc_id (null ids form one row; rows of one
+id are judged singly and united); a null or empty text has no licence: n_licenses
+0, licenses empty, license and dice null. Ties go to the template listed first,
+then to the first window, then to the shortest.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.license_texts import TEMPLATES
+
 THRESHOLD_PCT = 80
 
-# Short notices and opening passages of public licences.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                   "compliance with the License. You may obtain a copy of the License at "
-                   "http://www.apache.org/licenses/LICENSE-2.0"),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "This project is licensed under the terms of the MIT license."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
-            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
-            "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
-            "conditions:"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met:"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                "General Public License as published by the Free Software Foundation, either version 3 of the License, "
-                "or (at your option) any later version."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
-                "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights "
-                "to this work."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-)
-
-
-def bigrams_of(text: str) -> list[str]:
-    """Distinct word bigrams of a template, normalised."""
+
+def bigram_list(text: str) -> list[str]:
+    """A template's word bigrams in order, normalised."""
     words = re.sub("[^a-z0-9]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text)).split()
-    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
+    return [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
 def size_bounds(n: int, pct: int = THRESHOLD_PCT) -> tuple[int, int]:
@@ -67,36 +47,69 @@ def size_bounds(n: int, pct: int = THRESHOLD_PCT) -> tuple[int, int]:
     return -(-pct * n // (200 - pct)), (200 - pct) * n // pct
 
 
-def unit_words(unit: Column) -> Column:
+def window_sizes(n: int, distinct: int, pct: int = THRESHOLD_PCT) -> list[int]:
+    """Bigrams of the windows tried for a template of n bigrams."""
+    return sorted({n, n * 5 // 4, max(n, size_bounds(distinct, pct)[1])})
+
+
+def template_table(templates=TEMPLATES, pct: int = THRESHOLD_PCT) -> list[dict]:
+    found = []
+    for rank, (name, text) in enumerate(templates):
+        every = bigram_list(text)
+        grams = list(dict.fromkeys(every))
+        low, high = size_bounds(len(grams), pct)
+        found.append({"rank": rank, "license": name, "grams": grams, "low": low, "high": high,
+                      "sizes": window_sizes(len(every), len(grams), pct)})
+    return found
+
+
+TABLE = "array<struct<rank:int,license:string,grams:array<string>,low:int,high:int,sizes:array<int>>>"
+
+
+def bigrams(text: Column) -> Column:
     # A-Z only: lower() may turn other letters into these
-    lower = F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ")
+    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ")
+    # the last word has no partner: its pair is null and goes
+    return F.slice(F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b)),
+                   1, F.greatest(F.size(words) - 1, F.lit(0)))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, pct: int = THRESHOLD_PCT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_notices (units like some template), license and dice of the likest template."""
-    known = [(name, bigrams_of(text)) for name, text in templates]
-    least = min(size_bounds(len(b), pct)[0] for _, b in known)
-    most = max(size_bounds(len(b), pct)[1] for _, b in known)
-    text = F.col("text")
-    lines = F.split(text, "\n")
-    paragraphs = F.filter(F.split(text, "\n[ \t\r]*\n"), lambda p: F.contains(p, F.lit("\n")))
-    # a text of more than this many characters may be long only by repeating itself, which its paragraphs show as well
-    whole = F.when(F.contains(text, F.lit("\n\n")) & (F.length(text) <= 40 * most), F.array(text)).otherwise(F.array().cast("array<string>"))
-    units = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col if text_col == "text" else F.col(text_col).alias("text")) \
-        .select("doc_id", F.explode_outer(F.concat(lines, paragraphs, whole)).alias("unit")) \
-        .withColumn("words", unit_words(F.col("unit")))
-    n = F.size("words")
-    pairs = F.array_distinct(F.zip_with(F.slice("words", 1, n - 1), F.slice("words", 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b)))
-    units = units.withColumn("bigrams", F.when(n > least, pairs)).withColumn("own", F.size("bigrams"))
-    likeness = []
-    for at, (name, grams) in enumerate(known):
-        low, high = size_bounds(len(grams), pct)
-        common = F.size(F.array_intersect("bigrams", F.array(*map(F.lit, grams))))
-        enough = F.when(200 * common >= pct * (F.col("own") + len(grams)),
-                        F.struct((2.0 * common / (F.col("own") + len(grams))).alias("dice"), F.lit(-at).alias("rank"), F.lit(name).alias("license")))
-        likeness.append(F.when(F.col("own").between(low, high), enough))
-    best = F.greatest(*likeness) if len(likeness) > 1 else likeness[0]
-    return units.select("doc_id", best.alias("best")).groupBy("doc_id") \
-        .agg(F.count("best").alias("n_notices"), F.max("best").alias("best")) \
-        .select("doc_id", "n_notices", F.col("best.license").alias("license"), F.col("best.dice").alias("dice"))
+    """doc_id, n_licenses, licenses (names found, sorted, comma-joined), license and dice of the likest template."""
+    known = template_table(templates, pct)
+    table = F.from_json(F.lit(json.dumps(known)), TABLE)
+    every = F.from_json(F.lit(json.dumps(sorted({g for t in known for g in t["grams"]}))), "array<string>")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), bigrams(F.coalesce(F.col(text_col), F.lit(""))).alias("pairs"))
+    held = texts.withColumn("held", F.array_intersect("pairs", every))
+    # of the text's bigrams only those of some template are looked through per template
+    tried = F.when(F.size("held") >= min(t["low"] for t in known),
+                   F.filter(table, lambda t: F.size(F.array_intersect("held", t["grams"])) >= t["low"]))
+    rows = held.select("doc_id", "row", F.when(F.size("held") > 0, F.col("pairs")).alias("pairs"), F.explode_outer(tried).alias("t"))
+    t, pairs = F.col("t"), F.col("pairs")
+    rows = rows.withColumn("starts", F.when(t.isNotNull(), F.filter(
+        F.sequence(F.lit(1), F.size(pairs)), lambda p: F.array_contains(t["grams"], F.get(pairs, p - 1)))))
+    starts = F.col("starts")
+    # the low-th hit from here on has to start inside the longest window (low is 1 at least)
+    dense = F.filter(starts, lambda p, i: F.get(starts, i + t["low"] - 1) - p < F.array_max(t["sizes"]))
+
+    def like(p: Column, n: Column) -> Column:
+        unit = F.slice(pairs, p, n)
+        own, common = F.size(F.array_distinct(unit)), F.size(F.array_intersect(unit, t["grams"]))
+        both = own + F.size(t["grams"])
+        near = own.between(t["low"], t["high"]) & (200 * common >= pct * both)
+        return F.when(near, F.struct((F.lit(2.0) * common / both).alias("dice"), (-p).alias("back"), (-n).alias("short")))
+
+    best = F.array_max(F.transform(dense, lambda p: F.array_max(F.transform(t["sizes"], lambda n: like(p, n)))))
+    found = rows.select("doc_id", "row", t["license"].alias("name"), t["rank"].alias("rank"), best.alias("b"))
+    hit = F.when(F.col("b").isNotNull(), F.struct(
+        F.col("b.dice").alias("dice"), (-F.col("rank")).alias("order"), "name", "row", (-F.col("b.back")).alias("start"),
+        (-F.col("b.back") - F.col("b.short")).alias("stop")))
+    # one hit per template and row at most; of overlapping windows the likest counts
+    clear = F.filter("hits", lambda h: ~F.exists("hits", lambda o: (o["row"] == h["row"]) & (o["start"] < h["stop"]) & (h["start"] < o["stop"])
+                                                 & (F.struct(o["dice"], o["order"]) > F.struct(h["dice"], h["order"]))))
+    likest = F.array_max("hits")
+    return found.groupBy("doc_id").agg(F.collect_list(hit).alias("hits")) \
+        .withColumn("names", F.array_sort(F.array_distinct(F.transform(clear, lambda h: h["name"])))) \
+        .select("doc_id", F.size("names").cast("long").alias("n_licenses"), F.array_join("names", ",").alias("licenses"),
+                likest["name"].alias("license"), likest["dice"].alias("dice"))

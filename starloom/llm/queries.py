@@ -117,23 +117,32 @@ FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id LEFT JOIN kept k ON w.doc_i
 
 
 def _license_sql(templates=license_scan.TEMPLATES, pct: int = license_scan.THRESHOLD_PCT) -> str:
+    """Every window of every text against every template, without any pruning."""
     quoted = ", ".join("({}, '{}', '{}')".format(i, n.replace("'", "''"), t.replace("'", "''")) for i, (n, t) in enumerate(templates))
-    norm = "list_filter(string_split(trim(regexp_replace(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '')"
-    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
-    most = max(license_scan.size_bounds(len(license_scan.bigrams_of(t)), pct)[1] for _, t in templates)
+    norm = "list_filter(string_split(trim(regexp_replace(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '')"
+    grams = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
     return f"""
-WITH templates AS (SELECT rank, license, {grams} AS t FROM (SELECT rank, license, {norm.format('body')} AS w FROM (VALUES {quoted}) v(rank, license, body))),
-texts AS (SELECT doc_id, text FROM documents),
-units AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS unit FROM texts
-  UNION ALL SELECT doc_id, unit FROM (SELECT doc_id, unnest(string_split_regex(text, '\\n[ \\t\\r]*\\n')) AS unit FROM texts) WHERE contains(unit, chr(10))
-  UNION ALL SELECT doc_id, text FROM texts WHERE contains(text, chr(10) || chr(10)) AND length(text) <= {40 * most}
-), grams AS (SELECT row_number() OVER () AS u, doc_id, {grams} AS b FROM (SELECT doc_id, {norm.format('unit')} AS w FROM units) WHERE len(w) > 1),
-hits AS (
-  SELECT g.u, g.doc_id, t.rank, t.license, 2.0::DOUBLE * len(list_intersect(g.b, t.t)) / (len(g.b) + len(t.t)) AS dice
-  FROM grams g, templates t WHERE 200 * len(list_intersect(g.b, t.t)) >= {pct} * (len(g.b) + len(t.t))
-), best AS (SELECT doc_id, count(DISTINCT u) AS n_notices, arg_max(license, (dice, -rank)) AS license, max(dice) AS dice FROM hits GROUP BY doc_id)
-SELECT d.doc_id, coalesce(b.n_notices, 0) AS n_notices, b.license, b.dice FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN best b ON d.doc_id IS NOT DISTINCT FROM b.doc_id
+WITH templates AS (
+  SELECT rank, license, list_distinct(g) AS t, list_distinct([len(g), len(g) * 5 // 4, greatest(len(g), {200 - pct} * len(list_distinct(g)) // {pct})]) AS sizes
+  FROM (SELECT rank, license, {grams} AS g FROM (SELECT rank, license, {norm.format('body')} AS w FROM (VALUES {quoted}) v(rank, license, body)))
+), texts AS (SELECT doc_id, u, {grams} AS g FROM (SELECT doc_id, row_number() OVER () AS u, {norm.format('text')} AS w FROM documents)
+), starts AS (
+  SELECT doc_id, u, g, rank, license, t, sizes, unnest(list_filter(range(1, len(g) + 1), lambda p: list_contains(t, g[p]))) AS p FROM texts, templates
+), units AS (SELECT doc_id, u, rank, license, t, p, n, list_distinct(g[p:p + n - 1]) AS b FROM (SELECT *, unnest(sizes) AS n FROM starts)
+), hits AS (
+  SELECT doc_id, u, rank, license, p, n, 2.0::DOUBLE * len(list_intersect(b, t)) / (len(b) + len(t)) AS dice
+  FROM units WHERE 200 * len(list_intersect(b, t)) >= {pct} * (len(b) + len(t))
+), near AS (
+  SELECT doc_id, u, rank, license, max(dice) AS dice, arg_max(p, (dice, -p, -n)) AS p, arg_max(p + n, (dice, -p, -n)) AS stop
+  FROM hits GROUP BY doc_id, u, rank, license
+), best AS (SELECT doc_id, arg_max(license, (dice, -rank)) AS license, max(dice) AS dice FROM near GROUP BY doc_id
+), clear AS (
+  SELECT doc_id, count(DISTINCT license) AS n_licenses, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM near h
+  WHERE NOT EXISTS (SELECT 1 FROM near o WHERE o.u = h.u AND o.p < h.stop AND h.p < o.stop AND (o.dice > h.dice OR (o.dice = h.dice AND o.rank < h.rank)))
+  GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(c.n_licenses, 0) AS n_licenses, coalesce(c.licenses, '') AS licenses, b.license, b.dice
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN best b ON d.doc_id IS NOT DISTINCT FROM b.doc_id LEFT JOIN clear c ON d.doc_id IS NOT DISTINCT FROM c.doc_id
 """
 
 

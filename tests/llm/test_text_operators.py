@@ -160,30 +160,67 @@ def test_keep_good_keeps_columns(spark):
 
 
 def plain_licenses(text):
-    t = text or ""
-    units = t.split("\n") + [p for p in re.split(r"\n[ \t\r]*\n", t) if "\n" in p] + [t] * ("\n\n" in t)
-    best, n = None, 0
-    for u in units:
-        own = set(license_scan.bigrams_of(u))
-        hits = [(2 * len(own & set(b)) / (len(own) + len(b)), -i, name) for i, (name, b) in
-                enumerate((name, license_scan.bigrams_of(x)) for name, x in license_scan.TEMPLATES)
-                if own and 200 * len(own & set(b)) >= 80 * (len(own) + len(b))]
-        n += bool(hits)
-        best = max(hits + [best] * bool(best), default=None)
-    return n, best and best[2], best and best[0]
+    """Every window of the text against every template, by sets."""
+    grams, near = license_scan.bigram_list(text or ""), []
+    for rank, (name, body) in enumerate(license_scan.TEMPLATES):
+        full = license_scan.bigram_list(body)
+        known, best = set(full), None
+        for n in {len(full), len(full) * 5 // 4, max(len(full), 120 * len(known) // 80)}:
+            for p in range(len(grams)):
+                own = set(grams[p:p + n])
+                common = len(own & known)
+                if grams[p] in known and 200 * common >= 80 * (len(own) + len(known)):
+                    best = max(best or (0,), (2 * common / (len(own) + len(known)), -p, -n))
+        if best:
+            near.append((best[0], -rank, name, -best[1], -best[1] - best[2]))
+    clear = {h[2] for h in near if not any(o[:2] > h[:2] and o[3] < h[4] and h[3] < o[4] for o in near)}
+    likest = max(near, default=(None, 0, None))
+    return len(clear), ",".join(sorted(clear)), likest[2], likest[0]
+
+
+GPL = next(t for n, t in license_scan.TEMPLATES if n == "GPL-3.0" and "redistribute" in t)
+MIT = max((t for n, t in license_scan.TEMPLATES if n == "MIT"), key=len)
+
+
+def wrapped(text, sign):
+    return "\n".join(sign + line for line in re.sub(r"(.{30,50}) ", r"\1\n", text).split("\n"))
+
+
+LICENSED = [
+    None, "", "x", prose(1, 60), "intro\nReleased under the MIT License.\nmore", "released UNDER the mit licence, license!",
+    wrapped(GPL, "# ") + "\nimport os\n", "/*\n" + wrapped(MIT, " * ") + "\n */\nint x;",
+    "See the docs first. This project is licensed under the terms of the MIT license. Have fun with it and more.",
+    "// SPDX-License-Identifier: MIT\ncode()", "// SPDX-License-Identifier: BSD-3-Clause\ncode()", "// SPDX-License-Identifier: Foo\ncode()",
+    MIT.replace("conditions: ", "conditions:\n\n"), "This work is licensed under the GNU General Public License, version 3.",
+    prose(3, 4000) + "\nReleased under the MIT License.\n" + prose(4, 4000) + " Licensed under CC BY-NC 4.0.",
+    "Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0.", "İstanbul licensed under cc by 4 0",
+    "the licence of the software is subject to the terms and conditions of the law " * 30]
 
 
 def test_license_scan_matches_a_plain_version(spark):
-    mit = license_scan.TEMPLATES[4][1]
-    wrapped = re.sub(r"(.{30,50}) ", r"\1\n", mit)
-    texts = [None, "", "x", prose(1, 60), "intro\nReleased under the MIT License.\nmore", "released UNDER the mit licence, license!",
-             f"a b c\n\n{wrapped}\n\nReleased under the MIT License.", "Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0.",
-             "Licensed under the Apache License, Version 2.0", mit, "İstanbul licensed under cc by 4 0"]
-    rows = {r.doc_id: (r.n_notices, r.license, r.dice) for r in license_scan.scan(table(spark, texts)).collect()}
-    for i, t in enumerate(texts):
-        n, name, dice = plain_licenses(t)
-        assert rows[i][:2] == (n, name), (i, t)
-        assert rows[i][2] == pytest.approx(dice) if dice is not None else rows[i][2] is None
+    rows = {r.doc_id: r for r in license_scan.scan(table(spark, LICENSED)).collect()}
+    for i, t in enumerate(LICENSED):
+        assert tuple(rows[i])[1:4] == plain_licenses(t)[:3], (i, t)
+        assert rows[i].dice == plain_licenses(t)[3]
+    names = [rows[i].licenses for i in range(len(LICENSED))]
+    assert names == ["", "", "", "", "MIT", "", "GPL-3.0", "MIT", "MIT", "MIT", "BSD-3-Clause", "", "MIT", "GPL-3.0",
+                     "CC-BY-NC-4.0,MIT", "CC-BY-NC-4.0", "CC-BY-4.0", ""]
+
+
+def test_license_scan_agrees_with_its_sql(spark):
+    import duckdb
+
+    from starloom.llm import queries
+    texts = table(spark, LICENSED, [*range(len(LICENSED) - 1), None])
+    con = duckdb.connect()
+    con.register("documents", texts.toArrow())
+    assert sorted(map(str, con.sql(queries.ORACLE["op6_license_scan"]).fetchall())) == sorted(str(tuple(r)) for r in license_scan.scan(texts).collect())
+
+
+def test_license_scan_takes_a_very_long_text(spark):
+    text = "of the software and the terms " * 15000 + MIT
+    (row,) = license_scan.scan(table(spark, [text])).collect()
+    assert (row.licenses, row.dice) == ("MIT", 1.0)
 
 
 def test_license_scan_plan_is_native(spark):
@@ -194,7 +231,7 @@ def test_license_scan_plan_is_native(spark):
 
 def test_license_rows_of_one_id_are_joined(spark):
     rows = license_scan.scan(table(spark, ["Released under the MIT License.", "Licensed under CC BY 4.0.", None], [7, 7, None])).collect()
-    assert sorted((str(r.doc_id), r.n_notices) for r in rows) == [("7", 2), ("None", 0)]
+    assert sorted((str(r.doc_id), r.n_licenses) for r in rows) == [("7", 2), ("None", 0)]
 
 
 TALK = [
