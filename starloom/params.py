@@ -61,6 +61,9 @@ UNKNOWN = "(unknown)"
 # Forecast uplift over the previous year's revenue.
 FORECAST_UPLIFT = "1.05"
 
+# Weights of level, trend and season in the smoothed forecast; exact in binary.
+SMOOTHING = (0.25, 0.125, 0.5)
+
 # Top-k size of the product report.
 TOP_K = 20
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.dates import fiscal_quarter, fiscal_year
 from starloom.functions.keys import surrogate_key
-from starloom.operators import calendar, gate, layout, marts, ops, quality, scd2, upsert
+from starloom.operators import calendar, forecast, gate, layout, marts, ops, quality, scd2, upsert
 from starloom.operators.asof import asof_join
 from starloom.operators.pit import pit_join
 from starloom.operators.schemas import (DIM_CUSTOMER_DEFAULTS, DIM_CUSTOMER_SCHEMA, FACT_DEFAULTS, FACT_SCHEMA,
@@ -105,6 +105,42 @@ def q_stg_events(spark, sf_dir):
     return report(staging.stg_events(spark, sf_dir))
 
 
+def damaged_orders(spark, sf_dir):
+    """Raw orders, one in so many once more: a day earlier, its texts padded."""
+    o = read_raw(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    again = o.where(F.col("o_orderkey") % DAMAGE_ORDERS == 0) \
+        .withColumn("o_orderdate", F.col("o_orderdate") - F.expr("interval 1 day")) \
+        .withColumn("o_orderstatus", F.concat(F.lit("  "), F.lower("o_orderstatus"))) \
+        .withColumn("o_orderpriority", F.lit("  "))
+    # and the last one twice as it is
+    return o.unionByName(again).unionByName(o.where(F.col("o_orderkey") % DAMAGE_ORDERS == 1))
+
+
+def damaged_customers(spark, sf_dir):
+    c = read_raw(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    again = c.where(F.col("c_custkey") % DAMAGE_CUSTOMERS == 0) \
+        .withColumn("c_name", F.concat(F.lit(" "), F.col("c_name"), F.lit("  "))) \
+        .withColumn("c_mktsegment", F.lower("c_mktsegment"))
+    return c.unionByName(again)
+
+
+@query("stg_orders_cleaned")
+def q_stg_orders_cleaned(spark, sf_dir):
+    return staging.clean_orders(damaged_orders(spark, sf_dir))
+
+
+@query("stg_customers_cleaned")
+def q_stg_customers_cleaned(spark, sf_dir):
+    return staging.clean_customers(damaged_customers(spark, sf_dir))
+
+
+@query("dq_customers_without_order")
+def q_dq_customers_without_order(spark, sf_dir):
+    # every customer of the damaged share has lost its orders
+    orders = read_raw(spark, sf_dir, "orders", ["o_custkey"]).where(F.col("o_custkey") % DAMAGE_CUSTOMERS != 0)
+    return staging.customers_without_order(staging.clean_customers(damaged_customers(spark, sf_dir)), orders)
+
+
 @query("dim_product")
 def q_dim_product(spark, sf_dir):
     return report(wh(spark, sf_dir).dim_product)
@@ -834,6 +870,21 @@ def q_region_vs_forecast(spark, sf_dir):
     return report(marts.region_vs_forecast(w.fact, w.dim_geography))
 
 
+def _forecast(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return forecast.seasonal_forecast(forecast.monthly_revenue(w.fact, w.dim_geography))
+
+
+@query("region_seasonal_forecast")
+def q_region_seasonal_forecast(spark, sf_dir):
+    return report(_forecast(spark, sf_dir))
+
+
+@query("region_vs_seasonal_forecast")
+def q_region_vs_seasonal_forecast(spark, sf_dir):
+    return report(forecast.region_forecast_gap(_forecast(spark, sf_dir)))
+
+
 @query("new_vs_returning")
 def q_new_vs_returning(spark, sf_dir):
     return report(marts.new_vs_returning(wh(spark, sf_dir).fact))

@@ -723,6 +723,45 @@ FROM (SELECT region, year, revenue,
                   AS DECIMAL(18,2)) AS forecast
       FROM (SELECT coalesce(g.region, '(unknown)') AS region, year(f.order_date) AS year, CAST(sum(f.net_revenue) AS DECIMAL(18,2)) AS revenue
             FROM fact f LEFT JOIN dim_geography g ON f.geo_key = g.geo_key GROUP BY 1, 2))"""))
+SMOOTHED = """
+months AS (
+  SELECT coalesce(g.region, '(unknown)') AS region, CAST(date_trunc('month', f.order_date) AS DATE) AS month, sum(f.net_revenue) AS revenue
+  FROM fact f LEFT JOIN dim_geography g ON f.geo_key = g.geo_key WHERE f.order_date IS NOT NULL GROUP BY 1, 2
+), spans AS (
+  SELECT region, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS month FROM months GROUP BY region
+), series AS (
+  SELECT s.region, CAST(s.month AS DATE) AS month, CAST(coalesce(m.revenue, 0) AS DECIMAL(28,2)) AS y,
+         row_number() OVER (PARTITION BY s.region ORDER BY s.month) AS t
+  FROM spans s LEFT JOIN months m ON s.region = m.region AND CAST(s.month AS DATE) = m.month
+), opening AS (
+  SELECT region, CAST(sum(y) AS DOUBLE) / 12 AS level, list(CAST(y AS DOUBLE) ORDER BY t) AS ys FROM series WHERE t <= 12
+  GROUP BY region HAVING count(*) = 12
+), state AS (
+  SELECT region, CAST(12 AS BIGINT) AS t, level, CAST(0 AS DOUBLE) AS trend, list_transform(ys, lambda v: v - level) AS season, CAST(NULL AS DOUBLE) AS forecast
+  FROM opening
+  UNION ALL
+  SELECT region, t, level, 0.125::DOUBLE * (level - old) + (1.0::DOUBLE - 0.125::DOUBLE) * trend,
+         list_concat(season[2:12], [0.5::DOUBLE * (y - level) + (1.0::DOUBLE - 0.5::DOUBLE) * season[1]]), old + trend + season[1]
+  FROM (SELECT s.region, n.t, CAST(n.y AS DOUBLE) AS y, s.level AS old, s.trend, s.season,
+               0.25::DOUBLE * (CAST(n.y AS DOUBLE) - s.season[1]) + (1.0::DOUBLE - 0.25::DOUBLE) * (s.level + s.trend) AS level
+        FROM state s JOIN series n ON s.region = n.region AND n.t = s.t + 1)
+), smoothed AS (
+  SELECT n.region, n.month, n.y AS revenue, s.forecast FROM series n LEFT JOIN state s ON n.region = s.region AND n.t = s.t
+  UNION ALL
+  SELECT s.region, CAST(n.month + to_months(CAST(k AS INTEGER)) AS DATE), NULL, s.level + k * s.trend + s.season[k]
+  FROM state s JOIN series n ON n.region = s.region AND n.t = s.t, generate_series(1, 12) AS g(k)
+  WHERE s.t = (SELECT max(t) FROM series x WHERE x.region = s.region)
+)"""
+oracle("region_seasonal_forecast", with_base("""
+SELECT region, CAST(month AS TIMESTAMP) AS month, CAST(revenue AS DOUBLE) AS revenue, forecast FROM smoothed""", [SMOOTHED])
+    .replace("WITH", "WITH RECURSIVE", 1))
+oracle("region_vs_seasonal_forecast", with_base("""
+SELECT region, year, months, CAST(revenue AS DOUBLE) AS revenue, CAST(forecast AS DOUBLE) AS forecast,
+       CASE WHEN revenue < forecast THEN 'under' ELSE 'on_or_above' END AS status
+FROM (SELECT region, year(month) AS year, count(*) AS months, CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue,
+             CAST(sum(CAST(round(forecast * 100) AS DECIMAL(28,0))) / 100.0 AS DECIMAL(28,2)) AS forecast
+      FROM smoothed WHERE revenue IS NOT NULL AND forecast IS NOT NULL GROUP BY 1, 2)""", [SMOOTHED])
+    .replace("WITH", "WITH RECURSIVE", 1))
 oracle("new_vs_returning", with_base("""
 SELECT is_first_order, count(*) AS order_lines, count(DISTINCT order_id) AS orders,
        CAST(CAST(sum(net_revenue) AS DECIMAL(18,2)) AS DOUBLE) AS revenue
@@ -747,6 +786,29 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_timestamp, CAST(CAST(t
        CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS event_value, nullif(trim(props), '') AS properties
 FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts DESC, user_id DESC, event_type DESC, value DESC, props DESC) = 1""")
 
+oracle("stg_orders_cleaned", """
+WITH raw AS (
+  SELECT o_orderkey, o_orderdate, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+  UNION ALL SELECT o_orderkey, o_orderdate - INTERVAL 1 DAY, o_custkey, '  ' || lower(o_orderstatus), o_totalprice, '  ' FROM orders WHERE o_orderkey % 97 = 0
+  UNION ALL SELECT o_orderkey, o_orderdate, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 97 = 1
+), tidy AS (
+  SELECT o_orderkey, o_orderdate, o_custkey, nullif(upper(trim(o_orderstatus)), '') AS o_orderstatus, o_totalprice,
+         nullif(upper(trim(o_orderpriority)), '') AS o_orderpriority FROM raw)
+SELECT * FROM tidy QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC NULLS LAST, o_custkey DESC NULLS LAST,
+  o_orderstatus DESC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderpriority DESC NULLS LAST) = 1""")
+CLEANED_CUSTOMERS = """
+raw AS (
+  SELECT c_custkey, c_name, c_mktsegment, c_nationkey, c_acctbal FROM customer
+  UNION ALL SELECT c_custkey, ' ' || c_name || '  ', lower(c_mktsegment), c_nationkey, c_acctbal FROM customer WHERE c_custkey % 13 = 0
+), cleaned AS (
+  SELECT c_custkey, nullif(trim(c_name), '') AS c_name, nullif(upper(trim(c_mktsegment)), '') AS c_mktsegment, c_nationkey, c_acctbal FROM raw
+  QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY trim(c_name) DESC NULLS LAST, upper(trim(c_mktsegment)) DESC NULLS LAST,
+    c_nationkey DESC NULLS LAST, c_acctbal DESC NULLS LAST) = 1)"""
+oracle("stg_customers_cleaned", f"WITH {CLEANED_CUSTOMERS} SELECT * FROM cleaned")
+oracle("dq_customers_without_order", f"""WITH {CLEANED_CUSTOMERS}
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS full_name FROM cleaned
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_custkey % 13 <> 0)""")
+
 JOB_LOG = """
 job_log AS (
   SELECT 'job_' || CAST(event_id AS VARCHAR) AS job_id, upper(event_type) AS statement_type,

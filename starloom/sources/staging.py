@@ -248,3 +248,35 @@ def job_log_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("creation_time"),
         F.col("props").alias("query"),
     )
+
+
+def clean_orders(raw: DataFrame) -> DataFrame:
+    """Raw orders cleansed: one row per order key (the latest date; ties by the
+    remaining columns, largest first), text trimmed, status and priority in upper
+    case, blanks as NULL. Rows without a key are one group and give one row. The
+    grouping combines map-side and keeps one struct per key, so an order repeated
+    without end is one row a task before the shuffle."""
+    tidy = raw.select(
+        "o_orderkey", "o_orderdate", "o_custkey", F.nullif(F.upper(F.trim("o_orderstatus")), F.lit("")).alias("o_orderstatus"),
+        "o_totalprice", F.nullif(F.upper(F.trim("o_orderpriority")), F.lit("")).alias("o_orderpriority"))
+    latest = tidy.groupBy("o_orderkey").agg(F.max(F.struct(
+        "o_orderdate", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")).alias("r"))
+    return latest.select("o_orderkey", "r.*")
+
+
+def clean_customers(raw: DataFrame) -> DataFrame:
+    """Raw customers cleansed: one row per customer key (largest of name, segment,
+    nation, balance after trimming), segment in upper case, blanks as NULL."""
+    tidy = raw.select(
+        "c_custkey", F.nullif(F.trim("c_name"), F.lit("")).alias("c_name"),
+        F.nullif(F.upper(F.trim("c_mktsegment")), F.lit("")).alias("c_mktsegment"), "c_nationkey", "c_acctbal")
+    one = tidy.groupBy("c_custkey").agg(F.max(F.struct("c_name", "c_mktsegment", "c_nationkey", "c_acctbal")).alias("r"))
+    return one.select("c_custkey", "r.*")
+
+
+def customers_without_order(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """Customers that the change feed, which starts at a first order, does not know."""
+    # an order-rich customer is one row a task on the build side
+    buyers = orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    return customers.join(buyers, "c_custkey", "left_anti") \
+        .select(F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_name").alias("full_name"))
