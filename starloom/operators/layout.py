@@ -137,6 +137,9 @@ def write_layout(df: DataFrame, path: str, layout: str = "date_channel", files:
         fs, _, jvm = _fs(df.sparkSession, path)
         fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{KEYS}"), True)  # it would not know the new keys
     w.parquet(path)
+    # a write that replaces partitions one by one leaves no mark that it ended; without rows there is no table yet
+    if partition_col(layout) and fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col(layout)}=*")):
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"), True).close()
     return path
 
 

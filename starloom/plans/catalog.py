@@ -28,10 +28,11 @@ from starloom.operators.schemas import (DIM_CUSTOMER_DEFAULTS, DIM_CUSTOMER_SCHE
                                         append_conformed, conform, create_if_absent)
 from starloom.operators.scd2_store import Scd2Store
 from starloom.operators.stored_marts import StoredMarts
-from starloom.params import BENCH_YEAR, DEFAULT_AS_OF
+from starloom.params import BENCH_YEAR, DEFAULT_AS_OF, LOOKBACK_DAYS
 from starloom.plans.warehouse import Warehouse
 from starloom.session import scratch_path
 from starloom.sources import staging
+from starloom.sources.line_store import LineStore
 from starloom.sources.tables import read_raw
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -406,6 +407,48 @@ def q_fact_orders_incremental(spark, sf_dir):
     return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
 
 
+def _order_days(spark, sf_dir, since=None, until=None) -> DataFrame:
+    o = read_raw(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    day = F.to_date("o_orderdate")
+    o = o if since is None else o.where(day >= F.lit(str(since)).cast("date"))
+    return o if until is None else o.where(day <= F.lit(str(until)).cast("date"))
+
+
+def _line_store(spark, sf_dir, until=None) -> LineStore:
+    """All lines; those of orders after ``until`` wait for their order."""
+    store = LineStore(spark, scratch_path(spark, "lines"))
+    store.add(read_raw(spark, sf_dir, "lineitem", staging.LINE_COLS), _order_days(spark, sf_dir, until=until))
+    return store
+
+
+@query("fact_orders_incremental_stored_lines")
+def q_fact_orders_incremental_stored_lines(spark, sf_dir):
+    """The same loads with lines from the store: a run settles the waiting
+    lines of its orders and reads the lines of its months."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, "fact_stored_lines")
+    store = _line_store(spark, sf_dir, INITIAL_LOAD_TO)
+    first = staging.stg_orders(spark, sf_dir, until=INITIAL_LOAD_TO, lines=store.between(until=INITIAL_LOAD_TO))
+    layout.write_layout(w.fact_for(first), path, "date_channel")
+
+    def merge(t, s):
+        return upsert.upsert(t, s, as_of=AS_OF)
+
+    for cut in (SECOND_LOAD_TO, None):
+        since = upsert.watermark(spark.read.parquet(path), partition=layout.PARTITION_COL)
+        store.settle(_order_days(spark, sf_dir, since, cut))
+        batch = staging.stg_orders(spark, sf_dir, since=since, until=cut, lines=store.between(since, cut))
+        layout.merge_into(spark, path, w.fact_for(batch), merge)
+    layout.merge_into(spark, path, w.fact_for(_changed_batch(w)), merge)
+    return report(spark.read.parquet(path).drop(layout.PARTITION_COL))
+
+
+@query("line_store_batch_report")
+def q_line_store_batch_report(spark, sf_dir):
+    since = _order_days(spark, sf_dir).agg(F.date_sub(F.to_date(F.max("o_orderdate")), LOOKBACK_DAYS)).first()[0]
+    return _line_store(spark, sf_dir).batch_report(since)
+
+
 def _some_orders(n: int, col: str = "order_id"):
     return F.col(col).cast("long") % DAMAGE_ORDERS == n
 

@@ -458,6 +458,13 @@ SELECT {', '.join(c for c in FACT_PLAIN if c != 'return_flag')},
        CAST(coalesce(m.gross_profit, f.gross_profit) AS DOUBLE) AS gross_profit
 FROM fact f LEFT JOIN (SELECT order_key AS mk, return_flag, net_revenue, gross_profit FROM fact_mod
                        WHERE order_line_id IN (SELECT order_line_id FROM chg)) m ON f.order_key = m.mk""", [CHG]))
+oracle("fact_orders_incremental_stored_lines", ORACLE["fact_orders_incremental"])
+oracle("line_store_batch_report", """
+WITH dated AS (SELECT CAST(o_orderdate AS DATE) AS day FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
+since AS (SELECT CAST(max(CAST(o_orderdate AS DATE)) - INTERVAL 3 DAY AS DATE) AS day FROM orders)
+SELECT count(*) AS lines, count(*) FILTER (WHERE d.day >= date_trunc('month', s.day)) AS lines_in_months,
+       count(*) FILTER (WHERE d.day >= s.day) AS lines_in_batch
+FROM dated d, since s""")
 
 oracle("fulfillment_update", with_base(f"""
 SELECT {', '.join(c for c in FACT_PLAIN if c != 'fulfillment_days')},

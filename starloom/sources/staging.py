@@ -25,6 +25,10 @@ from starloom.params import (
 from starloom.sources.tables import read_raw
 
 
+LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+             "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"]
+
+
 def customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> (city, state, country, region) by the staging mapping."""
     c = read_raw(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
@@ -57,13 +61,13 @@ def order_line_id() -> "F.Column":
     )
 
 
-def stg_orders(spark: SparkSession, sf_dir: str, with_ship_date: bool = False, since=None, until=None) -> DataFrame:
+def stg_orders(spark: SparkSession, sf_dir: str, with_ship_date: bool = False, since=None, until=None,
+               lines: DataFrame | None = None) -> DataFrame:
     """One row per order line in the shape the fact load reads, optionally of
-    order days from ``since`` to ``until`` (literals, pushed to the scan)."""
-    li = read_raw(spark, sf_dir, "lineitem", [
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate",
-    ])
+    order days from ``since`` to ``until`` (literals, pushed to the scan).
+    ``lines`` are the raw lines to take, by default all (``LineStore.between``
+    gives those of the days)."""
+    li = read_raw(spark, sf_dir, "lineitem", LINE_COLS) if lines is None else lines.select(*LINE_COLS)
     o = read_raw(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
     if since is not None:
         o = o.filter(F.col("o_orderdate") >= F.lit(str(since)).cast("timestamp_ntz"))

@@ -25,7 +25,8 @@ SUBSET = ["fact_orders", "dim_customer", "scd2_merge_step", "scd2_changed", "ben
           "dq_constraints_damaged", "assert_scd2_damaged", "assert_scd2_strict_damaged", "dq_lines_without_order",
           "fact_orders_incremental", "stream_fact_upsert", "stream_scd2_merge", "stg_events",
           "scd2_store_merge", "stream_scd2_state", "region_seasonal_forecast", "region_vs_seasonal_forecast",
-          "stg_orders_cleaned", "stg_customers_cleaned", "dq_customers_without_order"]
+          "stg_orders_cleaned", "stg_customers_cleaned", "dq_customers_without_order",
+          "line_store_batch_report"]
 NAMES = sorted(oracle.ORACLE) if os.environ.get("STARLOOM_FULL_ORACLE") else SUBSET
 
 
