@@ -1,7 +1,8 @@
 """A type-2 dimension as the log of a stateful stream.
 
 ``stream.stream_scd2`` writes the whole dimension once per micro-batch. Here the
-stream's state holds the start and hash of each key's current version, and the
+stream's state holds the start and hash of each key's current version, in hash buckets
+of keys (a call of Python per bucket and micro-batch, not per key), and the
 output is an append-only log of one row per version that opens, so the bytes of
 a micro-batch follow its changes. A row names the start of the version that it
 ends (``prev_from``), which is all that ``dimension`` needs to close versions: a
@@ -13,12 +14,15 @@ current one, or without a key or time) goes to the log as ``refused``; the state
 has no older versions to compare it with, so ``refused_rows`` does that from the
 log, and leaves out rows that agree with the version in force at their time.
 
-The rows of a key in one micro-batch are sorted in one task; ``max_files`` bounds
-the micro-batch.
+The rows of a bucket in one micro-batch are sorted in one task; ``max_files`` bounds
+the micro-batch. The number of buckets belongs to the stream's checkpoint, as does its
+state: a changed one needs a new checkpoint.
 """
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +34,7 @@ from starloom.operators.scd2 import MINUS_1S
 from starloom.params import CUSTOMER_ATTRIBUTES, CUSTOMER_TRACKED, SCD2_MAX_TS
 
 OPEN, REFUSED = "open", "refused"
+BUCKETS, BUCKET = 1 << 14, "_bucket"
 
 
 def _keys(natural_key) -> list[str]:
@@ -37,7 +42,7 @@ def _keys(natural_key) -> list[str]:
 
 
 def version_log(changes: DataFrame, natural_key="customer_id", tracked=None, attributes=None,
-                valid_from_col: str = "updated_at", as_of=None) -> DataFrame:
+                valid_from_col: str = "updated_at", as_of=None, buckets: int = BUCKETS) -> DataFrame:
     """The log of a stream of changes: event, keys, attributes, valid_from,
     prev_from, dw_created_at.
 
@@ -54,11 +59,12 @@ def version_log(changes: DataFrame, natural_key="customer_id", tracked=None, att
     texts = changes.select(
         *[F.col(c).cast("string").alias(c) for c in carried],
         F.col(valid_from_col).cast("timestamp_ntz").cast("string").alias("valid_from"),
-        change_hash(tracked).alias("_h"), F.xxhash64(*carried).alias("_tie"))
+        change_hash(tracked).alias("_h"), F.xxhash64(*carried).alias("_tie"),
+        F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).alias(BUCKET))
     out = ["event", *carried, "valid_from", "prev_from"]
-    log = texts.groupBy(*keys).applyInPandasWithState(
+    log = texts.groupBy(BUCKET).applyInPandasWithState(
         _step(len(keys), texts.columns, out), ", ".join(f"`{c}` string" for c in out),
-        "valid_from string, hash string", "append", GroupStateTimeout.NoTimeout)
+        "versions string", "append", GroupStateTimeout.NoTimeout)
     now = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
     return log.select("event", *[F.col(c).cast(types[c]).alias(c) for c in carried],
                       F.col("valid_from").cast("timestamp_ntz").alias("valid_from"),
@@ -73,20 +79,21 @@ def _step(n_keys: int, names: list[str], out: list[str]):
     def step(key, batches, state):
         rows = [r for part in batches for r in zip(*(part[c].tolist() for c in names))]
         rows.sort(key=lambda r: (r[at] or "", r[own], r[tie]))
-        start, value = state.get if state.exists else (None, None)
-        log = []
+        held = {tuple(k): (start, value) for k, start, value in json.loads(state.get[0])} if state.exists else {}
+        log, opened = [], False
         for r in rows:
-            t, h, carried = r[at], r[own], r[:at]
-            if t is None or any(k is None for k in r[:n_keys]):
+            k, t, h, carried = r[:n_keys], r[at], r[own], r[:at]
+            start, value = held.get(k, (None, None))
+            if t is None or any(part is None for part in k):
                 log.append((refuses, *carried, t, None))
             elif start is not None and t <= start:
                 if (t, h) != (start, value):
                     log.append((refuses, *carried, t, None))
             elif h != value:
                 log.append((opens, *carried, t, start))
-                start, value = t, h
-        if start is not None:
-            state.update((start, value))
+                held[k], opened = (t, h), True
+        if opened:
+            state.update((json.dumps([(k, *v) for k, v in held.items()]),))
         if log:
             yield pd.DataFrame(log, columns=out, dtype=object)
 

@@ -144,3 +144,17 @@ def test_a_merge_broken_off_and_run_again_is_as_if_run_once(spark, scratch, monk
             store.merge(make(spark, second))
     store.merge(make(spark, second))
     assert rows(store.read()) == expected
+
+
+def test_state_is_kept_and_worked_on_by_bucket(spark, scratch):
+    """Python is called, and a state row kept, once per bucket and not per key."""
+    batches = [[change(f"k{k}", day, g, 2) for k in range(60)] + [change(None, day, g, 2)] for day, g in ((1, "x"), (5, "y"), (3, "z"))]
+    expected, rejected = plain(spark, [b[:-1] for b in batches])
+    for b in batches:
+        make(spark, b).write.mode("append").parquet(f"{scratch}/landing")
+        stream_scd2_state(spark, f"{scratch}/landing", make(spark, []).schema, f"{scratch}/log", f"{scratch}/ckpt", buckets=4, **KW)
+    log = spark.read.parquet(f"{scratch}/log")
+    assert rows(dimension(log, **SHAPE)) == expected
+    assert log.filter("event = 'refused' and id is null").count() == 3
+    assert rows(refused_rows(log.filter("id is not null"), tracked=KW["tracked"], **SHAPE)) == rejected
+    assert spark.read.format("statestore").load(f"{scratch}/ckpt").count() <= 4
