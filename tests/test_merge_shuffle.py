@@ -4,8 +4,9 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from starloom.operators import joins, layout, upsert
+from starloom.operators import joins, layout, marts, quality, upsert
 
 KIND = "order_key string, order_date date, channel string, return_flag boolean, net_revenue int, gross_profit int, dw_loaded_at timestamp_ntz"
 T0 = dt.datetime(2024, 1, 1)
@@ -84,3 +85,79 @@ def test_packed_text_comes_back(spark):
     assert [r["u"] for r in got] == texts
     assert len({bytes(r["p"]) for r in got if r["p"] is not None}) == len(texts) - 1
     assert len(got[0]["p"]) == 16
+
+
+def lines(spark, n=40):
+    """A fact's keys and measures, some keys unknown or none."""
+    ids = spark.range(n)
+    def key(name, every, of):
+        return F.when(F.col("id") % 13 == every, None).when(F.col("id") % 17 == every, "missing").otherwise(F.md5(F.concat(F.lit(name), (F.col("id") % of).cast("string"))))
+    return ids.select(F.md5(F.col("id").cast("string")).alias("order_key"), key("p", 1, 7).alias("product_key"), key("g", 2, 3).alias("geo_key"),
+                      (20200100 + F.col("id") % 5).cast("int").alias("date_key"), F.expr("date_add(date'2019-12-20', int(id))").alias("order_date"),
+                      (F.col("id") % 4).cast("int").alias("quantity"), F.expr("cast(id as decimal(12,2)) / 1").cast("decimal(12,2)").alias("net_revenue"))
+
+
+def dims(spark):
+    p = spark.range(7).select(F.md5(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("product_key"),
+                              (F.col("id") % 2).cast("string").alias("category"), (F.col("id") % 3).cast("string").alias("product_name"))
+    g = spark.range(3).select(F.md5(F.concat(F.lit("g"), F.col("id").cast("string"))).alias("geo_key"), (F.col("id") % 2).cast("string").alias("region"))
+    return p, g
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(df):
+    return [line for line in plan_of(df).splitlines() if "hashpartitioning(" in line]
+
+
+def test_product_lines_are_shuffled_by_packed_key_and_by_result(spark, monkeypatch):
+    f, (p, g) = lines(spark), dims(spark)
+    expected = f.join(p, "product_key").join(g, "geo_key").groupBy(F.year("order_date").alias("year"), "region", "category", "product_name") \
+        .agg(F.sum("net_revenue").cast("double").alias("n"), F.sum("quantity").alias("u"))
+    got = marts.agg_product_performance(f, p, g)
+    assert sorted(map(str, got.select(*got.columns[:4], F.col("net_revenue").cast("double").alias("n"), F.col("units_sold").alias("u")).collect())) \
+        == sorted(map(str, expected.collect())) != []
+    monkeypatch.setattr(marts, "checked_broadcast", lambda df, *a: F.broadcast(df) if "region" in df.columns else df.hint("merge"))
+    of_lines = [s for s in shuffles(marts.agg_product_performance(f, p, g)) if "year" in s]
+    assert len(of_lines) == 1 and "geo_key" not in of_lines[0]
+
+
+def test_orphans_by_broadcast_and_by_counts(spark, monkeypatch):
+    f, (p, g) = lines(spark), dims(spark)
+    fks = {"product_key": (p, "product_key"), "geo_key": (g, "geo_key"), "date_key": (spark.range(20200101, 20200110), "id")}
+    def found(df):
+        return {r["foreign_key"]: r["orphans"] for r in df.collect()}
+    small = quality.orphans_all_fks(f, fks)
+    assert not shuffles(small)  # lines are not moved for dimensions that can be broadcast
+    unknown = {fk: f.join(d.select(F.col(pk).cast("string").alias("_k")), F.col(fk).cast("string") == F.col("_k"), "left_anti").count()
+               for fk, (d, pk) in fks.items()}
+    assert found(small) == unknown and unknown["product_key"] > 3 and unknown["date_key"] == 8
+    monkeypatch.setattr(quality, "BROADCAST_MAX_BYTES", -1)
+    assert found(quality.orphans_all_fks(f, fks)) == unknown
+
+
+def test_primary_key_check_shuffles_packed_keys(spark):
+    f = lines(spark)
+    df = quality.constraint_violations(f.unionByName(f.limit(3)), "t", ["order_key"], "order_key")
+    assert {r["check_name"]: r["violations"] for r in df.collect()} == {"not_null": 0, "primary_key": 3}
+    assert not any("(order_key" in s for s in shuffles(df))
+
+
+def test_layouts_shuffle_packed_keys(spark):
+    f = lines(spark).select("*", F.lit("web").alias("channel"), F.lit("7").alias("customer_id"))
+    for name in ("customer", "date_channel", "day_customer_channel"):
+        df = layout.arrange(f, name)
+        plan = plan_of(df)
+        below = plan[plan.index("Exchange rangepartitioning"):]
+        assert "unhex(order_key" in below and "unhex(product_key" in below
+        assert sorted(map(str, layout.without_partition_col(df).select(*f.columns).collect())) == sorted(map(str, f.collect()))
+
+
+def test_deliveries_are_deduplicated_without_a_sort(spark):
+    feed = spark.createDataFrame([("a", DAY), ("a", DAY + dt.timedelta(days=2)), ("b", None), (None, DAY)], "order_line_id string, delivered_date date")
+    one = upsert.dedupe_source(feed, "order_line_id", order_by="delivered_date")
+    assert sorted(map(str, one.collect())) == sorted(map(str, [*spark.createDataFrame(
+        [("a", DAY + dt.timedelta(days=2)), ("b", None), (None, DAY)], "order_line_id string, delivered_date date").collect()]))
+    assert "SortAggregate" not in plan_of(one)
