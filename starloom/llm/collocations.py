@@ -8,7 +8,7 @@ the start, the number of windows passing, is the count of that phrase.
    builds an acyclic weighted automaton from the sorted windows, arc by arc: a
    window opens new arcs from the place where it leaves the one before
    (``Automaton``, flat arrays of arc labels, arc weights and ends). It hands on
-   the part of every prefix range of the order of windows as a row.
+   the part of every prefix range of the order of windows as a row, compressed.
 2. A task unites all automata of a prefix range by summing weights and names the
    phrases that are frequent enough. Range edges may cut a path in two, so paths
    at an edge are handed on whatever their weight and summed once more.
@@ -32,6 +32,7 @@ from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +49,7 @@ HELD = 2_000_000
 RANGE_WINDOWS = 2_000_000
 ASKED = 200_000
 BITS = 21  # a window's words as ranks in one 64-bit number
+PRESS_LEVEL = 1
 
 PIECE_END = re.compile("[.,;:!?\\n-\\r]+")
 
@@ -69,6 +71,20 @@ def words_and_ends(text: str) -> list[str]:
     return PIECE_END.sub(" \n ", low).replace("\t", " ").split(" ")
 
 
+def pressed(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 on as bytes, few for small ones: compressed, all lowest bytes first, then all second ones and so on."""
+    planes = numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T
+    used = max((k + 1 for k in range(8) if planes[k].any()), default=1)
+    return bytes([used]) + zstandard.ZstdCompressor(PRESS_LEVEL).compress(planes[:used].tobytes())
+
+
+def unpressed(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    numbers = np.zeros((planes.shape[1], 8), np.uint8)
+    numbers[:, :raw[0]] = planes.T
+    return numbers.view("<i8").ravel()
+
+
 def windows_of(ids: np.ndarray, starts: int | None = None) -> list[np.ndarray]:
     """Of every word (of the first ``starts``), itself and the words after it in its piece (0 where there is none)."""
     first = np.append(ids, 0)
@@ -138,22 +154,24 @@ class Automaton:
         return Automaton([self.vocabulary[i - 1] for i in used.tolist() if i], new, self.weights[a:z])
 
     def to_row(self) -> tuple:
-        """Words, arc labels by depth with the number of arcs that follow each, and the windows' weights, as bytes."""
+        """Words, arc labels by depth with the number of arcs that follow each, and the windows' weights, pressed."""
         parts = []
         for depth in range(1, ORDER + 1):
             at, label = self.arcs(depth)
             up = np.searchsorted(at, self.arcs(depth - 1)[0]) if depth > 1 else np.zeros(1, np.int64)
-            parts += [label.astype("<u4").tobytes(), np.diff(np.append(up, len(at))).astype("<u4").tobytes()]
-        return ("\n".join(self.vocabulary), *parts, self.weights.astype("<i8").tobytes())
+            parts += [pressed(label), pressed(np.diff(np.append(up, len(at))))]
+        words = "\n".join(self.vocabulary).encode("utf-8", "surrogatepass")
+        return (zstandard.ZstdCompressor(PRESS_LEVEL).compress(words), *parts, pressed(self.weights))
 
     @classmethod
     def from_row(cls, row: tuple) -> Automaton:
         words, *parts, weights = row
         keys = np.zeros(1, np.int64)
         for k in range(ORDER):
-            label, fan = np.frombuffer(parts[2 * k], "<u4").astype(np.int64), np.frombuffer(parts[2 * k + 1], "<u4")
+            label, fan = unpressed(parts[2 * k]), unpressed(parts[2 * k + 1])
             keys = (np.repeat(keys, fan) << BITS) | label
-        return cls(words.split("\n"), keys, np.frombuffer(weights, "<i8"))
+        vocabulary = zstandard.ZstdDecompressor().decompress(words).decode("utf-8", "surrogatepass")
+        return cls(vocabulary.split("\n"), keys, unpressed(weights))
 
     def arcs(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """The windows that open an arc of this depth, and the arcs' labels."""
@@ -209,7 +227,7 @@ def compose(weighted: list[tuple[tuple, int]], asked: list[tuple]) -> list[int |
     return out
 
 
-BLOB = ", ".join(["at int", "lang string", "windows long", "words string"]
+BLOB = ", ".join(["at int", "lang string", "windows long", "words binary"]
                  + [f"{x}{k} binary" for k in range(1, ORDER + 1) for x in ("label", "fan")] + ["weights binary"])
 
 
@@ -243,7 +261,7 @@ def range_edges(docs: DataFrame, ranges: int) -> list[tuple]:
 def shard_automata(docs: DataFrame, edges: list[tuple]) -> DataFrame:
     """Automata of bounded shards, a row for each prefix range they reach."""
     names = [x.split()[0] for x in BLOB.split(", ")]
-    kinds = [pa.int32(), pa.string(), pa.int64(), pa.string()] + [pa.binary()] * (2 * ORDER + 1)
+    kinds = [pa.int32(), pa.string(), pa.int64()] + [pa.binary()] * (2 * ORDER + 2)
 
     def rows_of(lang, ids, columns):
         built = Automaton.from_windows(columns, [w for w in ids if w not in ("", "\n")])

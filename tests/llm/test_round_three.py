@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from starloom.llm import collocations as co
@@ -234,3 +235,15 @@ def test_nulls_and_clashing_columns(spark):
     got = pii.digests(pii.find(rows)).collect()
     assert sorted((r["doc_id"] or 0, r["spans"]) for r in got) == [(0, "email:0:5"), (0, "email:0:5"), (2, "")]
     assert pii.find(rows.limit(0)).count() == 0
+
+
+def test_automata_rows_are_compressed():
+    for numbers in ([], [0], [5, 0, 255, 256], [1 << 40, 3], [(1 << 62) + 7, 0]):
+        assert co.unpressed(co.pressed(np.array(numbers, np.int64))).tolist() == numbers
+    rng = np.random.default_rng(3)
+    numbers = np.minimum(rng.zipf(1.4, 60_000), 9_000)
+    one = co.Automaton.from_windows(co.windows_of(numbers), [f"mot{n}é" for n in range(9_000)])
+    row = one.to_row()
+    back = co.Automaton.from_row(row)
+    assert back.vocabulary == one.vocabulary and (back.keys == one.keys).all() and (back.weights == one.weights).all()
+    assert sum(map(len, row)) < 6 * len(one.keys)
