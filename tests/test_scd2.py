@@ -217,3 +217,28 @@ def test_m19_overlap(spark):
 def test_m20_empty_range(spark):
     d = _dim(spark, [("c1", TS(2023, 1, 1), TS(2023, 1, 1), True)])
     assert [r.issue for r in quality.assert_scd2(d).collect()] == ["invalid_date_range"]
+
+
+def test_merge_works_its_batch_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = feed(spark, [(f"c{i % 40}", f"S{i // 40}", TS(2023, 1, 1 + i // 40)) for i in range(200)])
+    batch = rows.mapInArrow(counted, rows.schema)
+    dim, rejected = scd2.scd2_merge(scd2.empty_like_dim(rows), batch, as_of=TS(2024, 1, 1))
+    assert (dim.count(), dim.filter("is_current").count(), rejected.count()) == (200, 40, 0)
+    assert seen.value == 200
+
+
+def test_snapshots_read_the_stored_feed(spark):
+    from starloom.plans import catalog
+    from starloom.plans.warehouse import Warehouse
+
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    snapshots = catalog._snapshots(w)
+    assert all("customer_feed" in f for s in snapshots for f in s.inputFiles())
+    assert sorted(map(tuple, w.customer_feed.collect()), key=repr) == sorted(map(tuple, w.stg_customers.collect()), key=repr)
