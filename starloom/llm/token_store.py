@@ -53,41 +53,59 @@ BLOCK_SCHEMA = ("part int, ids_before long, first_doc long, last_doc long, doc_i
                 "offsets array<long>, frames binary, dictionary_sha256 string")
 
 
+#: Letters of Latin scripts and the ASCII marks after them: two pre-tokens, whatever follows.
+WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)")
+#: The byte-level alphabet's characters of bytes that do not stand for themselves.
+BYTE_CHARS = {b: chr(256 + n) for n, b in enumerate([*range(33), *range(127, 161), 173])}
+
+
 class PartIds(dict):
     """The id bytes of parts of a text, each worked out once while it is held.
 
     A part follows ``lead`` (a space, or nothing). Its pre-tokens end before and
     after a single line break between other characters, and a pre-token of
-    letters ends before a full stop or comma, so such parts are put together
-    from theirs (``bare`` holds those without a lead). ASCII letters are a single
-    pre-token and go straight to the model; all else goes through the whole
-    tokenizer. When LIMIT parts are held, they are dropped; long ones are not held.
+    letters ends before the marks that end the part, so such parts are put
+    together from theirs (``bare`` holds those without a lead). Latin letters are
+    a single pre-token and go straight to the model, in the byte-level alphabet;
+    all else goes through the whole tokenizer. When LIMIT parts are held, those
+    held before them are dropped; long ones are not held.
     """
 
-    LIMIT, LONG = 500_000, 64
+    LIMIT, LONG = 150_000, 64
 
-    def __init__(self, tok: Tokenizer, kind: str, lead: str = "", bare: PartIds | None = None):
+    def __init__(self, tok: Tokenizer, width: int, lead: str = "", bare: PartIds | None = None):
         super().__init__()
-        self.tok, self.model, self.kind, self.lead = tok, tok.model, kind, lead
+        self.tok, self.model, self.width, self.lead = tok, tok.model, width, lead
         self.bare = self if bare is None else bare
-        self.mark = lead.replace(" ", "\u0120")  # a space, as the byte-level alphabet writes it
+        self.mark = lead.replace(" ", BYTE_CHARS[32])
+        self.packed = [i.to_bytes(width, "little") for i in range(tok.get_vocab_size())] if bare is None else bare.packed
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        line, broken, rest = part.partition("\n")
-        if broken and line and rest and not line[-1].isspace() and not rest[0].isspace():
-            ids = self[line] + self.bare["\n"] + self.bare[rest]
-        elif part[-1:] in (".", ",") and part[:-1].isascii() and part[:-1].isalpha():
-            ids = self[part[:-1]] + self.bare[part[-1]]
-        elif part.isascii() and part.isalpha():
-            ids = np.array([t.id for t in self.model.tokenize(self.mark + part)], self.kind).tobytes()
-        else:
-            ids = np.array(self.tok.encode(self.lead + part, add_special_tokens=False).ids, self.kind).tobytes()
+        ids = self.before.get(part)
+        if ids is None:
+            ids = self.worked_out(part)
         if len(part) <= self.LONG:
             if len(self) >= self.LIMIT:
+                self.before = dict(self)
                 self.clear()
             self[part] = ids
         return ids
 
+    def worked_out(self, part: str) -> bytes:
+        word = WORD.fullmatch(part)
+        if word:
+            letters, marks = word.groups()
+            if marks:
+                return self[letters] + self.bare[marks]
+            if not part.isascii():
+                part = part.encode().decode("latin-1").translate(BYTE_CHARS)
+            return b"".join([self.packed[t.id] for t in self.model.tokenize(self.mark + part)])
+        line, broken, rest = part.partition("\n")
+        if broken and line and rest and not line[-1].isspace() and not rest[0].isspace():
+            return self[line] + self.bare["\n"] + self.bare[rest]
+        return np.array(self.tok.encode(self.lead + part, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
+
 
 def text_encoder(tokenizer_json: str, width: int):
     """A function from text to id bytes, for a byte-level tokenizer.
@@ -98,8 +116,8 @@ def text_encoder(tokenizer_json: str, width: int):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tok = Tokenizer.from_str(tokenizer_json)
     tok.encode_special_tokens = True  # parts hold no added tokens
-    first = PartIds(tok, f"<u{width}")
-    later = PartIds(tok, f"<u{width}", " ", first).__getitem__
+    first = PartIds(tok, width)
+    later = PartIds(tok, width, " ", first).__getitem__
 
     def encode(text: str) -> bytes:
         parts = WORD_END.split(text) if SPACE_AFTER_SPACE.search(text) else text.split(" ")

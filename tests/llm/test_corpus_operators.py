@@ -367,3 +367,25 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
             final.append((i, texts[i].text))
     assert set(texts) == {i for i, _ in final} and len(final) > 20
     check_packing(corpus_pipeline.run(spark, str(tmp_path)).collect(), final)
+
+
+def test_token_parts_of_letters_and_marks_go_straight_to_the_model():
+    tok, asked = Tokenizer.from_file(BYTES_JSON), []
+
+    class Counted:
+        model, get_vocab_size = tok.model, tok.get_vocab_size
+
+        def encode(self, text, **kw):
+            asked.append(text)
+            return tok.encode(text, **kw)
+
+    first = token_store.PartIds(Counted(), 2)
+    later = token_store.PartIds(Counted(), 2, " ", first)
+    first.LIMIT = later.LIMIT = 5  # parts are dropped and worked out again
+    parts = ["été", "Straße,", "stone%%%", "it's", "o'", "naïve!!", "x\nÉlan.", "ÿɏ", "ɐ", "42", "''", "a_b", "été", "", "stone"]
+    for held, lead in ((first, ""), (later, " ")):
+        for part in parts * 2:
+            assert held[part] == np.array(tok.encode(lead + part, add_special_tokens=False).ids, "<u2").tobytes(), part
+            assert len(held) <= 5
+    # letters never, marks by themselves, all other parts whole
+    assert {x.strip() for x in asked} == {",", "%%%", "it's", "'", "!!", "", ".", "ɐ", "42", "''", "a_b"}
