@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -79,18 +80,36 @@ def pressed(numbers: np.ndarray) -> bytes:
 
 
 def unpressed(raw: bytes) -> np.ndarray:
+    raw = memoryview(raw)
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
     numbers = np.zeros((planes.shape[1], 8), np.uint8)
     numbers[:, :raw[0]] = planes.T
     return numbers.view("<i8").ravel()
 
 
+def firsts(numbers: np.ndarray) -> np.ndarray:
+    """Where in sorted numbers another one begins."""
+    new = np.ones(len(numbers), bool)
+    np.not_equal(numbers[1:], numbers[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def renumbered(keys: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """The windows with other numbers for their words."""
+    out = np.zeros(len(keys), np.int64)
+    for k in range(ORDER):
+        out <<= BITS
+        out |= to[(keys >> BITS * (ORDER - 1 - k)) & ((1 << BITS) - 1)]
+    return out
+
+
 def windows_of(ids: np.ndarray, starts: int | None = None) -> list[np.ndarray]:
     """Of every word (of the first ``starts``), itself and the words after it in its piece (0 where there is none)."""
-    first = np.append(ids, 0)
+    none = np.zeros(1, ids.dtype)
+    first = np.append(ids, none)
     out = [first]
     for _ in range(ORDER - 1):
-        after = np.append(out[-1][1:], 0)
+        after = np.append(out[-1][1:], none)
         # once a window has ended it stays so
         out.append(np.where(out[-1] == 0, 0, after))
     keep = first != 0
@@ -113,17 +132,19 @@ class Automaton:
 
     @classmethod
     def from_windows(cls, columns: list[np.ndarray], words: list[str]) -> Automaton:
-        """Of a shard's windows as word numbers (0 after the end); ``words[n - 1]`` is the word of number n."""
+        """Of a shard's windows as word numbers (0 after the end); ``words[n - 1]`` is the word of number n. Takes the columns out of the list."""
         if len(words) >= 1 << BITS:
             raise OverflowError("more words in a shard than its keys can number")
         order = sorted(range(len(words)), key=words.__getitem__)
         rank = np.zeros(len(words) + 1, np.int64)
         rank[np.array(order, np.int64) + 1] = np.arange(1, len(words) + 1)
-        key = np.zeros(0, np.int64)
-        for k, part in enumerate(columns):
-            key = rank[part] if k == 0 else (key << BITS) | rank[part]
-        keys, weights = np.unique(key, return_counts=True)
-        return cls([words[i] for i in order], keys, weights.astype(np.int64))
+        key = rank[columns.pop(0)]
+        while columns:
+            key <<= BITS
+            key |= rank[columns.pop(0)]
+        key.sort()
+        at = firsts(key)
+        return cls([words[i] for i in order], key[at], np.diff(at, append=len(key)))
 
     def between(self, low: tuple | None, high: tuple | None) -> Automaton | None:
         """The part whose windows lie in [low, high), with its own vocabulary."""
@@ -176,30 +197,35 @@ class Automaton:
     def arcs(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """The windows that open an arc of this depth, and the arcs' labels."""
         prefix = self.keys >> BITS * (ORDER - depth)
-        new = np.ones(len(prefix), bool)
-        new[1:] = prefix[1:] != prefix[:-1]
-        at = np.flatnonzero(new)
+        at = firsts(prefix)
         return at, prefix[at] & ((1 << BITS) - 1)
 
     @classmethod
-    def union(cls, many: list[Automaton]) -> Automaton:
-        """One automaton with the sums of the weights."""
-        vocabulary = sorted(set().union(*(x.vocabulary for x in many)))
-        if len(vocabulary) >= 1 << BITS:
-            raise OverflowError("more words in a prefix range than its keys can number")
-        number = {w: i + 1 for i, w in enumerate(vocabulary)}
-        keys = []
+    def union(cls, many: Iterable[Automaton]) -> Automaton:
+        """One automaton with the sums of the weights. Takes one after another and keeps none, only their keys and weights."""
+        number: dict[str, int] = {}  # as the words come, until all are known
+        keys, weights = [], []
         for x in many:
-            to = np.array([0, *map(number.__getitem__, x.vocabulary)], np.int64)
-            key = np.zeros(len(x.keys), np.int64)
-            for k in range(ORDER):
-                key = (key << BITS) | to[(x.keys >> BITS * (ORDER - 1 - k)) & ((1 << BITS) - 1)]
-            keys.append(key)
-        every, weights = np.concatenate(keys), np.concatenate([x.weights for x in many])
+            to = np.array([0, *[number.setdefault(w, len(number) + 1) for w in x.vocabulary]], np.int64)
+            if len(number) >= 1 << BITS:
+                raise OverflowError("more words in a prefix range than its keys can number")
+            keys.append(renumbered(x.keys, to))
+            weights.append(x.weights.astype(np.min_scalar_type(x.weights.max())))
+        vocabulary = sorted(number)
+        rank = np.zeros(len(number) + 1, np.int64)
+        rank[[number[w] for w in vocabulary]] = np.arange(1, len(number) + 1)
+        del number
+        for k, key in enumerate(keys):
+            keys[k] = renumbered(key, rank)
+        every = np.concatenate(keys)
+        keys.clear()
+        # of runs in order
         order = np.argsort(every, kind="stable")
-        every, weights = every[order], weights[order]
-        at = np.flatnonzero(np.diff(every, prepend=-1))
-        return cls(vocabulary, every[at], np.add.reduceat(weights, at))
+        every = every[order]
+        each = np.concatenate(weights)[order]
+        del order
+        at = firsts(every)
+        return cls(vocabulary, every[at], np.add.reduceat(each, at, dtype=np.int64))
 
     def phrases(self, least: int, edges: bool) -> list[tuple[tuple[str, ...], int]]:
         """Paths with at least this weight; with ``edges`` also those of the first and the last window."""
@@ -281,10 +307,13 @@ def shard_automata(docs: DataFrame, edges: list[tuple]) -> DataFrame:
         held: dict[str, list] = {}  # by language: numbers of words, and lists of them
 
         def out():
-            for lang, (ids, parts, _) in held.items():
+            while held:
+                lang = next(iter(held))
+                ids, parts, _ = held.pop(lang)
                 every = np.concatenate(parts)
-                yield batch(list(rows_of(lang, ids, windows_of(every[every >= 0]))))
-            held.clear()
+                parts.clear()
+                every = every[every >= 0]
+                yield batch(list(rows_of(lang, ids, windows_of(every))))
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -293,12 +322,12 @@ def shard_automata(docs: DataFrame, edges: list[tuple]) -> DataFrame:
                     words = [w for w in words if w]
                     for a in range(0, len(words), HELD):
                         ids, some = Ids(), words[a:a + HELD + ORDER - 1]
-                        numbers = np.fromiter(map(ids.__getitem__, some), np.int64, len(some))
+                        numbers = np.fromiter(map(ids.__getitem__, some), np.int32, len(some))
                         yield batch(list(rows_of(lang, ids, windows_of(numbers, HELD))))
                     continue
                 own = held.setdefault(lang, [Ids(), [], 0])
-                own[1].append(np.fromiter(map(own[0].__getitem__, words), np.int64, len(words)))
-                own[1].append(np.zeros(1, np.int64))
+                own[1].append(np.fromiter(map(own[0].__getitem__, words), np.int32, len(words)))
+                own[1].append(np.zeros(1, np.int32))
                 own[2] += len(words)
                 if sum(x[2] for x in held.values()) >= HELD:
                     yield from out()
@@ -310,10 +339,12 @@ def shard_automata(docs: DataFrame, edges: list[tuple]) -> DataFrame:
 def count_phrases(blobs: DataFrame, least: int) -> DataFrame:
     """lang, words, f of the frequent phrases."""
     def unite(key, table):
-        rows = list(zip(*(c.to_pylist() for c in table.columns)))
+        langs = table.column("lang").to_pylist()
+        pressed_columns = table.columns[3:]
         out = []
-        for lang in sorted({r[1] for r in rows}):
-            whole = Automaton.union([Automaton.from_row(r[3:]) for r in rows if r[1] == lang])
+        for lang in sorted(set(langs)):
+            rows = (tuple(c[i].as_buffer() for c in pressed_columns) for i, x in enumerate(langs) if x == lang)
+            whole = Automaton.union(map(Automaton.from_row, rows))
             out += [(lang, list(words), f) for words, f in whole.phrases(least, True)]
         cols = list(zip(*out)) if out else [[]] * 3
         return pa.table({"lang": pa.array(cols[0], pa.string()), "words": pa.array(cols[1], pa.list_(pa.string())), "f": pa.array(cols[2], pa.int64())})

@@ -1,9 +1,11 @@
 """Operators 11 to 13 against brute force, and their edge cases."""
 
 import collections
+import gc
 import hashlib
 import random
 import re
+import weakref
 import zlib
 
 import numpy as np
@@ -247,3 +249,33 @@ def test_automata_rows_are_compressed():
     back = co.Automaton.from_row(row)
     assert back.vocabulary == one.vocabulary and (back.keys == one.keys).all() and (back.weights == one.weights).all()
     assert sum(map(len, row)) < 6 * len(one.keys)
+
+
+def test_automata_are_united_one_after_another():
+    rng = np.random.default_rng(5)
+    names = [f"w{n}" for n in range(20_000)]
+    rows = []
+    for _ in range(10):
+        numbers = (rng.zipf(1.3, 40_000) % len(names) + 1).astype(np.int32)
+        columns = co.windows_of(numbers)
+        assert {x.dtype for x in columns} == {np.dtype(np.int32)}
+        rows.append(co.Automaton.from_windows(columns, names))
+        assert not columns  # taken, so that they don't stay beside the keys
+    alive = weakref.WeakSet()
+
+    def one_by_one():
+        for x in rows:
+            gc.collect()
+            assert len(alive) <= 1
+            new = co.Automaton.from_row([memoryview(b) for b in x.to_row()])
+            alive.add(new)
+            yield new
+            del new
+
+    whole = co.Automaton.union(one_by_one())
+    assert whole.weights.dtype == np.int64 and whole.weights.sum() == 400_000
+    assert whole.vocabulary == sorted(set().union(*(x.vocabulary for x in rows))) and (np.diff(whole.keys) > 0).all()
+    counts = collections.Counter()
+    for x in rows:
+        counts.update(dict(x.phrases(1, False)))
+    assert dict(whole.phrases(1, False)) == counts
