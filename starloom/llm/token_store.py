@@ -46,6 +46,8 @@ BLOCK_BYTES = 1 << 20
 
 SPACE_AFTER_SPACE = re.compile(r"\s ")
 WORD_END = re.compile(r"(?<=\S) ")
+#: In UTF-8, all white space but spaces and line feeds has one of these bytes.
+OTHER_SPACE = b"\t\x0b\x0c\r\x1c\x1d\x1e\x1f\xc2\xe1\xe2\xe3"
 BLOCK_FIELDS = (("part", pa.int32()), ("ids_before", pa.int64()), ("first_doc", pa.int64()), ("last_doc", pa.int64()),
                 ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())),
                 ("frames", pa.binary()), ("dictionary_sha256", pa.string()))
@@ -55,8 +57,12 @@ BLOCK_SCHEMA = ("part int, ids_before long, first_doc long, last_doc long, doc_i
 
 #: Letters of Latin scripts and the ASCII marks after them: two pre-tokens, whatever follows.
 WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)")
+MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+LAST_LATIN = "\u024f"
 #: The byte-level alphabet's characters of bytes that do not stand for themselves.
 BYTE_CHARS = {b: chr(256 + n) for n, b in enumerate([*range(33), *range(127, 161), 173])}
+#: Latin letters beyond ASCII in that alphabet.
+LETTER_CHARS = {n: chr(n).encode().decode("latin-1").translate(BYTE_CHARS) for n in range(0xc0, 0x250)}
 
 
 class PartIds(dict):
@@ -65,13 +71,14 @@ class PartIds(dict):
     A part follows ``lead`` (a space, or nothing). Its pre-tokens end before and
     after a single line break between other characters, and a pre-token of
     letters ends before the marks that end the part, so such parts are put
-    together from theirs (``bare`` holds those without a lead). Latin letters are
-    a single pre-token and go straight to the model, in the byte-level alphabet;
-    all else goes through the whole tokenizer. When LIMIT parts are held, those
-    held before them are dropped; long ones are not held.
+    together from theirs each time and only those are held (``bare`` holds those
+    without a lead), but for SHORT ones, which come often. Latin letters are a single pre-token and go straight to the
+    model, in the byte-level alphabet; all else goes through the whole tokenizer.
+    When LIMIT parts are held, those held before them are dropped; long ones are
+    not held.
     """
 
-    LIMIT, LONG = 150_000, 64
+    LIMIT, LONG, SHORT = 400_000, 64, 6
 
     def __init__(self, tok: Tokenizer, width: int, lead: str = "", bare: PartIds | None = None):
         super().__init__()
@@ -82,9 +89,17 @@ class PartIds(dict):
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
+        last = part[-1:]
+        marked = last in MARKS and part[-2:-1].isalpha() and part[-2] <= LAST_LATIN
+        if marked and len(part) > self.SHORT:
+            return self[part[:-1]] + self.bare[last]
+        if "\n" in part:
+            lines = part.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                return self[lines[0]] + b"".join([self.bare["\n"] + self.bare[x] for x in lines[1:]])
         ids = self.before.get(part)
         if ids is None:
-            ids = self.worked_out(part)
+            ids = self[part[:-1]] + self.bare[last] if marked else self.worked_out(part)
         if len(part) <= self.LONG:
             if len(self) >= self.LIMIT:
                 self.before = dict(self)
@@ -93,20 +108,25 @@ class PartIds(dict):
         return ids
 
     def worked_out(self, part: str) -> bytes:
+        if part.isascii() and part.isalpha():
+            return b"".join([self.packed[t.id] for t in self.model.tokenize(self.mark + part)])
         word = WORD.fullmatch(part)
         if word:
             letters, marks = word.groups()
             if marks:
                 return self[letters] + self.bare[marks]
-            if not part.isascii():
-                part = part.encode().decode("latin-1").translate(BYTE_CHARS)
-            return b"".join([self.packed[t.id] for t in self.model.tokenize(self.mark + part)])
-        line, broken, rest = part.partition("\n")
-        if broken and line and rest and not line[-1].isspace() and not rest[0].isspace():
-            return self[line] + self.bare["\n"] + self.bare[rest]
+            return b"".join([self.packed[t.id] for t in self.model.tokenize(self.mark + part.translate(LETTER_CHARS))])
         return np.array(self.tok.encode(self.lead + part, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
 
 
+def space_after_space(text: str) -> bool:
+    """Whether white space comes before a space; most texts are told by faster means than a pattern."""
+    if "  " in text or "\n " in text:
+        return True
+    raw = text.encode()
+    return len(raw.translate(None, OTHER_SPACE)) < len(raw) and SPACE_AFTER_SPACE.search(text) is not None
+
+
 def text_encoder(tokenizer_json: str, width: int):
     """A function from text to id bytes, for a byte-level tokenizer.
 
@@ -120,7 +140,7 @@ def text_encoder(tokenizer_json: str, width: int):
     later = PartIds(tok, width, " ", first).__getitem__
 
     def encode(text: str) -> bytes:
-        parts = WORD_END.split(text) if SPACE_AFTER_SPACE.search(text) else text.split(" ")
+        parts = WORD_END.split(text) if space_after_space(text) else text.split(" ")
         return first[parts[0]] + b"".join(map(later, parts[1:]))
 
     return with_added_tokens(tok, f"<u{width}", encode)

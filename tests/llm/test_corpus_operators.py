@@ -389,3 +389,21 @@ def test_token_parts_of_letters_and_marks_go_straight_to_the_model():
             assert len(held) <= 5
     # letters never, marks by themselves, all other parts whole
     assert {x.strip() for x in asked} == {",", "%%%", "it's", "'", "!!", "", ".", "ɐ", "42", "''", "a_b"}
+
+
+def test_token_parts_put_together_are_not_held_and_need_no_depth():
+    tok = Tokenizer.from_file(BYTES_JSON)
+    first = token_store.PartIds(tok, 2)
+    later = token_store.PartIds(tok, 2, " ", first)
+    parts = ["sentence.", "Straße,", "x42-", "a.b;", "the.", "one\ntwo", "one\n\ntwo", "\n", "one\n", "ªº.", "ɐ.", "it's", "don't."]
+    for part in [*parts, "line\n" * 3_000 + "end."]:  # as deep as there are lines before
+        for held, lead in ((first, ""), (later, " ")):
+            assert held[part] == np.array(tok.encode(lead + part, add_special_tokens=False).ids, "<u2").tobytes(), part
+    assert not {"sentence.", "Straße,", "one\ntwo"} & (set(first) | set(later)) and {"sentence", "Straße"} < set(later)
+
+
+def test_white_space_before_spaces_is_found():
+    spaces = [chr(n) for n in range(0x110000) if chr(n).isspace()]
+    for x in [*spaces, "a", "é", "ɏ", "\u200b", "ツ", "\U0001f600"]:
+        for text in (f"some{x} more", f"some {x}more", f"{x} ", f"é{x}", f"some é{x} "):
+            assert token_store.space_after_space(text) == bool(token_store.SPACE_AFTER_SPACE.search(text)), repr(text)
