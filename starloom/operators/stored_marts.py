@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import month_start
 from starloom.functions.money import TOTAL
 from starloom.operators import layout
+from starloom.session import released_shuffles
 
 ORDER_DAYS, DAILY, STALE = "order_days", "daily_revenue", "stale"
 MONEY_COLS = ("gross_revenue", "net_revenue", "gross_profit")
@@ -118,9 +119,10 @@ class StoredMarts:
             known = [m for m in months if m is not None]
             chosen = F.col(col).isin([F.lit(m).cast("date") for m in known]) if known else F.lit(False)
             chosen = chosen | F.col(col).isNull() if None in months else chosen
-            days = layout.with_partition_col(order_days(fact.filter(chosen))).checkpoint()
-            layout.replace_partitions(self.spark, days, f"{self.root}/{ORDER_DAYS}", col, months)
-            layout.replace_partitions(self.spark, layout.with_partition_col(daily_revenue(days)), f"{self.root}/{DAILY}", col, months)
+            with released_shuffles(self.spark):
+                layout.replace_partitions(self.spark, layout.with_partition_col(order_days(fact.filter(chosen))), f"{self.root}/{ORDER_DAYS}", col, months)
+                days = self.spark.read.parquet(f"{self.root}/{ORDER_DAYS}").filter(chosen)  # as just stored
+                layout.replace_partitions(self.spark, layout.with_partition_col(daily_revenue(days)), f"{self.root}/{DAILY}", col, months)
             for path in self._lists():
                 self._drop(path)
         return self
